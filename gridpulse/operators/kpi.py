@@ -133,3 +133,21 @@ def alerts(traffic: DataFrame, energy: DataFrame, pollution: DataFrame) -> DataF
     clear = F.array(alert("all_clear", "success", F.lit(None).cast("double")))
     rows = F.when(F.size(fired) > 0, fired).otherwise(clear)
     return one.select(F.explode(rows).alias("x")).select("x.*")
+
+
+def city_kpis(traffic: DataFrame, energy: DataFrame, pollution: DataFrame) -> DataFrame:
+    """The overview row: city score and one or two headline numbers per domain."""
+    score = city_score(traffic, energy, pollution).select("city_score").scalar()
+    t = traffic.agg(F.struct(
+        F.avg("vehicle_count").alias("vehicles"), F.avg("avg_speed").alias("speed"),
+        pct(F.col("congestion_level") == "High").alias("congested"),
+    ).alias("t")).scalar()
+    e = energy.agg(F.struct(
+        F.avg("energy_consumption").alias("kwh"), F.avg("renewable_usage").alias("renewable")).alias("e")).scalar()
+    p = pollution.agg(F.avg("AQI")).scalar()
+    return traffic.sparkSession.range(1).select(
+        score.alias("city_score"),
+        t.getField("vehicles").alias("avg_vehicles"), t.getField("speed").alias("avg_speed"),
+        e.getField("kwh").alias("avg_consumption"), e.getField("renewable").alias("avg_renewable"),
+        p.alias("avg_aqi"), t.getField("congested").alias("high_congestion_pct"),
+    )

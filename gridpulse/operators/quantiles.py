@@ -72,7 +72,8 @@ def _bracketed(
             F.struct(F.lit(c).alias("_column"), F.col(c).alias("_v")) for c in columns
         ])).alias("_e"),
     ).select(*keys, "_e.*").filter(F.col("_v").isNotNull())
-    margin = 2.0 / ACCURACY
+    # Twice the sketch's rank error, and the two neighbouring ranks of any group larger than the limit.
+    margin = 2.0 / ACCURACY + 3.0 / max_group_rows
     low = [max(0.0, p - margin) for p in probs]
     high = [min(1.0, p + margin) for p in probs]
     sketch = long.groupBy(*by).agg(
@@ -135,7 +136,7 @@ def rank_cut(
         sketchable = isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
         below, inner = 0, rows
         if sketchable and total > max_group_rows:
-            p, margin = left / total, 2.0 / ACCURACY
+            p, margin = left / total, 2.0 / ACCURACY + 3.0 / total
             ends = rows.agg(F.percentile_approx(
                 c, [max(0.0, p - margin), min(1.0, p + margin)], ACCURACY).alias("q")).first()["q"]
             lo, hi = F.lit(ends[0]).cast(kind), F.lit(ends[1]).cast(kind)
