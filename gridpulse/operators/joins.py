@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.functions import constants as K
-from gridpulse.scratch import lookup_join, materialize
+from gridpulse.scratch import lookup_join
 
 
 def area_dimension(spark: SparkSession) -> DataFrame:
@@ -60,24 +60,34 @@ def scheduled_events(spark: SparkSession) -> DataFrame:
     return rows.select("area", F.to_date("first").alias("first"), F.to_date("last").alias("last"), "multiplier")
 
 
+def event_days(events: DataFrame, key: str) -> DataFrame:
+    """Event ranges as one row per key and day: the largest multiplier of events that run all
+    that day, and of events that end on it (an event ends at 23:59:59 of its last day)."""
+    days = events.select(
+        F.col("area").alias(key), "multiplier", "last",
+        F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("_day"),
+    )
+    ends = F.col("_day") == F.col("last")
+    return days.groupBy(key, "_day").agg(
+        F.max(F.when(~ends, F.col("multiplier"))).alias("_through"),
+        F.max(F.when(ends, F.col("multiplier"))).alias("_ending"),
+    )
+
+
 def with_event_multiplier(
-    df: DataFrame, events: DataFrame, key: str, ts: str, row_id: Sequence[str], out: str = "event_multiplier"
+    df: DataFrame, events: DataFrame, key: str, ts: str, out: str = "event_multiplier"
 ) -> DataFrame:
     """Largest multiplier of the events running at each row's key and time, 1.0 without one.
 
-    Events are first folded to one array per key, so rows are never multiplied:
-    one keyed lookup, then a scan over that key's few ranges. ``last`` is an
-    inclusive day that ends at 23:59:59.
+    Ranges are whole days, so the range join becomes an equi-join on (key, day):
+    rows are never multiplied and overlapping events are merged beforehand.
     """
-    ranges = events.groupBy(F.col("area").alias(key)).agg(
-        F.collect_list(F.struct("first", "last", "multiplier")).alias("_ranges")
-    )
-    day = F.col(ts).cast("timestamp_ntz")
-    active = F.filter("_ranges", lambda r: (day >= r["first"].cast("timestamp_ntz"))
-                      & (day <= r["last"].cast("timestamp_ntz") + F.expr("interval 1 day - interval 1 second")))
-    best = F.array_max(F.transform(active, lambda r: r["multiplier"]))
-    joined = lookup_join(df, ranges, key)
-    return joined.withColumn(out, F.greatest(F.lit(1.0), F.coalesce(best, F.lit(1.0)))).drop("_ranges")
+    calendar = event_days(events, key)
+    moment = F.col(ts).cast("timestamp_ntz")
+    last_moment = F.to_date(ts).cast("timestamp_ntz") + F.expr("interval '23:59:59' hour to second")
+    joined = lookup_join(df.withColumn("_day", F.to_date(ts)), calendar, [key, "_day"])
+    ending = F.when(moment <= last_moment, F.col("_ending"))
+    return joined.withColumn(out, F.greatest(F.lit(1.0), F.col("_through"), ending)).drop("_day", "_through", "_ending")
 
 
 def with_holiday_multiplier(df: DataFrame, ts: str, out: str = "holiday_multiplier") -> DataFrame:
@@ -135,7 +145,3 @@ def align_streams(traffic: DataFrame, energy: DataFrame, pollution: DataFrame) -
         .join(energy.select(*on, "energy_consumption"), on)
         .join(pollution.select(*on, "AQI"), on)
     )
-
-
-def stored_lookup(df: DataFrame) -> DataFrame:
-    return materialize(df, "lookup")
