@@ -61,11 +61,14 @@ def read_optional(
     return found
 
 
-def read_json_document(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame | None:
-    """A multi-line JSON document; None if it is absent, no rows if it does not parse."""
+def read_json_document(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False
+) -> DataFrame | None:
+    """JSON rows (or one document over many lines); None if absent, no rows where it does not parse."""
     if not exists(spark, path):
         return None
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+    reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "DROPMALFORMED")
+    return reader.json(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -76,9 +79,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+# Spark's CSV writer would cut times to milliseconds and trim text.
+CSV_WRITE = {
+    "header": "true",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite a folder of CSV parts, written in parallel."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
 def write_single_csv(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
@@ -87,7 +100,7 @@ def write_single_csv(df: DataFrame, path: str, max_rows: int = 1_000_000) -> Non
     if df.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"more than {max_rows} rows do not belong in one file; use write_csv")
     folder = f"{path}.parts"
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(folder)
+    write_csv(df.coalesce(1), folder)
     fs = _fs(spark, path)
     part = next(s.getPath() for s in fs.listStatus(_path(spark, folder)) if s.getPath().getName().startswith("part-"))
     target = _path(spark, path)
