@@ -1 +1,257 @@
-"""Queries to come."""
+"""I-series and the streaming sources: streams over files derived from the whole tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from gridpulse.operators import cleaning, ordered
+from gridpulse.plans.registry import query
+from gridpulse.plans.views import Tables
+from gridpulse.scratch import new_path
+from gridpulse.sources import messages
+from gridpulse.streaming import jobs, state
+
+ORDER = ["ts", "event_id"]
+
+
+def zoned(df: DataFrame) -> DataFrame:
+    """Watermarks need a timestamp with zone."""
+    return df.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def plain(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, k in df.dtypes if k == "timestamp"})
+
+
+def as_stream(t: Tables, df: DataFrame, label: str, parts: int = 1, by: str | None = None) -> DataFrame:
+    """Write ``df`` as ``parts`` files, in time order if ``by`` is given, and stream them one by one.
+
+    File sources take files in the order of their modification time, hence one
+    write per part.
+    """
+    path = new_path(t.spark, label)
+    if parts == 1:
+        df.write.parquet(f"{path}/p0")
+    else:
+        cuts = df.agg(F.percentile_approx(by, [i / parts for i in range(1, parts)], 1000)).first()[0]
+        kind = df.schema[by].dataType
+        edges = [None, *cuts, None]
+        for i in range(parts):
+            chunk = df
+            if edges[i] is not None:
+                chunk = chunk.filter(F.col(by) > F.lit(edges[i]).cast(kind))
+            if edges[i + 1] is not None:
+                chunk = chunk.filter(F.col(by) <= F.lit(edges[i + 1]).cast(kind))
+            chunk.coalesce(1).write.parquet(f"{path}/p{i}")
+    return messages.read_files_as_stream(t.spark, f"{path}/*", df.schema)
+
+
+def done(t: Tables, folder: str, schema=None) -> DataFrame:
+    return t.spark.read.parquet(folder) if schema is None else t.spark.read.schema(schema).parquet(folder)
+
+
+MESSAGE = "event_id bigint, user_id bigint, day_text string, value double"
+CLEAN_SQL = """
+    SELECT event_id, user_id, TRY_CAST(day_text AS TIMESTAMP) AS ts, value FROM dirty
+    WHERE TRY_CAST(day_text AS TIMESTAMP) IS NOT NULL"""
+
+
+def message_stream(t: Tables, label: str) -> DataFrame:
+    rows = t.dirty.select("event_id", "user_id", "day_text", F.nanvl("value", F.lit(None)).alias("value"))
+    return as_stream(t, messages.encode(rows, "user_id"), label)
+
+
+def decode_clean(t: Tables):
+    schema = t.spark.createDataFrame([], MESSAGE).schema
+
+    def run(batch: DataFrame) -> DataFrame:
+        return cleaning.parse_time(messages.decode(batch, schema), "ts", "day_text").drop("day_text")
+
+    return run
+
+
+@query("a03_rate_limited_source", "SELECT count(*) AS n_rows, 4 AS n_batches FROM events")
+def a03(t: Tables) -> DataFrame:
+    stream = as_stream(t, t.events.select("event_id", "ts"), "a03", 4, "ts")
+    out = new_path(t.spark, "a03out")
+    jobs.finish(jobs.start_batches(stream, lambda b: b, out, new_path(t.spark, "a03cp"), None))
+    seen = done(t, out)
+    return seen.agg(F.count("*").alias("n_rows"), F.count_distinct("batch_id").cast("int").alias("n_batches"))
+
+
+@query("a05_micro_batch_callback", CLEAN_SQL.replace("value FROM", "CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM"))
+def a05(t: Tables) -> DataFrame:
+    out = new_path(t.spark, "a05out")
+    stream = message_stream(t, "a05")
+    jobs.finish(jobs.start_batches(stream, decode_clean(t), out, new_path(t.spark, "a05cp"), None))
+    return plain(done(t, out).drop("batch_id"))
+
+
+@query("a06_timed_lifecycle", "SELECT count(*) AS n_rows FROM events")
+def a06(t: Tables) -> DataFrame:
+    out = new_path(t.spark, "a06out")
+    stream = as_stream(t, t.events.select("event_id", "ts"), "a06")
+    q = jobs.start_batches(stream, lambda b: b, out, new_path(t.spark, "a06cp"), "1 second")
+    q.processAllAvailable()
+    jobs.run_for([q], 0.1)
+    return done(t, out).agg(F.count("*").alias("n_rows"))
+
+
+@query("i01_replay_from_start", "SELECT event_id, value FROM events")
+def i01(t: Tables) -> DataFrame:
+    stream = as_stream(t, t.events.select("event_id", "ts", "value"), "i01", 3, "ts").drop("ts")
+    out = new_path(t.spark, "i01out")
+    jobs.finish(jobs.start_files(stream, out, new_path(t.spark, "i01cp")))
+    return done(t, out)
+
+
+@query("i02_decode_clean_write", f"""
+    SELECT user_id, count(*) AS n, count(value) AS n_values FROM (SELECT user_id, CASE WHEN isnan(value) THEN NULL ELSE value END
+        AS value FROM ({CLEAN_SQL})) GROUP BY 1""")
+def i02(t: Tables) -> DataFrame:
+    out = new_path(t.spark, "i02out")
+    stream = message_stream(t, "i02")
+    jobs.finish(jobs.start_batches(stream, decode_clean(t), out, new_path(t.spark, "i02cp"), None))
+    return done(t, out).groupBy("user_id").agg(F.count("*").alias("n"), F.count("value").alias("n_values"))
+
+
+@query("i03_resume_after_restart", "SELECT event_id, ts, value FROM events")
+def i03(t: Tables) -> DataFrame:
+    """Two runs with one checkpoint: the second takes only what came after the first."""
+    src, out, cp = (new_path(t.spark, f"i03{x}") for x in ("src", "out", "cp"))
+    rows = t.events.select("event_id", "ts", "value")
+    clicks = F.col("event_id") < rows.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    for i, part in enumerate((rows.filter(clicks), rows.filter(~clicks))):
+        part.write.parquet(f"{src}/p{i}")
+        stream = messages.read_files_as_stream(t.spark, f"{src}/*", rows.schema)
+        jobs.finish(jobs.start_batches(stream, lambda b: b, out, cp, None))
+    return done(t, out).drop("batch_id")
+
+
+SERIES_SQL = """
+    SELECT event_id, user_id, ts, value, row_number() OVER w AS seq, lag(value, 1) OVER w AS lag1, lag(value, 2) OVER w AS lag2,
+        false AS late FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
+
+
+def series(t: Tables, label: str, parts: int, seed: float = 0.0) -> DataFrame:
+    rows = zoned(t.events.select("event_id", "user_id", "ts", "value"))
+    stream = state.with_series_state(as_stream(t, rows, label, parts, "ts"), "user_id", ORDER, "value", 0.32, seed)
+    out = new_path(t.spark, f"{label}out")
+    jobs.finish(jobs.start_files(stream, out, new_path(t.spark, f"{label}cp")))
+    return plain(done(t, out, stream.schema))
+
+
+@query("i04_stream_lags", SERIES_SQL)
+def i04(t: Tables) -> DataFrame:
+    return series(t, "i04", 3).drop("smooth")
+
+
+@query("i04_stream_lags_carried", SERIES_SQL.replace("row_number() OVER w AS seq, ", "").replace("user_id", "event_type")
+       .replace(",\n        false AS late", ""))
+def i04_carried(t: Tables) -> DataFrame:
+    rows = t.events.select("event_id", "event_type", "ts", "value")
+    out = new_path(t.spark, "i04cout")
+    lags = jobs.CarriedLags("event_type", ORDER, "value", out, new_path(t.spark, "i04cstate"))
+    stream = as_stream(t, rows, "i04c", 2, "ts")
+    jobs.finish(jobs.start_carried_lags(stream, lags, new_path(t.spark, "i04ccp")))
+    return done(t, out).drop("batch_id")
+
+
+@query("i04_zero_fill_lags", "SELECT event_id, value, 0::DOUBLE AS lag1, 0::DOUBLE AS lag2 FROM events")
+def i04_zero(t: Tables) -> DataFrame:
+    stream = as_stream(t, t.events.select("event_id", "value"), "i04z")
+    out = new_path(t.spark, "i04zout")
+    zero = stream.withColumns({"lag1": F.lit(0.0), "lag2": F.lit(0.0)})
+    jobs.finish(jobs.start_files(zero, out, new_path(t.spark, "i04zcp")))
+    return done(t, out)
+
+
+def smooth_sql(key: str, seed: float) -> str:
+    return f"""
+    SELECT event_id, {key}, smooth FROM (
+        WITH RECURSIVE r AS (SELECT event_id, {key}, value, row_number() OVER (PARTITION BY {key} ORDER BY ts, event_id) AS rn FROM events),
+        s AS (SELECT event_id, {key}, rn, 0.68::DOUBLE * {seed} + 0.32::DOUBLE * value AS smooth FROM r WHERE rn = 1
+              UNION ALL SELECT r.event_id, r.{key}, r.rn, 0.68::DOUBLE * s.smooth + 0.32::DOUBLE * r.value FROM s JOIN r
+                  ON r.{key} = s.{key} AND r.rn = s.rn + 1)
+        SELECT * FROM s)"""
+
+
+@query("i05_smoothing_batch", smooth_sql("user_id", 4000), rounded="smooth")
+def i05(t: Tables) -> DataFrame:
+    rows = t.events.select("event_id", "user_id", "ts", "value")
+    frame = ordered.OrderedFrame.of(rows, ["user_id"], ORDER).smooth("value", "smooth", 0.32, 4000.0)
+    return frame.result().select("event_id", "user_id", "smooth")
+
+
+@query("i05_smoothing_split_keys", smooth_sql("event_type", 100), rounded="smooth")
+def i05_split(t: Tables) -> DataFrame:
+    rows = t.events.select("event_id", "event_type", "ts", "value")
+    frame = ordered.OrderedFrame.of(rows, ["event_type"], ORDER, max_group_rows=0, segment_rows=2_000)
+    return frame.smooth("value", "smooth", 0.32, 100.0).result().select("event_id", "event_type", "smooth")
+
+
+@query("i05_smoothing_stream", smooth_sql("user_id", 100), rounded="smooth")
+def i05_stream(t: Tables) -> DataFrame:
+    return series(t, "i05", 2, 100.0).select("event_id", "user_id", "smooth")
+
+
+@query("i06_event_time_order", "SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events")
+def i06(t: Tables) -> DataFrame:
+    return series(t, "i06", 1).select("event_id", "user_id", "seq")
+
+
+def measures() -> dict[str, Column]:
+    return {"n": F.count("*"), "mean_value": F.avg("value"), "max_value": F.max("value")}
+
+
+@query("i07_windowed_kpis", """
+    SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+        event_type, count(*) AS n, avg(value) AS mean_value, max(value) AS max_value FROM events GROUP BY 1, 2, 3""",
+    rounded="mean_value")
+def i07(t: Tables) -> DataFrame:
+    stream = as_stream(t, zoned(t.events.select("ts", "event_type", "value")), "i07", 2, "ts")
+    kpis = jobs.windowed_kpis(stream, "ts", measures(), "1 hour", keys=["event_type"])
+    out = new_path(t.spark, "i07out")
+    jobs.finish(jobs.start_refreshed_table(kpis, out, new_path(t.spark, "i07cp")))
+    return plain(done(t, out))
+
+
+@query("i07_sliding_kpis", """
+    SELECT s AS window_start, s + INTERVAL 2 HOUR AS window_end, count(*) AS n, avg(value) AS mean_value, max(value) AS max_value
+    FROM (SELECT value, unnest([time_bucket(INTERVAL 1 HOUR, ts), time_bucket(INTERVAL 1 HOUR, ts) - INTERVAL 1 HOUR]) AS s FROM events)
+    GROUP BY 1, 2""", rounded="mean_value")
+def i07_sliding(t: Tables) -> DataFrame:
+    stream = as_stream(t, zoned(t.events.select("ts", "value")), "i07s")
+    out = new_path(t.spark, "i07sout")
+    kpis = jobs.windowed_kpis(stream, "ts", measures(), "2 hours", "1 hour")
+    jobs.finish(jobs.start_refreshed_table(kpis, out, new_path(t.spark, "i07scp")))
+    return plain(done(t, out))
+
+
+@query("i08_stream_deduplication", "SELECT event_id, user_id, ts FROM dirty")
+def i08(t: Tables) -> DataFrame:
+    stream = as_stream(t, zoned(t.repeated.select("event_id", "user_id", "ts")), "i08", 2, "ts")
+    out = new_path(t.spark, "i08out")
+    unique = jobs.drop_stream_duplicates(stream, "ts", ["event_id", "ts"], "1 hour")
+    jobs.finish(jobs.start_files(unique, out, new_path(t.spark, "i08cp")))
+    return plain(done(t, out))
+
+
+@query("c09_align_streams", """
+    SELECT area, timestamp, t.v AS vehicle_count, e.k AS energy_consumption, p.q AS "AQI"
+    FROM (SELECT area, timestamp, temperature AS v FROM energy) t
+    JOIN (SELECT area, timestamp, energy_consumption AS k FROM energy WHERE load_type <> 'Industrial') e USING (area, timestamp)
+    JOIN (SELECT area, timestamp, humidity AS q FROM energy WHERE weather <> 'Rain') p USING (area, timestamp)""")
+def c09_streams(t: Tables) -> DataFrame:
+    e = t.energy.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    parts = [
+        (e.select("area", "timestamp", F.col("temperature").alias("vehicle_count")), "c09t"),
+        (e.filter("load_type <> 'Industrial'").select("area", "timestamp", "energy_consumption"), "c09e"),
+        (e.filter("weather <> 'Rain'").select("area", "timestamp", F.col("humidity").alias("AQI")), "c09p"),
+    ]
+    streams = [(as_stream(t, df, label), label) for df, label in parts]
+    joined = jobs.join_streams(streams, "timestamp", "area", "1 hour")
+    out = new_path(t.spark, "c09out")
+    jobs.finish(jobs.start_files(joined, out, new_path(t.spark, "c09cp")))
+    return plain(done(t, out, joined.schema))
