@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.operators import anomaly, ordered, quantiles, stats
+from gridpulse.operators import anomaly, ordered, quantiles
 from gridpulse.plans.registry import query
 from gridpulse.plans.views import Tables
 
@@ -173,7 +173,6 @@ def e05_by_key(t: Tables) -> DataFrame:
     FROM (SELECT CAST(hour(ts) AS INT) AS hour, avg(value) AS mean_value FROM events GROUP BY 1)""",
     rounded="mean_value trailing")
 def e06(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
     hourly = t.events.groupBy(F.hour("ts").alias("hour")).agg(F.avg("value").alias("mean_value"))
     frame = Window.orderBy("hour").rowsBetween(-2, 0)  # 24 rows
     return hourly.withColumn("trailing", F.avg("mean_value").over(frame))
