@@ -1,5 +1,7 @@
 """Input views derived from the given tables, as Spark DataFrames and as SQL text.
 
+Divisors without a finite decimal form keep means away from rounding ties.
+
 The sensor tables are views over ``lineitem`` (traffic), ``orders`` (energy) and
 ``events`` (pollution): every row of the source becomes one reading. Both sides
 are made from the same expressions; only a few functions are spelled differently.
@@ -113,7 +115,7 @@ def energy(d) -> tuple[str, list[dict[str, str]]]:
             **_place(d, "o_custkey % 41"),
             "reading_id": "o_orderkey",
             "weather": d.pick(["Clear", "Rain", "Cloudy", "Heavy Rain"], "o_orderkey % 4"),
-            "energy_consumption": "CASE WHEN o_orderkey % 307 = 0 THEN -1e0 ELSE o_totalprice / 5e1 END",
+            "energy_consumption": "CASE WHEN o_orderkey % 307 = 0 THEN -1e0 ELSE o_totalprice / 47e0 END",
             "temperature": "CASE WHEN o_orderkey % 401 = 0 THEN 65e0 "
                            "ELSE 14e0 + cast(o_custkey % 28 as double) END",
             "humidity": "CASE WHEN o_orderkey % 503 = 0 THEN 104e0 "
@@ -123,8 +125,8 @@ def energy(d) -> tuple[str, list[dict[str, str]]]:
             "load_type": d.pick(["Industrial", "Commercial", "Residential"], "o_custkey % 3"),
             "power_outage": "CASE WHEN o_orderkey % 16 = 0 THEN 1 ELSE 0 END",
             "demand_level": "CASE WHEN o_orderkey % 29 = 0 THEN 'High' WHEN o_orderkey % 31 = 0 THEN 'Low' "
-                            "WHEN o_totalprice / 5e1 > 65e2 THEN 'High' "
-                            "WHEN o_totalprice / 5e1 > 3e3 THEN 'Medium' ELSE 'Low' END",
+                            "WHEN o_totalprice / 47e0 > 65e2 THEN 'High' "
+                            "WHEN o_totalprice / 47e0 > 3e3 THEN 'Medium' ELSE 'Low' END",
         },
         _calendar(d),
     ]
@@ -136,11 +138,11 @@ def pollution(d) -> tuple[str, list[dict[str, str]]]:
             "timestamp": "ts",
             **_place(d, "user_id % 41"),
             "reading_id": "event_id",
-            "AQI": "CASE WHEN event_id % 211 = 0 THEN -4e0 ELSE 2e1 + value END",
-            "PM2_5": "CASE WHEN event_id % 223 = 0 THEN -1e0 ELSE 5e0 + value * 58e-2 END",
-            "PM10": "15e0 + value * 82e-2",
-            "NO2": "3e0 + value * 28e-2",
-            "CO": "CASE WHEN event_id % 227 = 0 THEN -1e0 ELSE 3e-1 + value * 18e-3 END",
+            "AQI": "CASE WHEN event_id % 211 = 0 THEN -4e0 ELSE 2e1 + value / 97e-2 END",
+            "PM2_5": "CASE WHEN event_id % 223 = 0 THEN -1e0 ELSE 5e0 + value / 171e-2 END",
+            "PM10": "15e0 + value / 123e-2",
+            "NO2": "3e0 + value / 353e-2",
+            "CO": "CASE WHEN event_id % 227 = 0 THEN -1e0 ELSE 3e-1 + value / 557e-1 END",
             "weather": d.pick(["Clear", "Rain", "Cloudy", "Heavy Rain"], "event_id % 4"),
             "temperature": "CASE WHEN event_id % 401 = 0 THEN -6e1 "
                            "ELSE 14e0 + cast(user_id % 28 as double) END",
