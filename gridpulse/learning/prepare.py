@@ -19,8 +19,8 @@ from gridpulse.scratch import materialize
 def clean(df: DataFrame, spec: Dataset, store: bool = True) -> DataFrame:
     """Rename, default, de-duplicate, parse times, impute and cap.
 
-    The de-duplicated rows are written once: imputation means, modes and fences
-    each scan them, and none of them should repeat the shuffle.
+    The de-duplicated rows are written once, because imputation means, modes and
+    fences each scan a few of their columns and none should repeat the shuffle.
     """
     df = df.withColumnsRenamed(spec.rename).drop("generator_version")
     df = cleaning.named_defaults(df, NAMED_DEFAULTS)
@@ -28,10 +28,9 @@ def clean(df: DataFrame, spec: Dataset, store: bool = True) -> DataFrame:
     df = with_calendar(cleaning.parse_time(df, "timestamp"))
     if store:
         df = materialize(df, f"{spec.name}-distinct")
-    df = cleaning.impute(df, exclude=["timestamp"])
-    if store:
-        df = materialize(df, f"{spec.name}-imputed")
-    return cleaning.cap_outliers(df, cleaning.iqr_bounds(df, [c for c in spec.capped if c in df.columns]))
+    df = cleaning.impute(df, ["timestamp"], store)
+    bounds = cleaning.iqr_bounds(df, [c for c in spec.capped if c in df.columns])
+    return cleaning.cap_outliers(df, materialize(bounds, "bounds") if store else bounds)
 
 
 def add_features(df: DataFrame, spec: Dataset, order: Sequence[str] | None = None, **sizes: int) -> DataFrame:

@@ -29,8 +29,9 @@ def _z(column: str) -> Column:
 def z_scores(df: DataFrame, column: str) -> DataFrame:
     """Absolute z-score of each row against the whole table."""
     stats = _moments(df, column, []).select(F.struct("_mu", "_sigma").alias("s")).scalar()
-    placed = df.withColumns({"_mu": stats.getField("_mu"), "_sigma": stats.getField("_sigma")})
-    return placed.withColumn("zscore", _z(column)).drop("_mu", "_sigma")
+    placed = df.withColumn("_s", stats)
+    placed = placed.withColumns({"_mu": F.col("_s._mu"), "_sigma": F.col("_s._sigma")})
+    return placed.withColumn("zscore", _z(column)).drop("_s", "_mu", "_sigma")
 
 
 def control_band(df: DataFrame, column: str, z: float = 3.0) -> DataFrame:
@@ -64,9 +65,9 @@ def detect_anomalies(
     else:
         m = moments.select(F.struct(*moments.columns).alias("s")).scalar()
         b = q.select(F.struct(*q.columns).alias("s")).scalar()
-        placed = rolled.withColumns({
-            **{c: m.getField(c) for c in moments.columns}, **{c: b.getField(c) for c in q.columns}
-        })
+        placed = rolled.withColumns({"_m": m, "_b": b}).withColumns({
+            **{c: F.col("_m").getField(c) for c in moments.columns}, **{c: F.col("_b").getField(c) for c in q.columns}
+        }).drop("_m", "_b")
     c = F.col(column)
     enough = F.col("_rows") >= 5
     local = F.coalesce(F.when(F.col("roll_std") != 0, F.col("roll_std")), F.col("_sigma"))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from gridpulse.functions.bands import rank_in
 from gridpulse.functions.predicates import is_measure, missing, nan_to_null, null_like
 from gridpulse.operators.quantiles import approx_quantiles, exact_quantiles
+from gridpulse.scratch import materialize
 
 
 def long_counts(counts: DataFrame, key: str = "column", value: str = "n") -> DataFrame:
@@ -79,32 +80,46 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def impute_mean(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def _with_scalar(df: DataFrame, row: DataFrame, name: str, store: bool) -> DataFrame:
+    """Attach a one-row, one-column result to every row as one scalar sub-query.
+
+    Stored, it is computed once and not again by every job that reads the rows.
+    """
+    return df.withColumn(name, (materialize(row, "scalar") if store else row).scalar())
+
+
+def impute_mean(df: DataFrame, columns: Sequence[str] | None = None, store: bool = False) -> DataFrame:
     """NULL and NaN measures become the column mean (one scalar sub-query for all columns)."""
     columns = list(columns or [f.name for f in df.schema.fields if is_measure(f)])
     if not columns:
         return df
-    means = df.agg(F.struct(*[F.avg(nan_to_null(c)).alias(c) for c in columns]).alias("m")).scalar()
-    return df.withColumns({c: F.coalesce(nan_to_null(c), means.getField(c)) for c in columns})
+    means = df.agg(F.struct(*[F.avg(nan_to_null(c)).alias(c) for c in columns]).alias("m"))
+    placed = _with_scalar(df, means, "_means", store)
+    return placed.withColumns({
+        c: F.coalesce(nan_to_null(c), F.col("_means").getField(c)) for c in columns
+    }).drop("_means")
 
 
-def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def impute_mode(df: DataFrame, columns: Sequence[str], store: bool = False) -> DataFrame:
     """Null-like text becomes the column's mode."""
     columns = list(columns)
     if not columns:
         return df
-    best = modes(df, columns).agg(F.map_from_entries(F.collect_list(F.struct("column", "mode")))).scalar()
-    return df.withColumns({
-        c: F.when(null_like(c), F.coalesce(F.try_element_at(best, F.lit(c)), F.col(c))).otherwise(F.col(c))
+    best = modes(df, columns).agg(F.map_from_entries(F.collect_list(F.struct("column", "mode"))).alias("m"))
+    placed = _with_scalar(df, best, "_modes", store)  # one entry per column
+    return placed.withColumns({
+        c: F.when(null_like(c), F.coalesce(F.try_element_at("_modes", F.lit(c)), F.col(c))).otherwise(F.col(c))
         for c in columns
-    })
+    }).drop("_modes")
 
 
-def impute(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+def impute(df: DataFrame, exclude: Sequence[str] = (), store: bool = False) -> DataFrame:
     """Mean for measures and mode for text."""
     fields = [f for f in df.schema.fields if f.name not in exclude]
-    df = impute_mean(df, [f.name for f in fields if is_measure(f)] or None)
-    return impute_mode(df, [f.name for f in fields if isinstance(f.dataType, T.StringType)])
+    measures = [f.name for f in fields if is_measure(f)]
+    if measures:
+        df = impute_mean(df, measures, store)
+    return impute_mode(df, [f.name for f in fields if isinstance(f.dataType, T.StringType)], store)
 
 
 def iqr_bounds(df: DataFrame, columns: Sequence[str], k: float = 1.5, exact: bool = False) -> DataFrame:
@@ -128,31 +143,40 @@ def bounds_table(bounds: DataFrame) -> DataFrame:
     return bounds.select(F.explode(F.array(*entries)).alias("e")).select("e.column", "e.b.*")
 
 
-def _scalar(bounds: DataFrame) -> Column:
-    return bounds.select(F.struct(*bounds.columns).alias("b")).scalar()
+def _with_bounds(df: DataFrame, bounds: DataFrame) -> DataFrame:
+    return _with_scalar(df, bounds.select(F.struct(*bounds.columns).alias("b")), "_bounds", False)
+
+
+def _fence(column: str) -> tuple[Column, Column]:
+    b = F.col("_bounds").getField(column)
+    return b.getField("lower"), b.getField("upper")
 
 
 def outlier_counts(df: DataFrame, bounds: DataFrame) -> DataFrame:
     """Values outside their fence, per column. The bounds can be stored ones, for a recheck."""
-    b = _scalar(bounds)
-    counts = df.agg(*[
-        F.count_if(
-            (F.col(c) < b.getField(c).getField("lower")) | (F.col(c) > b.getField(c).getField("upper"))
-        ).alias(c)
-        for c in bounds.columns
-    ])
+
+    def outside(c: str) -> Column:
+        lo, hi = _fence(c)
+        return F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(c)
+
+    counts = _with_bounds(df.select(*bounds.columns), bounds).agg(*[outside(c) for c in bounds.columns])
     return long_counts(counts, "column", "n_outliers")
 
 
 def cap_outliers(df: DataFrame, bounds: DataFrame) -> DataFrame:
     """Pull values to their fence; NULL stays NULL."""
-    b = _scalar(bounds)
 
     def capped(c: str) -> Column:
-        lo, hi = b.getField(c).getField("lower"), b.getField(c).getField("upper")
+        lo, hi = _fence(c)
         return F.when(F.col(c) < lo, lo).when(F.col(c) > hi, hi).otherwise(F.col(c))
 
-    return df.withColumns({c: capped(c) for c in bounds.columns})
+    return _with_bounds(df, bounds).withColumns({c: capped(c) for c in bounds.columns}).drop("_bounds")
+
+
+def violations(df: DataFrame, broken: dict[str, Column]) -> DataFrame:
+    """Rows breaking each rule, all rules in one scan."""
+    counts = df.agg(*[F.count_if(cond).alias(name) for name, cond in broken.items()])
+    return long_counts(counts, "rule", "n_rows")
 
 
 def rules(dataset: str) -> dict[str, Column]:
@@ -188,12 +212,6 @@ def rules(dataset: str) -> dict[str, Column]:
     raise ValueError(f"no rules for {dataset}")
 
 
-def violations(df: DataFrame, broken: dict[str, Column]) -> DataFrame:
-    """Rows breaking each rule, all rules in one scan."""
-    counts = df.agg(*[F.count_if(cond).alias(name) for name, cond in broken.items()])
-    return long_counts(counts, "rule", "n_rows")
-
-
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fail while the plan is built, before any job runs."""
     absent = [c for c in columns if c not in df.columns]

@@ -176,7 +176,8 @@ class OrderedFrame:
         return self._with(joined.withColumn(out, total).drop("_c__t"))
 
     def smooth(self, column: str, out: str, weight: float, seed: float) -> OrderedFrame:
-        """Exponential smoothing ``(1-weight)*previous + weight*value`` from ``seed``, per key.
+        """Exponential smoothing ``(1-weight)*previous + weight*value`` from ``seed``, per key;
+        a missing value repeats the previous result.
 
         A recursion is no window function, so each bounded group runs in one Arrow
         call. By segments, a halo long enough for its own start to fall below
@@ -192,7 +193,7 @@ class OrderedFrame:
             rows = rows.sort_values(by)
             start = pd.Series([seed], dtype="float64")
             series = pd.concat([start, rows[column]], ignore_index=True)
-            smoothed = series.ewm(alpha=weight, adjust=False).mean()
+            smoothed = series.ewm(alpha=weight, adjust=False, ignore_na=True).mean()
             return rows.assign(**{out: smoothed.iloc[1:].to_numpy()})
 
         done = source.groupBy(*groups).applyInPandas(run, schema)

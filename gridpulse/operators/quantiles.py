@@ -24,9 +24,20 @@ def approx_quantiles(
     )
 
 
+def _interpolated(values: Column, p: float) -> Column:
+    """Linear interpolation at ``p`` in a sorted array."""
+    place = (F.size(values) - 1) * F.lit(p)
+    at = F.floor(place).cast("int")
+    low, high = F.get(values, at), F.get(values, F.least(at + 1, F.size(values) - 1))
+    return F.when(F.size(values) > 0, low + (place - at) * (high - low))
+
+
 def _direct(df: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    return df.groupBy(*keys).agg(*[F.percentile(F.col(c), wanted).alias(c) for c in columns])
+    """Sort each group's values in memory; only for groups whose size has been checked."""
+    arrays = df.groupBy(*keys).agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in columns])
+    return arrays.select(*keys, *[
+        F.array(*[_interpolated(F.col(c), float(p)) for p in probs]).alias(c) for c in columns
+    ])
 
 
 def exact_quantiles(
@@ -35,10 +46,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles: ``keys`` plus one array per column.
 
-    ``percentile`` keeps all distinct values of a group in one task, so it only
-    serves groups of up to ``max_group_rows`` rows. For larger ones a sketch
-    brackets each wanted rank, one scan counts what lies below the bracket, and
-    only the few values inside it are ordered.
+    Groups of up to ``max_group_rows`` rows are sorted in one task each. For larger
+    ones a sketch brackets each wanted rank, one scan counts what lies below the
+    bracket, and only the few values inside it are ordered.
     """
     keys, columns = list(keys), list(columns)
     narrow = df.select(*keys, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])

@@ -83,11 +83,15 @@ def j05(t: Tables) -> DataFrame:
                          F.lit(float(model.intercept)).alias("intercept"), "r2")
 
 
-def ready(t: Tables, name: str) -> training.Prepared:
+def cleaned(t: Tables, name: str) -> DataFrame:
+    return materialize(prepare.clean(getattr(t, name), DATASETS[name]), "cleaned")
+
+
+def ready(t: Tables, name: str, rows: DataFrame | None = None) -> training.Prepared:
     spec = DATASETS[name]
+    rows = prepare.clean(getattr(t, name), spec) if rows is None else rows
     # the fixture's row keys order rows with equal times; they are no features
-    cleaned = prepare.clean(getattr(t, name), spec)
-    return training.prepare(cleaned, spec, ORDER[name], ignore=[c for c in ORDER[name] if c != "timestamp"])
+    return training.prepare(rows, spec, ORDER[name], ignore=[c for c in ORDER[name] if c != "timestamp"])
 
 
 def only(target: str, *names: str):
@@ -141,8 +145,8 @@ def f07(t: Tables) -> DataFrame:
     return training.importances(fitted[best], data.feature_names, data.train, 15)
 
 
-def trained(t: Tables, name: str) -> scoring.Artefacts:
-    spec, data = DATASETS[name], ready(t, name)
+def trained(t: Tables, name: str, rows: DataFrame | None = None) -> scoring.Artefacts:
+    spec, data = DATASETS[name], ready(t, name, rows)
     table, fitted, best = training.train_and_evaluate(data, spec.target, only(spec.target, "Decision Tree"))
     return scoring.Artefacts.of(spec, data, best, fitted[best], table)
 
@@ -150,9 +154,9 @@ def trained(t: Tables, name: str) -> scoring.Artefacts:
 for _name in DATASETS:
     @query(f"j13_score_{_name}", f"SELECT count(*) AS n_rows, 0::BIGINT AS n_without_prediction, 0::BIGINT AS n_without_area FROM {_name}")
     def _score(t: Tables, name: str = _name) -> DataFrame:
-        art = trained(t, name)
-        cleaned = materialize(prepare.clean(getattr(t, name), art.spec), "cleaned")
-        out = scoring.score(cleaned, art, ORDER[name])
+        rows = cleaned(t, name)
+        art = trained(t, name, rows)
+        out = scoring.score(rows, art, ORDER[name])
         p = F.col(art.spec.prediction)
         return out.agg(F.count("*").alias("n_rows"), F.count_if(p.isNull() | F.isnan(p)).alias("n_without_prediction"),
                        F.count_if(F.col("area").isNull()).alias("n_without_area"))
@@ -196,13 +200,13 @@ def j15(t: Tables) -> DataFrame:
 
 @query("a16_model_save_and_load", "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM pollution")
 def a16(t: Tables) -> DataFrame:
-    art = trained(t, "pollution")
+    rows = cleaned(t, "pollution")
+    art = trained(t, "pollution", rows)
     folder = new_path(t.spark, "a16")
     art.save(folder)
     again = scoring.Artefacts.load(t.spark, folder)
-    cleaned = materialize(prepare.clean(t.pollution, art.spec), "cleaned")
-    a = scoring.score(cleaned, art).select("reading_id", F.col("predicted_AQI").alias("a"))
-    b = scoring.score(cleaned, again).select("reading_id", F.col("predicted_AQI").alias("b"))
+    a = scoring.score(rows, art).select("reading_id", F.col("predicted_AQI").alias("a"))
+    b = scoring.score(rows, again).select("reading_id", F.col("predicted_AQI").alias("b"))
     return a.join(b, "reading_id").agg(F.count("*").alias("n_rows"), F.count_if(F.col("a") != F.col("b")).alias("n_different"))
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from gridpulse.operators import cleaning, ordered
 from gridpulse.plans.registry import query
@@ -24,27 +27,36 @@ def plain(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, k in df.dtypes if k == "timestamp"})
 
 
-def as_stream(t: Tables, df: DataFrame, label: str, parts: int = 1, by: str | None = None) -> DataFrame:
-    """Write ``df`` as ``parts`` files, in time order if ``by`` is given, and stream them one by one.
+EVERY_FILE = 100_000  # files per trigger where the batch boundaries do not matter
+
+
+def table_stream(t: Tables, name: str, max_files: int = EVERY_FILE) -> DataFrame:
+    """A given table, read as a stream of its files. The path is put as a pattern because
+    the file source takes a single file only that way; it matches a folder as well."""
+    path = t.path(name)
+    return messages.read_files_as_stream(t.spark, f"{path[:-1]}[{path[-1]}]", t.table(name).schema, max_files=max_files)
 
-    File sources take files in the order of their modification time, hence one
-    write per part.
+
+def feed(t: Tables, df: DataFrame, label: str, start: Callable[[DataFrame], StreamingQuery], parts: int = 1, by: str = "ts") -> None:
+    """Hand ``df`` to a stream in ``parts`` successive deliveries in the order of ``by``.
+
+    Each delivery is written in parallel and taken by one run of the query; the
+    checkpoint carries offsets and state from run to run.
     """
     path = new_path(t.spark, label)
-    if parts == 1:
-        df.write.parquet(f"{path}/p0")
-    else:
-        cuts = df.agg(F.percentile_approx(by, [i / parts for i in range(1, parts)], 1000)).first()[0]
-        kind = df.schema[by].dataType
-        edges = [None, *cuts, None]
-        for i in range(parts):
-            chunk = df
-            if edges[i] is not None:
-                chunk = chunk.filter(F.col(by) > F.lit(edges[i]).cast(kind))
-            if edges[i + 1] is not None:
-                chunk = chunk.filter(F.col(by) <= F.lit(edges[i + 1]).cast(kind))
-            chunk.coalesce(1).write.parquet(f"{path}/p{i}")
-    return messages.read_files_as_stream(t.spark, f"{path}/*", df.schema)
+    cuts: list = [None, None]
+    if parts > 1:
+        probs = [i / parts for i in range(1, parts)]
+        cuts[1:1] = df.agg(F.percentile_approx(by, probs, 1000)).first()[0]
+    for i in range(parts):
+        chunk, low, high = df, cuts[i], cuts[i + 1]
+        if low is not None:
+            chunk = chunk.filter(F.col(by) > F.lit(low).cast(df.schema[by].dataType))
+        if high is not None:
+            chunk = chunk.filter(F.col(by) <= F.lit(high).cast(df.schema[by].dataType))
+        chunk.write.parquet(f"{path}/p{i}")
+        stream = messages.read_files_as_stream(t.spark, f"{path}/*", df.schema, max_files=EVERY_FILE)
+        jobs.finish(start(stream))
 
 
 def done(t: Tables, folder: str, schema=None) -> DataFrame:
@@ -57,9 +69,9 @@ CLEAN_SQL = """
     WHERE TRY_CAST(day_text AS TIMESTAMP) IS NOT NULL"""
 
 
-def message_stream(t: Tables, label: str) -> DataFrame:
+def sent_messages(t: Tables) -> DataFrame:
     rows = t.dirty.select("event_id", "user_id", "day_text", F.nanvl("value", F.lit(None)).alias("value"))
-    return as_stream(t, messages.encode(rows, "user_id"), label)
+    return messages.encode(rows, "user_id")
 
 
 def decode_clean(t: Tables):
@@ -71,27 +83,28 @@ def decode_clean(t: Tables):
     return run
 
 
-@query("a03_rate_limited_source", "SELECT count(*) AS n_rows, 4 AS n_batches FROM events")
+@query("a03_rate_limited_source", "SELECT count(*) AS n_rows, true AS one_file_per_batch FROM events")
 def a03(t: Tables) -> DataFrame:
-    stream = as_stream(t, t.events.select("event_id", "ts"), "a03", 4, "ts")
-    out = new_path(t.spark, "a03out")
-    jobs.finish(jobs.start_batches(stream, lambda b: b, out, new_path(t.spark, "a03cp"), None))
-    seen = done(t, out)
-    return seen.agg(F.count("*").alias("n_rows"), F.count_distinct("batch_id").cast("int").alias("n_batches"))
+    src, out, cp = (new_path(t.spark, f"a03{x}") for x in ("src", "out", "cp"))
+    rows = t.events.select("event_id", "ts")
+    rows.repartition(4).write.parquet(src)
+    stream = messages.read_files_as_stream(t.spark, src, rows.schema, max_files=1)
+    jobs.finish(jobs.start_batches(stream, lambda b: b.withColumn("file", F.input_file_name()), out, cp, None))
+    batches = done(t, out).groupBy("batch_id").agg(F.count("*").alias("n"), F.min("file").alias("a"), F.max("file").alias("b"))
+    return batches.agg(F.sum("n").alias("n_rows"), F.bool_and(F.col("a") == F.col("b")).alias("one_file_per_batch"))
 
 
 @query("a05_micro_batch_callback", CLEAN_SQL.replace("value FROM", "CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM"))
 def a05(t: Tables) -> DataFrame:
-    out = new_path(t.spark, "a05out")
-    stream = message_stream(t, "a05")
-    jobs.finish(jobs.start_batches(stream, decode_clean(t), out, new_path(t.spark, "a05cp"), None))
+    out, cp = new_path(t.spark, "a05out"), new_path(t.spark, "a05cp")
+    feed(t, sent_messages(t), "a05", lambda s: jobs.start_batches(s, decode_clean(t), out, cp, None))
     return plain(done(t, out).drop("batch_id"))
 
 
 @query("a06_timed_lifecycle", "SELECT count(*) AS n_rows FROM events")
 def a06(t: Tables) -> DataFrame:
     out = new_path(t.spark, "a06out")
-    stream = as_stream(t, t.events.select("event_id", "ts"), "a06")
+    stream = table_stream(t, "events").select("event_id", "ts")
     q = jobs.start_batches(stream, lambda b: b, out, new_path(t.spark, "a06cp"), "1 second")
     q.processAllAvailable()
     jobs.run_for([q], 0.1)
@@ -100,7 +113,7 @@ def a06(t: Tables) -> DataFrame:
 
 @query("i01_replay_from_start", "SELECT event_id, value FROM events")
 def i01(t: Tables) -> DataFrame:
-    stream = as_stream(t, t.events.select("event_id", "ts", "value"), "i01", 3, "ts").drop("ts")
+    stream = table_stream(t, "events", 1).select("event_id", "value")
     out = new_path(t.spark, "i01out")
     jobs.finish(jobs.start_files(stream, out, new_path(t.spark, "i01cp")))
     return done(t, out)
@@ -110,22 +123,17 @@ def i01(t: Tables) -> DataFrame:
     SELECT user_id, count(*) AS n, count(value) AS n_values FROM (SELECT user_id, CASE WHEN isnan(value) THEN NULL ELSE value END
         AS value FROM ({CLEAN_SQL})) GROUP BY 1""")
 def i02(t: Tables) -> DataFrame:
-    out = new_path(t.spark, "i02out")
-    stream = message_stream(t, "i02")
-    jobs.finish(jobs.start_batches(stream, decode_clean(t), out, new_path(t.spark, "i02cp"), None))
+    out, cp = new_path(t.spark, "i02out"), new_path(t.spark, "i02cp")
+    feed(t, sent_messages(t), "i02", lambda s: jobs.start_batches(s, decode_clean(t), out, cp, None))
     return done(t, out).groupBy("user_id").agg(F.count("*").alias("n"), F.count("value").alias("n_values"))
 
 
 @query("i03_resume_after_restart", "SELECT event_id, ts, value FROM events")
 def i03(t: Tables) -> DataFrame:
     """Two runs with one checkpoint: the second takes only what came after the first."""
-    src, out, cp = (new_path(t.spark, f"i03{x}") for x in ("src", "out", "cp"))
+    out, cp = new_path(t.spark, "i03out"), new_path(t.spark, "i03cp")
     rows = t.events.select("event_id", "ts", "value")
-    clicks = F.col("event_id") < rows.agg(F.percentile_approx("event_id", 0.5)).first()[0]
-    for i, part in enumerate((rows.filter(clicks), rows.filter(~clicks))):
-        part.write.parquet(f"{src}/p{i}")
-        stream = messages.read_files_as_stream(t.spark, f"{src}/*", rows.schema)
-        jobs.finish(jobs.start_batches(stream, lambda b: b, out, cp, None))
+    feed(t, rows, "i03", lambda s: jobs.start_batches(s, lambda b: b, out, cp, None), 2)
     return done(t, out).drop("batch_id")
 
 
@@ -136,10 +144,13 @@ SERIES_SQL = """
 
 def series(t: Tables, label: str, parts: int, seed: float = 0.0) -> DataFrame:
     rows = zoned(t.events.select("event_id", "user_id", "ts", "value"))
-    stream = state.with_series_state(as_stream(t, rows, label, parts, "ts"), "user_id", ORDER, "value", 0.32, seed)
-    out = new_path(t.spark, f"{label}out")
-    jobs.finish(jobs.start_files(stream, out, new_path(t.spark, f"{label}cp")))
-    return plain(done(t, out, stream.schema))
+    out, cp = new_path(t.spark, f"{label}out"), new_path(t.spark, f"{label}cp")
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        return jobs.start_files(state.with_series_state(stream, "user_id", ORDER, "value", 0.32, seed), out, cp)
+
+    feed(t, rows, label, start, parts)
+    return plain(done(t, out))
 
 
 @query("i04_stream_lags", SERIES_SQL)
@@ -151,16 +162,15 @@ def i04(t: Tables) -> DataFrame:
        .replace(",\n        false AS late", ""))
 def i04_carried(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "event_type", "ts", "value")
-    out = new_path(t.spark, "i04cout")
+    out, cp = new_path(t.spark, "i04cout"), new_path(t.spark, "i04ccp")
     lags = jobs.CarriedLags("event_type", ORDER, "value", out, new_path(t.spark, "i04cstate"))
-    stream = as_stream(t, rows, "i04c", 2, "ts")
-    jobs.finish(jobs.start_carried_lags(stream, lags, new_path(t.spark, "i04ccp")))
+    feed(t, rows, "i04c", lambda s: jobs.start_carried_lags(s, lags, cp), 2)
     return done(t, out).drop("batch_id")
 
 
 @query("i04_zero_fill_lags", "SELECT event_id, value, 0::DOUBLE AS lag1, 0::DOUBLE AS lag2 FROM events")
 def i04_zero(t: Tables) -> DataFrame:
-    stream = as_stream(t, t.events.select("event_id", "value"), "i04z")
+    stream = table_stream(t, "events").select("event_id", "value")
     out = new_path(t.spark, "i04zout")
     zero = stream.withColumns({"lag1": F.lit(0.0), "lag2": F.lit(0.0)})
     jobs.finish(jobs.start_files(zero, out, new_path(t.spark, "i04zcp")))
@@ -210,10 +220,14 @@ def measures() -> dict[str, Column]:
         event_type, count(*) AS n, avg(value) AS mean_value, max(value) AS max_value FROM events GROUP BY 1, 2, 3""",
     rounded="mean_value")
 def i07(t: Tables) -> DataFrame:
-    stream = as_stream(t, zoned(t.events.select("ts", "event_type", "value")), "i07", 2, "ts")
-    kpis = jobs.windowed_kpis(stream, "ts", measures(), "1 hour", keys=["event_type"])
-    out = new_path(t.spark, "i07out")
-    jobs.finish(jobs.start_refreshed_table(kpis, out, new_path(t.spark, "i07cp")))
+    out, cp = new_path(t.spark, "i07out"), new_path(t.spark, "i07cp")
+    rows = zoned(t.events.select("ts", "event_type", "value"))
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        kpis = jobs.windowed_kpis(stream, "ts", measures(), "1 hour", keys=["event_type"])
+        return jobs.start_refreshed_table(kpis, out, cp)
+
+    feed(t, rows, "i07", start, 2)
     return plain(done(t, out))
 
 
@@ -222,19 +236,20 @@ def i07(t: Tables) -> DataFrame:
     FROM (SELECT value, unnest([time_bucket(INTERVAL 1 HOUR, ts), time_bucket(INTERVAL 1 HOUR, ts) - INTERVAL 1 HOUR]) AS s FROM events)
     GROUP BY 1, 2""", rounded="mean_value")
 def i07_sliding(t: Tables) -> DataFrame:
-    stream = as_stream(t, zoned(t.events.select("ts", "value")), "i07s")
     out = new_path(t.spark, "i07sout")
-    kpis = jobs.windowed_kpis(stream, "ts", measures(), "2 hours", "1 hour")
+    kpis = jobs.windowed_kpis(zoned(table_stream(t, "events")), "ts", measures(), "2 hours", "1 hour")
     jobs.finish(jobs.start_refreshed_table(kpis, out, new_path(t.spark, "i07scp")))
     return plain(done(t, out))
 
 
 @query("i08_stream_deduplication", "SELECT event_id, user_id, ts FROM dirty")
 def i08(t: Tables) -> DataFrame:
-    stream = as_stream(t, zoned(t.repeated.select("event_id", "user_id", "ts")), "i08", 2, "ts")
-    out = new_path(t.spark, "i08out")
-    unique = jobs.drop_stream_duplicates(stream, "ts", ["event_id", "ts"], "1 hour")
-    jobs.finish(jobs.start_files(unique, out, new_path(t.spark, "i08cp")))
+    out, cp = new_path(t.spark, "i08out"), new_path(t.spark, "i08cp")
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        return jobs.start_files(jobs.drop_stream_duplicates(stream, "ts", ["event_id", "ts"], "1 hour"), out, cp)
+
+    feed(t, zoned(t.repeated.select("event_id", "user_id", "ts")), "i08", start, 2)
     return plain(done(t, out))
 
 
@@ -250,7 +265,11 @@ def c09_streams(t: Tables) -> DataFrame:
         (e.filter("load_type <> 'Industrial'").select("area", "timestamp", "energy_consumption"), "c09e"),
         (e.filter("weather <> 'Rain'").select("area", "timestamp", F.col("humidity").alias("AQI")), "c09p"),
     ]
-    streams = [(as_stream(t, df, label), label) for df, label in parts]
+    streams = []
+    for df, label in parts:
+        path = new_path(t.spark, label)
+        df.write.parquet(path)
+        streams.append(messages.read_files_as_stream(t.spark, path, df.schema, max_files=EVERY_FILE))
     joined = jobs.join_streams(streams, "timestamp", "area", "1 hour")
     out = new_path(t.spark, "c09out")
     jobs.finish(jobs.start_files(joined, out, new_path(t.spark, "c09cp")))

@@ -94,9 +94,9 @@ def drop_stream_duplicates(stream: DataFrame, ts: str, keys: Sequence[str], late
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
 
 
-def join_streams(streams: Sequence[tuple[DataFrame, str]], ts: str, key: str, late: str) -> DataFrame:
+def join_streams(streams: Sequence[DataFrame], ts: str, key: str, late: str) -> DataFrame:
     """Inner join of streams on time and key; the watermarks bound what each side keeps."""
-    marked = [df.withWatermark(ts, late) for df, _ in streams]
+    marked = [df.withWatermark(ts, late) for df in streams]
     out = marked[0]
     for other in marked[1:]:
         out = out.join(other, [ts, key])

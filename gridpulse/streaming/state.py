@@ -31,29 +31,38 @@ def with_series_state(
     order = list(order)
 
     def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames), ignore_index=True).sort_values(order, ignore_index=True)
+        parts = list(frames)
+        rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        rows = rows.iloc[np.lexsort([rows[c].to_numpy() for c in reversed(order)])]
         last_us, seq, lag1, lag2, smooth = state.get if state.exists else (None, 0, None, None, seed)
-        micros = rows[order[0]].astype("datetime64[us]").astype("int64")
-        late = (micros < last_us) if last_us is not None else pd.Series(False, index=rows.index)
-        fresh = rows[~late]
-        out = rows.assign(seq=pd.array([pd.NA] * len(rows), dtype="Int64"), lag1=np.nan, lag2=np.nan,
-                          smooth=np.nan, late=late)
-        if len(fresh):
-            values = fresh[column].astype("float64")
-            before = pd.Series([np.nan if lag2 is None else lag2, np.nan if lag1 is None else lag1])
-            known = pd.concat([before, values], ignore_index=True)
-            out.loc[~late, "lag1"] = known.shift(1).iloc[2:].to_numpy()
-            out.loc[~late, "lag2"] = known.shift(2).iloc[2:].to_numpy()
-            series = pd.concat([pd.Series([smooth]), values], ignore_index=True)
-            smoothed = series.ewm(alpha=weight, adjust=False).mean().iloc[1:].to_numpy()
-            out.loc[~late, "smooth"] = smoothed
-            out.loc[~late, "seq"] = np.arange(seq + 1, seq + 1 + len(fresh))
-            tail = known.iloc[-2:].tolist()
+        micros = rows[order[0]].to_numpy().astype("datetime64[us]").astype("int64")
+        fresh = np.ones(len(rows), dtype=bool) if last_us is None else micros >= last_us
+        values = rows[column].to_numpy(dtype="float64", na_value=np.nan)[fresh]
+        known = np.concatenate([[np.nan if x is None else x for x in (lag2, lag1)], values])
+        smoothed = np.empty(len(values))
+        for i, x in enumerate(values.tolist()):
+            smooth = smooth if x != x else (1.0 - weight) * smooth + weight * x
+            smoothed[i] = smooth
+
+        def placed(x: np.ndarray) -> np.ndarray:
+            out = np.full(len(rows), np.nan)
+            out[fresh] = x
+            return out
+
+        number = pd.array(np.arange(seq + 1, seq + 1 + len(values)), dtype="Int64")
+        if not fresh.all():
+            number = pd.Series(number, index=np.flatnonzero(fresh)).reindex(range(len(rows))).array
+        if len(values):
             state.update((
-                int(micros[fresh.index[-1]]), seq + len(fresh),
-                None if pd.isna(tail[1]) else tail[1], None if pd.isna(tail[0]) else tail[0], float(smoothed[-1]),
+                int(micros[fresh][-1]), seq + len(values),
+                None if np.isnan(known[-1]) else float(known[-1]),
+                None if np.isnan(known[-2]) else float(known[-2]), float(smooth),
             ))
-        yield out
+        yield pd.DataFrame({
+            **{c: rows[c].array for c in rows.columns},
+            "seq": number, "lag1": placed(known[1:-1]), "lag2": placed(known[:-2]),
+            "smooth": placed(smoothed), "late": ~fresh,
+        })
 
     return stream.groupBy(key).applyInPandasWithState(
         step, schema, STATE, "append", GroupStateTimeout.NoTimeout
