@@ -72,10 +72,8 @@ def score(df: DataFrame, art: Artefacts, order: Sequence[str] | None = None) ->
     ready = add_features(require_columns(df, spec.required), spec, order)
     ready = with_frequency(ready, art.frequency, "area", "area_enc", stored=True)
     keep = [c for c in ready.columns if c != "area_enc"]
-    rows = art.encoder.transform(ready)
-    gather = art.scaler.stages[0].copy().setHandleInvalid("keep")
-    rows = art.scaler.stages[1].transform(gather.transform(rows))
-    predicted = art.model.transform(assemble(rows, spec, "keep"))
+    rows = art.scaler.transform(art.encoder.transform(ready))
+    predicted = art.model.transform(assemble(rows, spec))
     return predicted.select(*keep, F.col("prediction").alias(spec.prediction))
 
 

@@ -48,13 +48,13 @@ def encoder(columns: Sequence[str]) -> Pipeline:
 
 def scaler(columns: Sequence[str]) -> Pipeline:
     """Numeric columns as one vector, divided by their deviation, not centred."""
-    gather = VectorAssembler(inputCols=list(columns), outputCol="num_raw", handleInvalid="skip")
+    gather = VectorAssembler(inputCols=list(columns), outputCol="num_raw", handleInvalid="keep")
     return Pipeline(stages=[gather, StandardScaler(inputCol="num_raw", outputCol="num_scaled", withMean=False)])
 
 
-def assemble(df: DataFrame, spec: Dataset, invalid: str) -> DataFrame:
+def assemble(df: DataFrame, spec: Dataset) -> DataFrame:
     parts = ["num_scaled", *[f"{c}_ohe" for c in spec.categorical], *spec.encoded]
-    return VectorAssembler(inputCols=parts, outputCol="features", handleInvalid=invalid).transform(df)
+    return VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep").transform(df)
 
 
 @dataclass
@@ -71,17 +71,23 @@ class Prepared:
 
 
 def prepare(df: DataFrame, spec: Dataset, order: Sequence[str], ignore: Sequence[str] = ()) -> Prepared:
-    """Features, chronological 80/20 split, encodings fitted on the train part only."""
+    """Features, chronological 80/20 split, encodings fitted on the train part only.
+
+    Rows with a missing number are left out of training by a plain filter; the
+    assemblers' own skip mode would build every vector twice.
+    """
     full = materialize(add_features(df, spec, order), f"{spec.name}-features")
     train, test = chronological_split(full, order, 0.8)
     frequency = materialize(frequency_table(train, "area", "area_enc"), f"{spec.name}-frequency")
     numeric = numeric_features(full, spec, ignore)
     train = with_frequency(train, frequency, "area", "area_enc", stored=True)
     test = with_frequency(test, frequency, "area", "area_enc", stored=True)
+    numbers = [*numeric, *spec.encoded, spec.target]
+    train, test = train.dropna(subset=numbers), test.dropna(subset=numbers)
     enc = encoder(spec.categorical).fit(train)
     train, test = enc.transform(train), enc.transform(test)
     sca = scaler(numeric).fit(train)
-    vectors = [assemble(sca.transform(part), spec, "skip") for part in (train, test)]
+    vectors = [assemble(sca.transform(part), spec) for part in (train, test)]
     names = feature_names(vectors[0], numeric)
     # Only the vector and the target go on; every fit reads these narrow tables.
     stored = [materialize(v.select("features", spec.target), f"{spec.name}-vectors") for v in vectors]

@@ -234,7 +234,7 @@ for _view, _column in (("traffic", "congestion_level"), ("energy", "demand_level
         lambda t, v=_view, c=_column: stats.value_counts(getattr(t, v), c))
 
 
-@query("d18_counts_incident_top8", """
+@query("d18_counts_incident_leading", """
     SELECT incident, count(*) AS n FROM traffic WHERE incident NOT IN ('None') GROUP BY 1 ORDER BY n DESC, 1 LIMIT 8""")
 def d18_incident(t: Tables) -> DataFrame:
     return stats.value_counts(t.traffic, "incident", 8, ["None"])
@@ -540,12 +540,12 @@ for _name, _view, _c, _agg in (
     ("aqi", "pollution", "AQI", 'avg("AQI")'),
     ("renewable", "energy", "renewable_usage", "avg(renewable_usage)"),
 ):
-    query(f"f02_top8_{_name}", f"""
+    query(f"f02_leaders_{_name}", f"""
         SELECT area, {_agg} AS mean FROM {_view} GROUP BY area ORDER BY mean DESC, area LIMIT 8""", rounded="mean")(
         lambda t, v=_view, c=_c: stats.top_groups(getattr(t, v), "area", {"mean": F.avg(c)}, "mean", 8))
 
 
-@query("f02_top8_outage", """
+@query("f02_leaders_outage", """
     SELECT area, avg(power_outage) * 100 AS outage_pct, CASE WHEN avg(power_outage) * 100 > 10 THEN 'High'
         WHEN avg(power_outage) * 100 > 5 THEN 'Medium' ELSE 'Low' END AS tier
     FROM energy GROUP BY area ORDER BY outage_pct DESC, area LIMIT 8""", rounded="outage_pct")
@@ -554,7 +554,7 @@ def f02_outage(t: Tables) -> DataFrame:
     return top.withColumn("tier", bands.outage_tier(F.col("outage_pct")))
 
 
-@query("f03_top10_volume_speed", """
+@query("f03_leaders_volume_speed", """
     SELECT area, avg(vehicle_count) AS vehicles, avg(avg_speed) AS speed FROM traffic GROUP BY area
     ORDER BY vehicles DESC, area LIMIT 10""", rounded="vehicles speed")
 def f03(t: Tables) -> DataFrame:

@@ -138,7 +138,7 @@ def j12(t: Tables) -> DataFrame:
     return training.importances(fitted[best], data.feature_names, data.train)
 
 
-@query("f07_top15_importances")
+@query("f07_leading_importances")
 def f07(t: Tables) -> DataFrame:
     data = ready(t, "traffic")
     _, fitted, best = training.train_and_evaluate(data, "vehicle_count", only("vehicle_count", "Decision Tree"))
