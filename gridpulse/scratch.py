@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
+_LOCAL: dict[str, str] = {}  # application id -> its own folder, in local mode only
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,9 +25,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    created = tempfile.mkdtemp(prefix="gridpulse-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:  # a core setting cannot be changed in a running session
+        _LOCAL[app] = tempfile.mkdtemp(prefix="gridpulse-")
+    return _LOCAL[app]
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -1,6 +1,7 @@
 """Files: optional inputs, documents, single-file marts, large values."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 
@@ -65,6 +66,25 @@ def test_shared_folder_is_the_configured_one(spark):
     assert kept.inputFiles()[0].split("file://")[-1].startswith(scratch.shared_dir(spark))
 
 
+def test_own_folder_only_in_local_mode():
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default),
+            sparkContext=SimpleNamespace(master=master, applicationId="app-own-folder"))
+
+    made = scratch.shared_dir(session("local[2]"))
+    assert made == scratch.shared_dir(session("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_dir(session("spark://host:7077"))
+
+
+def test_release_removes_what_was_written(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_dir", lambda s: spark.conf.get("spark.checkpoint.dir") + "/released")
+    path = scratch.materialize(spark.range(3)).inputFiles()[0].split("/stage-")[0]
+    assert files.exists(spark, path)
+    assert scratch.release(spark) and not files.exists(spark, path)
+
+
 def test_lookup_larger_than_the_limit_is_not_broadcast(spark):
     df, lookup = spark.range(100), spark.range(50).selectExpr("id", "id * 2 as d")
     small = scratch.lookup_join(df, lookup, "id")
