@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import langid, toxicity
+from gridpulse.llm import decontaminate, jaccard, langid, packing, toxicity
 from gridpulse.llm.common import documents
 from gridpulse.scratch import materialize
 
@@ -27,9 +28,33 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return found.where(F.col("language found") != langid.UNKNOWN).select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of linked documents, and of repeated rows one."""
+    found = jaccard.join(docs).where("doc_id = class_id").select(F.col("doc_id").alias("kept id")).distinct()
+    named = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row"))
+    kept = named.join(found, F.col("doc_id") == F.col("kept id"), "left_semi").select(
+        *["doc_id" if c == "doc_id" else F.col("row").getField(c).alias(c) for c in docs.columns])
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a passage of the benchmark within its error budget."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hits = decontaminate.matches(docs, items).select("doc_id").distinct()
+    return docs.join(hits, "doc_id", "left_anti").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all remaining documents in sequences of 1024 ids."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
     ("language_id", drop_unknown_language),
+    ("jaccard_join", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
 ]
 
 #: Trained models and retrieval are not expressible in SQL; tests hold the stages against brute-force versions.
@@ -38,6 +63,27 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
+    for name, stage in def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of linked documents, and of repeated rows one."""
+    found = jaccard.join(docs).where("doc_id = class_id").select(F.col("doc_id").alias("kept id")).distinct()
+    named = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row"))
+    kept = named.join(found, F.col("doc_id") == F.col("kept id"), "left_semi").select(
+        *["doc_id" if c == "doc_id" else F.col("row").getField(c).alias(c) for c in docs.columns])
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a passage of the benchmark within its error budget."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hits = decontaminate.matches(docs, items).select("doc_id").distinct()
+    return docs.join(hits, "doc_id", "left_anti").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all remaining documents in sequences of 1024 ids."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return docs
