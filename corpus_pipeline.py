@@ -15,9 +15,7 @@ from gridpulse.scratch import materialize
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose toxicity is below one half; learns from every labelled document that is still here."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("id"), F.col("toxic").alias("y"))
-    known = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("t")).join(labels, "id")
-    model = toxicity.fit(known, "id", "t", "y")
+    model = toxicity.fit(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model, into="toxic score").where("`toxic score` < 0.5").select(*docs.columns)
 
 
@@ -63,27 +61,6 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for name, stage in def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of linked documents, and of repeated rows one."""
-    found = jaccard.join(docs).where("doc_id = class_id").select(F.col("doc_id").alias("kept id")).distinct()
-    named = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row"))
-    kept = named.join(found, F.col("doc_id") == F.col("kept id"), "left_semi").select(
-        *["doc_id" if c == "doc_id" else F.col("row").getField(c).alias(c) for c in docs.columns])
-    return kept.unionByName(docs.where("doc_id is null"))
-
-
-def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a passage of the benchmark within its error budget."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hits = decontaminate.matches(docs, items).select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti").select(*docs.columns)
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all remaining documents in sequences of 1024 ids."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
-
-
-STAGES:
+    for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return docs

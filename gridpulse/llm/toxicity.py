@@ -151,13 +151,14 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(best, -50, 50)))
 
 
-def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic",
+def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic",
         most_clean: int = 4000, most_toxic: int = 1500, **parameters) -> Model:
-    """Train on about ``most_clean`` and ``most_toxic`` labelled documents (the documented bound on what the driver gathers)."""
-    frame = labelled.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("t"),
-                            F.col(label_column).cast("int").alias("y")).where("y in (0, 1)")
-    rows = labelled_sample(frame, "y", "id", {0: most_clean, 1: most_toxic}).collect()
-    rows.sort(key=lambda r: (r["id"] is None, r["id"], r["t"], r["y"]))
+    """Train on about ``most_clean`` and ``most_toxic`` of the documents that ``labels`` marks 0 or 1 (the bound on what the driver gathers)."""
+    usable = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("y")).where("id is not null and y in (0, 1)")
+    sample = labelled_sample(usable, "y", "id", {0: most_clean, 1: most_toxic})  # bounded, so it can be broadcast
+    texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("t"))
+    rows = texts.join(F.broadcast(sample), "id").collect()
+    rows.sort(key=lambda r: (r["id"], r["t"], r["y"]))
     return train([r["t"] for r in rows], [r["y"] for r in rows], **parameters)
 
 
