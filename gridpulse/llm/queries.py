@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import decontaminate, jaccard, langid, packing, toxicity
+from gridpulse.llm import decontaminate, fingerprint, jaccard, langid, packing, tokenfile, toxicity
 from gridpulse.llm.common import documents, fold
+from gridpulse.scratch import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -36,6 +37,13 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(documents(spark, sf_dir))
 
 
+@query("op4_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-ids")
+    tokenfile.write(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return tokenfile.digests(spark, path)
+
+
 @query("op5_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -49,11 +57,16 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op8_fingerprints")
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.neighbours(documents(spark, sf_dir))
+
+
 @query("op9_toxicity")
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold("doc_id", 5) != 0).select("doc_id", "toxic")
-    model = toxicity.fit(docs.join(labels, "doc_id"))
+    model = toxicity.fit(docs, labels)
     found = toxicity.score(docs, model)
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
