@@ -50,6 +50,8 @@ class Encoder:
         self.parts, self.pieces = Words(), Words()
         self.ids, self.starts, self.lens = Grown(np.uint32), Grown(np.int64), Grown(np.int64)
         self.piece_ids, self.piece_starts, self.piece_lens = Grown(np.uint32), Grown(np.int64), Grown(np.int64)
+        self.piece_begin, self.piece_end, self.piece_chars = Grown(np.int32), Grown(np.int32), Grown(np.int64)
+        self.begin, self.end, self.chars = Grown(np.int32), Grown(np.int32), Grown(np.int64)
         self.term, self.piece_term = Grown(np.int64), Grown(np.int64)
 
     def _split(self, text: str) -> list[str] | None:
@@ -97,6 +99,13 @@ class Encoder:
             self.starts.extend(self.ids.size + np.cumsum(own) - own)
             self.lens.extend(own)
             self.ids.extend(_gather(self.piece_ids.data, self.piece_starts.data[numbers], lens))
+            if self.blanks:  # the pieces of a part cover its characters one after another
+                chars = self.piece_chars.data[numbers]
+                before = np.concatenate([[0], np.cumsum(chars)])
+                shift = np.repeat(before[:-1] - np.repeat(before[ends - counts], counts), lens)
+                self.begin.extend(_gather(self.piece_begin.data, self.piece_starts.data[numbers], lens) + shift)
+                self.end.extend(_gather(self.piece_end.data, self.piece_starts.data[numbers], lens) + shift)
+                self.chars.extend(before[ends] - before[ends - counts])
             first = self.piece_term.data[np.append(numbers, 0)[ends - counts]]
             self.term.extend(np.where(counts > 0, first, 0))
         return out
@@ -107,29 +116,45 @@ class Encoder:
         left = set(range(len(pieces))) - set(plain)
         for at in range(0, len(plain), 200):
             some = plain[at: at + 200]
-            ids = np.array(self._ids(("" if self.blanks else " ").join([pieces[i] for i in some])), np.uint32)
+            ids, offsets = self._encoded(("" if self.blanks else " ").join([pieces[i] for i in some]))
             edges = np.flatnonzero(self.edge[ids])
             if len(edges) == len(some):
                 begin = edges if self.blanks else np.concatenate([[0], edges[:-1] + 1])
                 starts[some] = self.piece_ids.size + begin
                 lens[some] = np.diff(np.append(begin, len(ids)))
-                self.piece_ids.extend(ids)
+                if self.blanks:
+                    offsets = offsets - np.repeat(offsets[begin, 0], lens[some])[:, None]
+                self._keep(ids, offsets)
             else:
                 left.update(some)
         for i in sorted(left):
-            ids = np.array(self._ids(pieces[i]), np.uint32)
+            ids, offsets = self._encoded(pieces[i])
             starts[i], lens[i] = self.piece_ids.size, len(ids)
-            self.piece_ids.extend(ids)
+            self._keep(ids, offsets)
+        self.piece_chars.extend(np.fromiter(map(len, pieces), np.int64, len(pieces)))
         self.piece_term.extend((hash_words([p.strip().lower() for p in pieces]) >> np.uint64(24)).astype(np.int64))
         self.piece_starts.extend(starts)
         self.piece_lens.extend(lens)
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def _encoded(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        return np.array(found.ids, np.uint32), np.array(found.offsets if self.blanks else [], np.int64).reshape(-1, 2)
+
+    def _keep(self, ids: np.ndarray, offsets: np.ndarray) -> None:
+        self.piece_ids.extend(ids)
+        if self.blanks:
+            self.piece_begin.extend(offsets[:, 0])
+            self.piece_end.extend(offsets[:, 1])
 
     def ids_of(self, parts: np.ndarray) -> np.ndarray:
         return _gather(self.ids.data, self.starts.data[parts], self.lens.data[parts])
 
+    def spans_of(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First character and end of each token in the text; only of vocabularies that keep blanks."""
+        starts, lens, chars = self.starts.data[parts], self.lens.data[parts], self.chars.data[parts]
+        shift = np.repeat(np.cumsum(chars) - chars, lens)
+        return _gather(self.begin.data, starts, lens) + shift, _gather(self.end.data, starts, lens) + shift
+
 
 def _gather(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The runs of ``values`` with those starts and lengths, one after another."""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import decontaminate, fingerprint, jaccard, langid, packing, tokenfile, toxicity
+from gridpulse.llm import decontaminate, fingerprint, jaccard, langid, licenses, lmscore, packing, tokencounts, tokenfile, toxicity
 from gridpulse.llm.common import documents, fold
 from gridpulse.scratch import new_path
 
@@ -37,6 +37,11 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(documents(spark, sf_dir))
 
 
+@query("op3_lm_scores")
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(documents(spark, sf_dir))
+
+
 @query("op4_token_files")
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-ids")
@@ -57,6 +62,11 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op7_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op8_fingerprints")
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.neighbours(documents(spark, sf_dir))
@@ -70,3 +80,8 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score(docs, model)
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op10_license_scan", licenses.sql())
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
