@@ -39,11 +39,11 @@ def aqi_alert(v: Column) -> Column:
 
 
 def renewable_tier(v: Column) -> Column:
-    return F.when(v > 15, "High").when(v > 8, "Medium").otherwise("Low")
+    return F.when(v > 15, "High (>15%)").when(v > 8, "Mid (8-15%)").otherwise("Low (<8%)")
 
 
 def outage_tier(pct: Column) -> Column:
-    return F.when(pct > 10, "High").when(pct > 5, "Medium").otherwise("Low")
+    return F.when(pct > 10, "Critical (>10%)").when(pct > 5, "Moderate (5-10%)").otherwise("Normal (<5%)")
 
 
 def score_grade(score: Column) -> Column:

@@ -27,7 +27,8 @@ def _z(column: str) -> Column:
 
 
 def z_scores(df: DataFrame, column: str) -> DataFrame:
-    """Absolute z-score of each row against the whole table."""
+    """Absolute z-score of each row against the whole table; NaN counts as missing."""
+    df = df.withColumn(column, nan_to_null(column))
     stats = _moments(df, column, []).select(F.struct("_mu", "_sigma").alias("s")).scalar()
     placed = df.withColumn("_s", stats)
     placed = placed.withColumns({"_mu": F.col("_s._mu"), "_sigma": F.col("_s._sigma")})
@@ -60,7 +61,8 @@ def detect_anomalies(
     moments = _moments(df, column, keys)
     rolled = rolling(df, column, window, order, keys, **sizes)
     if keys:
-        stats = moments.join(q, keys)
+        same = [moments[k].eqNullSafe(q[k]) for k in keys]
+        stats = moments.join(q, same).select(*[moments[c] for c in moments.columns], "_lower", "_upper")
         placed = lookup_join(rolled, stats, keys)
     else:
         m = moments.select(F.struct(*moments.columns).alias("s")).scalar()

@@ -63,9 +63,9 @@ def scheduled_events(spark: SparkSession) -> DataFrame:
 def event_days(events: DataFrame, key: str) -> DataFrame:
     """Event ranges as one row per key and day: the largest multiplier of events that run all
     that day, and of events that end on it (an event ends at 23:59:59 of its last day)."""
-    days = events.select(
+    days = events.filter(F.col("first") <= F.col("last")).select(  # a range that ends before it begins has no day
         F.col("area").alias(key), "multiplier", "last",
-        F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("_day"),
+        F.explode(F.sequence("first", F.greatest("first", "last"), F.expr("interval 1 day"))).alias("_day"),
     )
     ends = F.col("_day") == F.col("last")
     return days.groupBy(key, "_day").agg(

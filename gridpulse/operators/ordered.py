@@ -13,7 +13,6 @@ one window over the whole group.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -100,8 +99,6 @@ class OrderedFrame:
     def _halo(self, before: int, after: int) -> DataFrame:
         """Each row in its own segment, boundary rows also in the neighbouring ones."""
         b = self.segment_rows
-        if max(before, after) > b:
-            raise ValueError("a frame must not be longer than a segment")
         targets = F.array_distinct(F.array(
             F.col("_seg"),
             F.expr(f"cast(floor((_pos - {after}) / cast({b} as double)) as bigint)"),
@@ -121,6 +118,10 @@ class OrderedFrame:
         exprs = {name: make(spec) for name, make in columns.items()}
         if not self.split:
             return self._with(self.df.withColumns(exprs))
+        if max(before, after) > self.segment_rows:  # a frame reaches into the neighbouring segments only
+            longer = max(before, after)
+            frame = OrderedFrame(self.df.withColumn("_seg", F.expr(f"_pos div {longer}")), self.keys, self.order, longer)
+            return frame.windows(columns, before, after)
         done = self._halo(before, after).withColumns(exprs)
         return self._with(done.filter(F.col("_seg") == F.col("_own")).drop("_own"))
 
@@ -172,7 +173,8 @@ class OrderedFrame:
             return self._with(local)
         carried = self._carry({"_t": F.sum(column)}, F.sum)
         joined = self._join_carry(local, carried)
-        total = F.col(out) + F.coalesce(F.col("_c__t"), F.lit(0))
+        # A segment may begin with missing values: then its own sum is NULL and the carry alone counts.
+        total = F.coalesce(F.col(out) + F.col("_c__t"), F.col(out), F.col("_c__t"))
         return self._with(joined.withColumn(out, total).drop("_c__t"))
 
     def smooth(self, column: str, out: str, weight: float, seed: float) -> OrderedFrame:
@@ -180,26 +182,42 @@ class OrderedFrame:
         a missing value repeats the previous result.
 
         A recursion is no window function, so each bounded group runs in one Arrow
-        call. By segments, a halo long enough for its own start to fall below
-        double precision replaces the exact state of the segment before.
+        call. A stretch of rows maps the state before it to ``keep * state + own``, so by
+        segments each one is smoothed from zero, the maps of one row per segment are
+        composed in order, and every row adds its share of the state it starts from.
         """
-        halo = min(self.segment_rows or 0, math.ceil(math.log(1e-20) / math.log(1.0 - weight)))
-        source = self._halo(halo, 0) if self.split else self.df
         groups = ["_seg", *self.keys] if self.split else self.keys
         by = ["_pos"] if self.split else self.order
-        schema = source.withColumn(out, F.lit(0.0).cast("double")).schema
+        start_at = 0.0 if self.split else seed
+        schema = self.df.withColumns({out: F.lit(0.0).cast("double"), "_keep": F.lit(0.0).cast("double")}).schema
 
         def run(rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.sort_values(by)
-            start = pd.Series([seed], dtype="float64")
-            series = pd.concat([start, rows[column]], ignore_index=True)
+            values = rows[column].astype("float64")
+            series = pd.concat([pd.Series([start_at], dtype="float64"), values], ignore_index=True)
             smoothed = series.ewm(alpha=weight, adjust=False, ignore_na=True).mean()
-            return rows.assign(**{out: smoothed.iloc[1:].to_numpy()})
+            return rows.assign(**{out: smoothed.iloc[1:].to_numpy(), "_keep": (1.0 - weight) ** values.notna().cumsum().to_numpy()})
 
-        done = source.groupBy(*groups).applyInPandas(run, schema)
-        if self.split:
-            done = done.filter(F.col("_seg") == F.col("_own")).drop("_own")
-        return self._with(done)
+        done = self.df.groupBy(*groups).applyInPandas(run, schema)
+        if not self.split:
+            return self._with(done.drop("_keep"))
+        # The rows' partitions are read twice: once for the last row of each segment.
+        done = materialize(done, "smoothed")
+        ends = done.groupBy("_seg", *self.keys).agg(F.max_by(F.struct(F.col(out).alias("own"), F.col("_keep").alias("keep")), "_pos").alias("m"))
+        keyed = ends.select("_seg", *self.keys, "m.*")
+
+        def compose(rows: pd.DataFrame) -> pd.DataFrame:  # one row for each segment of a key
+            rows, state, states = rows.sort_values("_seg"), seed, []
+            for own, keep in zip(rows["own"].tolist(), rows["keep"].tolist()):
+                states.append(state)
+                state = keep * state + own
+            return rows.assign(state=states).drop(columns=["own", "keep"])
+
+        carry_schema = keyed.drop("own", "keep").withColumn("state", F.lit(0.0).cast("double")).schema
+        states = keyed.groupBy(*self.keys).applyInPandas(compose, carry_schema)
+        joined = self._join_carry(done, states)
+        total = F.col(out) + F.col("_keep") * F.col("_c_state")
+        return self._with(joined.withColumn(out, total).drop("_keep", "_c_state"))
 
     def result(self) -> DataFrame:
         return self.df.drop("_pos", "_seg")

@@ -128,7 +128,15 @@ def _bracketed(
             F.max(F.when((F.col("_column") == c) & (F.col("_i") == i), value)) for i in range(len(probs))
         ]).alias(c)
 
-    return stat.groupBy(*keys).agg(*[pick(c) for c in columns])
+    found = stat.groupBy(*keys).agg(*[pick(c) for c in columns])
+    if not keys:
+        return found
+    # A group without any value is a row of its own all the same.
+    every = df.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    same = [found[k].eqNullSafe(every[f"_k_{k}"]) for k in keys]
+    nothing = F.array(*[F.lit(None).cast("double")] * len(probs))
+    return every.join(found, same, "left").select(
+        *[F.col(f"_k_{k}").alias(k) for k in keys], *[F.coalesce(F.col(c), nothing).alias(c) for c in columns])
 
 
 def rank_cut(
@@ -145,12 +153,16 @@ def rank_cut(
         kind = df.schema[c].dataType
         sketchable = isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
         below, inner = 0, rows
-        if sketchable and total > max_group_rows:
-            p, margin = left / total, 2.0 / ACCURACY + 3.0 / total
+        missing = rows.filter(F.col(c).isNull()).count() if sketchable and total > max_group_rows else 0
+        if missing and left <= missing:  # missing values come first
+            inner = rows.filter(F.col(c).isNull())
+        elif sketchable and total > max_group_rows:
+            known = total - missing
+            p, margin = (left - missing) / known, 2.0 / ACCURACY + 3.0 / known
             ends = rows.agg(F.percentile_approx(
                 c, [max(0.0, p - margin), min(1.0, p + margin)], ACCURACY).alias("q")).first()["q"]
             lo, hi = F.lit(ends[0]).cast(kind), F.lit(ends[1]).cast(kind)
-            below = rows.filter(F.col(c) < lo).count()
+            below = missing + rows.filter(F.col(c) < lo).count()
             inner = rows.filter(F.col(c).between(lo, hi))
         counts = inner.groupBy(c).agg(F.count("*").alias("_c"))
         run = OrderedFrame.of(counts, [], [c], max_group_rows).running_sum("_c", "_cum").result()
@@ -161,16 +173,19 @@ def rank_cut(
         total = hit["_c"]
         if left == total:
             break
-        rows = rows.filter(F.col(c) == F.lit(hit[c]).cast(kind))
+        rows = rows.filter(F.col(c).eqNullSafe(F.lit(hit[c]).cast(kind)))
     return cut
 
 
 def at_or_before(df: DataFrame, order: Sequence[str], cut: Sequence[object]) -> Column:
-    """Row comparison ``order <= cut`` as a predicate the scan can push down."""
+    """Row comparison ``order <= cut``, missing values first, as a predicate the scan can push down."""
     condition = F.lit(True)
     for c, v in reversed(list(zip(order, cut))):
+        if v is None:
+            condition = F.col(c).isNull() & condition
+            continue
         value = F.lit(v).cast(df.schema[c].dataType)
-        condition = (F.col(c) < value) | ((F.col(c) == value) & condition)
+        condition = F.col(c).isNull() | (F.col(c) < value) | ((F.col(c) == value) & condition)
     return condition
 
 
@@ -182,7 +197,7 @@ def chronological_split(
     if first == 0:
         return df.limit(0), df
     early = at_or_before(df, order, rank_cut(df, order, first, max_group_rows))
-    return df.filter(early), df.filter(~early)
+    return df.filter(early), df.filter(~F.coalesce(early, F.lit(False)))
 
 
 def last_rows(df: DataFrame, ts: str, tie: Sequence[str], n: int) -> DataFrame:

@@ -74,12 +74,12 @@ def merge_batches(batches: Sequence[DataFrame]) -> DataFrame | None:
 
 
 def merge_history(
-    history: DataFrame | None, recent: DataFrame | None, ts: str, tie: Sequence[str], keep: int = 10_000
+    history: DataFrame | None, recent: DataFrame | None, ts: str, tie: Sequence[str], keep: int | None = None
 ) -> DataFrame | None:
-    """The latest ``keep`` history rows and all stream rows, in time order."""
+    """History and stream rows in time order; with ``keep``, only the latest rows of the history."""
     parts = []
     if history is not None:
-        parts.append(last_rows(history, ts, tie, keep))
+        parts.append(history if keep is None else last_rows(history, ts, tie, keep))
     if recent is not None:
         parts.append(recent)
     if not parts:

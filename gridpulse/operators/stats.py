@@ -8,12 +8,13 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridpulse.functions.predicates import nan_to_null
 from gridpulse.operators.quantiles import exact_quantiles
 from gridpulse.scratch import lookup_join
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], values: Sequence[str], prefix: str = "avg_") -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.avg(v).alias(f"{prefix}{v}") for v in values])
+    return df.groupBy(*keys).agg(*[F.avg(nan_to_null(v)).alias(f"{prefix}{v}") for v in values])
 
 
 def mean_std(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -60,7 +61,8 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int, density: bool = False) -> DataFrame:
-    """Equal-width counts over [min, max], the last bin closed; empty bins are kept."""
+    """Equal-width counts over [min, max], the last bin closed; empty bins are kept, NaN counts as missing."""
+    df = df.select(nan_to_null(column).alias(column))
     ends = df.agg(F.struct(
         F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"),
         F.count(column).alias("n"),
@@ -80,7 +82,8 @@ def histogram(df: DataFrame, column: str, bins: int, density: bool = False) -> D
 
 
 def box_stats(df: DataFrame, key: str, value: str, k: float = 1.5) -> DataFrame:
-    """Quartiles, whiskers (most extreme values inside the fence) and fliers per group."""
+    """Quartiles, whiskers (most extreme values inside the fence) and fliers per group, also for a missing key."""
+    df = df.select(key, nan_to_null(value).alias(value))
     q = exact_quantiles(df, [value], [0.25, 0.5, 0.75], [key]).select(
         key,
         F.element_at(value, 1).alias("q1"),
@@ -102,26 +105,27 @@ def density_curve(
     df: DataFrame, column: str, bins: int = 256, points: int = 101, by: str | None = None
 ) -> DataFrame:
     """Gaussian density estimate on a grid, from binned counts (bins x points terms per group,
-    however many rows), with the n^(-1/5) bandwidth rule."""
+    however many rows), with the n^(-1/5) bandwidth rule. Without spread (one row, one value) the density is NULL."""
     keys = [by] if by else []
+    df = df.select(*keys, nan_to_null(column).cast("double").alias(column))
     ends = df.agg(F.struct(
         F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"),
     ).alias("e")).scalar()
     lo, hi = ends.getField("lo"), ends.getField("hi")
     width = (hi - lo) / bins
-    place = F.least(F.floor((F.col(column) - lo) / width), F.lit(bins - 1).cast("bigint"))
+    place = F.coalesce(F.least(F.floor(F.try_divide(F.col(column) - lo, width)), F.lit(bins - 1).cast("bigint")), F.lit(0).cast("bigint"))
     binned = df.filter(F.col(column).isNotNull()).groupBy(*keys, place.alias("_b")).agg(
         F.count("*").alias("_n"), F.sum(column).alias("_s"), F.sum(F.col(column) * F.col(column)).alias("_ss")
     ).withColumn("_x", lo + (F.col("_b") + 0.5) * width)
     total = binned.groupBy(*keys).agg(
         F.sum("_n").cast("double").alias("_t"), F.sum("_s").alias("_m1"), F.sum("_ss").alias("_m2")
     )
-    variance = (F.col("_m2") - F.col("_m1") * F.col("_m1") / F.col("_t")) / (F.col("_t") - 1.0)
+    variance = F.try_divide(F.greatest(F.col("_m2") - F.col("_m1") * F.col("_m1") / F.col("_t"), F.lit(0.0)), F.col("_t") - 1.0)
     total = total.select(
-        *keys, "_t", (F.sqrt(variance) * F.pow(F.col("_t"), F.lit(-0.2))).alias("_bw")
+        *keys, "_t", F.nullif(F.sqrt(variance) * F.pow(F.col("_t"), F.lit(-0.2)), F.lit(0.0)).alias("_bw")
     )
     if by:
-        joined = binned.join(total, by)
+        joined = binned.join(total.withColumnRenamed(by, "_by"), F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
     else:
         one = total.select(F.struct("_t", "_bw").alias("s")).scalar()
         joined = binned.withColumns({"_t": one.getField("_t"), "_bw": one.getField("_bw")})

@@ -515,7 +515,8 @@ def d38(t: Tables) -> DataFrame:
         F.avg("residual").alias("mean_residual"), F.avg("error").alias("mean_abs_error"))
     medians = quantiles.exact_quantiles(rows, ["error"], [0.5], ["l_returnflag"]).select(
         "l_returnflag", F.element_at("error", 1).alias("median_abs_error"))
-    return means.join(medians, "l_returnflag")
+    same = means["l_returnflag"].eqNullSafe(medians["l_returnflag"])
+    return means.join(medians, same).drop(medians["l_returnflag"])
 
 
 @query("d39_absolute_percentage_error", f"""
@@ -546,8 +547,8 @@ for _name, _view, _c, _agg in (
 
 
 @query("f02_leaders_outage", """
-    SELECT area, avg(power_outage) * 100 AS outage_pct, CASE WHEN avg(power_outage) * 100 > 10 THEN 'High'
-        WHEN avg(power_outage) * 100 > 5 THEN 'Medium' ELSE 'Low' END AS tier
+    SELECT area, avg(power_outage) * 100 AS outage_pct, CASE WHEN avg(power_outage) * 100 > 10 THEN 'Critical (>10%)'
+        WHEN avg(power_outage) * 100 > 5 THEN 'Moderate (5-10%)' ELSE 'Normal (<5%)' END AS tier
     FROM energy GROUP BY area ORDER BY outage_pct DESC, area LIMIT 8""", rounded="outage_pct")
 def f02_outage(t: Tables) -> DataFrame:
     top = stats.top_groups(t.energy, "area", {"outage_pct": F.avg("power_outage") * 100.0}, "outage_pct", 8)

@@ -153,8 +153,9 @@ def h14(t: Tables) -> DataFrame:
 
 
 @query("h15_tiers", """
-    SELECT reading_id, CASE WHEN renewable_usage > 15 THEN 'High' WHEN renewable_usage > 8 THEN 'Medium' ELSE 'Low' END
-        AS renewable, CASE WHEN humidity / 10 > 10 THEN 'High' WHEN humidity / 10 > 5 THEN 'Medium' ELSE 'Low' END AS outage
+    SELECT reading_id, CASE WHEN renewable_usage > 15 THEN 'High (>15%)' WHEN renewable_usage > 8 THEN 'Mid (8-15%)' ELSE 'Low (<8%)' END
+        AS renewable, CASE WHEN humidity / 10 > 10 THEN 'Critical (>10%)' WHEN humidity / 10 > 5 THEN 'Moderate (5-10%)'
+        ELSE 'Normal (<5%)' END AS outage
     FROM energy""")
 def h15(t: Tables) -> DataFrame:
     return t.energy.select(

@@ -18,8 +18,7 @@ def u01(t: Tables) -> DataFrame:
 
 
 @query("u02_merge_history", """
-    SELECT * FROM (SELECT reading_id, timestamp, area, energy_consumption, NULL::DOUBLE AS predicted FROM energy
-        ORDER BY timestamp DESC, reading_id DESC LIMIT 10000)
+    SELECT reading_id, timestamp, area, energy_consumption, NULL::DOUBLE AS predicted FROM energy
     UNION ALL SELECT event_id, ts, NULL, value, value * 2 FROM events""", rounded="predicted")
 def u02(t: Tables) -> DataFrame:
     history = t.energy.select("reading_id", "timestamp", "area", "energy_consumption")

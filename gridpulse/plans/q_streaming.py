@@ -27,10 +27,7 @@ def plain(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, k in df.dtypes if k == "timestamp"})
 
 
-EVERY_FILE = 100_000  # files per trigger where the batch boundaries do not matter
-
-
-def table_stream(t: Tables, name: str, max_files: int = EVERY_FILE) -> DataFrame:
+def table_stream(t: Tables, name: str, max_files: int | None = None) -> DataFrame:
     """A given table, read as a stream of its files. The path is put as a pattern because
     the file source takes a single file only that way; it matches a folder as well."""
     path = t.path(name)
@@ -55,7 +52,7 @@ def feed(t: Tables, df: DataFrame, label: str, start: Callable[[DataFrame], Stre
         if high is not None:
             chunk = chunk.filter(F.col(by) <= F.lit(high).cast(df.schema[by].dataType))
         chunk.write.parquet(f"{path}/p{i}")
-        stream = messages.read_files_as_stream(t.spark, f"{path}/*", df.schema, max_files=EVERY_FILE)
+        stream = messages.read_files_as_stream(t.spark, f"{path}/*", df.schema)
         jobs.finish(start(stream))
 
 
@@ -87,7 +84,7 @@ def decode_clean(t: Tables):
 def a03(t: Tables) -> DataFrame:
     src, out, cp = (new_path(t.spark, f"a03{x}") for x in ("src", "out", "cp"))
     rows = t.events.select("event_id", "ts")
-    rows.repartition(4).write.parquet(src)
+    rows.write.parquet(src)
     stream = messages.read_files_as_stream(t.spark, src, rows.schema, max_files=1)
     jobs.finish(jobs.start_batches(stream, lambda b: b.withColumn("file", F.input_file_name()), out, cp, None))
     batches = done(t, out).groupBy("batch_id").agg(F.count("*").alias("n"), F.min("file").alias("a"), F.max("file").alias("b"))
@@ -224,7 +221,7 @@ def i07(t: Tables) -> DataFrame:
     rows = zoned(t.events.select("ts", "event_type", "value"))
 
     def start(stream: DataFrame) -> StreamingQuery:
-        kpis = jobs.windowed_kpis(stream, "ts", measures(), "1 hour", keys=["event_type"])
+        kpis = jobs.windowed_kpis(stream, "ts", measures(), "1 hour", "1 hour", keys=["event_type"])
         return jobs.start_refreshed_table(kpis, out, cp)
 
     feed(t, rows, "i07", start, 2)
@@ -237,7 +234,7 @@ def i07(t: Tables) -> DataFrame:
     GROUP BY 1, 2""", rounded="mean_value")
 def i07_sliding(t: Tables) -> DataFrame:
     out = new_path(t.spark, "i07sout")
-    kpis = jobs.windowed_kpis(zoned(table_stream(t, "events")), "ts", measures(), "2 hours", "1 hour")
+    kpis = jobs.windowed_kpis(zoned(table_stream(t, "events")), "ts", measures(), "2 hours", "1 hour", "1 hour")
     jobs.finish(jobs.start_refreshed_table(kpis, out, new_path(t.spark, "i07scp")))
     return plain(done(t, out))
 
@@ -269,7 +266,7 @@ def c09_streams(t: Tables) -> DataFrame:
     for df, label in parts:
         path = new_path(t.spark, label)
         df.write.parquet(path)
-        streams.append(messages.read_files_as_stream(t.spark, path, df.schema, max_files=EVERY_FILE))
+        streams.append(messages.read_files_as_stream(t.spark, path, df.schema))
     joined = jobs.join_streams(streams, "timestamp", "area", "1 hour")
     out = new_path(t.spark, "c09out")
     jobs.finish(jobs.start_files(joined, out, new_path(t.spark, "c09cp")))

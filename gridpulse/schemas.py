@@ -11,25 +11,56 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 from gridpulse.functions import features
 
 
-def _schema(text: str) -> StructType:
-    kinds = {"s": StringType(), "d": DoubleType(), "i": IntegerType()}
-    fields = (item.rsplit(":", 1) for item in text.split())
-    return StructType([StructField(name, kinds[kind], True) for name, kind in fields])
-
-
 # fixed values: wire formats, all fields nullable
-TRAFFIC = _schema(
-    "timestamp:s area:s zone:s vehicle_count:d avg_speed:d congestion_level:s road_type:s weather:s incident:s "
-    "severity:s event:s signal_wait_time:d is_weekend:i is_it_hub:i season:s"
-)
-ENERGY = _schema(
-    "timestamp:s area:s zone:s weather:s energy_consumption:d temperature:d humidity:d demand_level:s "
-    "renewable_usage:d load_type:s is_weekend:i power_outage:i is_it_hub:i season:s"
-)
-POLLUTION = _schema(
-    "timestamp:s area:s zone:s AQI:d PM2.5:d PM10:d NO2:d CO:d weather:s temperature:d humidity:d is_weekend:i "
-    "is_it_hub:i season:s"
-)
+TRAFFIC = StructType([
+    StructField("timestamp", StringType()),
+    StructField("area", StringType()),
+    StructField("zone", StringType()),
+    StructField("vehicle_count", DoubleType()),
+    StructField("avg_speed", DoubleType()),
+    StructField("congestion_level", StringType()),
+    StructField("road_type", StringType()),
+    StructField("weather", StringType()),
+    StructField("incident", StringType()),
+    StructField("severity", StringType()),
+    StructField("event", StringType()),
+    StructField("signal_wait_time", DoubleType()),
+    StructField("is_weekend", IntegerType()),
+    StructField("is_it_hub", IntegerType()),
+    StructField("season", StringType()),
+])
+ENERGY = StructType([
+    StructField("timestamp", StringType()),
+    StructField("area", StringType()),
+    StructField("zone", StringType()),
+    StructField("weather", StringType()),
+    StructField("energy_consumption", DoubleType()),
+    StructField("temperature", DoubleType()),
+    StructField("humidity", DoubleType()),
+    StructField("demand_level", StringType()),
+    StructField("renewable_usage", DoubleType()),
+    StructField("load_type", StringType()),
+    StructField("is_weekend", IntegerType()),
+    StructField("power_outage", IntegerType()),
+    StructField("is_it_hub", IntegerType()),
+    StructField("season", StringType()),
+])
+POLLUTION = StructType([
+    StructField("timestamp", StringType()),
+    StructField("area", StringType()),
+    StructField("zone", StringType()),
+    StructField("AQI", DoubleType()),
+    StructField("PM2.5", DoubleType()),
+    StructField("PM10", DoubleType()),
+    StructField("NO2", DoubleType()),
+    StructField("CO", DoubleType()),
+    StructField("weather", StringType()),
+    StructField("temperature", DoubleType()),
+    StructField("humidity", DoubleType()),
+    StructField("is_weekend", IntegerType()),
+    StructField("is_it_hub", IntegerType()),
+    StructField("season", StringType()),
+])
 
 
 @dataclass(frozen=True)
@@ -51,9 +82,7 @@ class Dataset:
     def prediction(self) -> str:
         return f"predicted_{self.target}"
 
-    @property
-    def encoded(self) -> tuple[str, ...]:
-        return ("area_enc", "is_it_hub", "is_weekend")
+    encoded: tuple[str, ...] = ("area_enc", "is_it_hub", "is_weekend")  # go into the vector unscaled
 
 
 CALENDAR = ("hour", "day", "dayofweek", "month", "year")
@@ -76,6 +105,7 @@ DATASETS = {
         lags={"lag_energy1": 1, "lag_energy2": 2},
         features=features.energy_features,
         not_features=("demand_level",),
+        encoded=("area_enc", "power_outage", "is_it_hub", "is_weekend"),
         capped=("energy_consumption", "temperature", "humidity", "renewable_usage"),
         required=("energy_consumption", "temperature", "humidity", "weather", "zone", "load_type", "season",
                   "renewable_usage", "power_outage", "is_weekend", "is_it_hub", "area", "demand_level", *CALENDAR),

@@ -68,6 +68,9 @@ def lookup_join(
     left to Spark (sort-merge with adaptive skew splitting).
     """
     table = lookup if stored else materialize(lookup, "lookup")
-    if table.count() <= max_rows:
-        table = F.broadcast(table)
-    return df.join(table, on, how)
+    small = table.count() <= max_rows
+    keys = [on] if isinstance(on, str) else list(on)
+    # A missing key is a group like any other.
+    renamed = table.select(*[F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(keys)], *[F.col(f"`{c}`") for c in table.columns if c not in keys])
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    return df.join(F.broadcast(renamed) if small else renamed, same, how).drop(*[f"_key_{i}" for i in range(len(keys))])

@@ -94,11 +94,9 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
-def write_single_csv(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """One named CSV file, for small marts only: larger tables are refused, not cut."""
+def write_single_csv(df: DataFrame, path: str) -> None:
+    """One named CSV file of any size. One task writes it, so it is meant for aggregates; ``write_csv`` writes in parallel."""
     spark = df.sparkSession
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows do not belong in one file; use write_csv")
     folder = f"{path}.parts"
     write_csv(df.coalesce(1), folder)
     fs = _fs(spark, path)

@@ -18,7 +18,7 @@ def encode(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
 
 
-def kafka_options(servers: str, topic: str, max_per_trigger: int = 1_000) -> dict[str, str]:
+def kafka_options(servers: str, topic: str, max_per_trigger: int) -> dict[str, str]:
     """Replayable from the start and limited per trigger."""
     return {
         "kafka.bootstrap.servers": servers,
@@ -29,7 +29,7 @@ def kafka_options(servers: str, topic: str, max_per_trigger: int = 1_000) -> dic
     }
 
 
-def read_kafka(spark: SparkSession, servers: str, topic: str, max_per_trigger: int = 1_000) -> DataFrame:
+def read_kafka(spark: SparkSession, servers: str, topic: str, max_per_trigger: int) -> DataFrame:
     """Streaming source; needs the Spark Kafka package that matches the running version."""
     return spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_per_trigger)).load()
 
@@ -39,7 +39,10 @@ def write_kafka(df: DataFrame, servers: str, topic: str, key: str) -> None:
 
 
 def read_files_as_stream(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", max_files: int = 1
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", max_files: int | None = None
 ) -> DataFrame:
-    """File-backed stream with the same admission control as the Kafka source."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).format(fmt).load(path)
+    """File-backed stream; ``max_files`` per trigger, or all that is there, as one delivery."""
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.format(fmt).load(path)

@@ -46,9 +46,11 @@ def start_files(stream: DataFrame, folder: str, checkpoint: str, mode: str = "ap
     )
 
 
-def finish(query: StreamingQuery, timeout: float = 600.0) -> None:
-    """Wait for an available-now query; its own error is raised here."""
-    if not query.awaitTermination(timeout):
+def finish(query: StreamingQuery, timeout: float | None = None) -> None:
+    """Wait for an available-now query, which ends by itself; its own error is raised here. A caller may set a limit."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"the streaming query did not end within {timeout} s")
 
@@ -64,8 +66,8 @@ def run_for(queries: Sequence[StreamingQuery], seconds: float) -> None:
 
 
 def windowed_kpis(
-    stream: DataFrame, ts: str, measures: dict[str, Column], window: str, slide: str | None = None,
-    late: str = "1 hour", keys: Sequence[str] = (),
+    stream: DataFrame, ts: str, measures: dict[str, Column], window: str, late: str, slide: str | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Tumbling or sliding aggregates over event time; rows later than ``late`` are left out."""
     w = F.window(ts, window, slide) if slide else F.window(ts, window)

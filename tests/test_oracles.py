@@ -3,10 +3,11 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from gridpulse.plans import registry
 from tools.check_oracles import compare, connect
 
-SQL = oracle_sql()
-ROWS_ONLY = [n for n in queries() if n not in SQL]
+SQL = {n: s for n, s in oracle_sql().items() if n in registry.QUERIES}
+ROWS_ONLY = [n for n in registry.QUERIES if n not in SQL]
 
 
 @pytest.fixture(scope="module")
