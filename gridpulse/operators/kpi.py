@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from gridpulse.functions.bands import clip, score_grade
 from gridpulse.operators.quantiles import last_rows
 
+PREDICTIONS = {"traffic": ("predicted_vehicle_count",), "energy": ("predicted_energy_consumption",), "pollution": ("predicted_AQI",)}
+
 
 def pct(condition: Column) -> Column:
     return F.avg(condition.cast("int")) * 100.0
@@ -22,14 +24,15 @@ def coefficient_of_variation(value: str) -> Column:
 
 
 def kpis(df: DataFrame, dataset: str) -> DataFrame:
-    """One row of headline numbers per dataset, one scan."""
+    """One row of headline numbers per dataset, one scan; scored rows also give the mean of their predictions."""
+    predicted = [F.avg(c).alias("avg_predicted") for c in PREDICTIONS.get(dataset, ()) if c in df.columns]
     if dataset == "traffic":
         return df.agg(
             F.avg("vehicle_count").alias("avg_vehicles"),
             F.avg("avg_speed").alias("avg_speed"),
             F.avg("signal_wait_time").alias("avg_wait"),
             pct(F.col("congestion_level") == "High").alias("high_congestion_pct"),
-            F.count_if(F.col("incident") != "No Incident").alias("incidents"),
+            F.count_if(F.col("incident") != "No Incident").alias("incidents"), *predicted,
         )
     if dataset == "energy":
         return df.agg(
@@ -37,10 +40,10 @@ def kpis(df: DataFrame, dataset: str) -> DataFrame:
             F.avg("renewable_usage").alias("avg_renewable"),
             F.avg("temperature").alias("avg_temperature"),
             F.avg("humidity").alias("avg_humidity"),
-            pct(F.col("power_outage") == 1).alias("outage_pct"),
+            pct(F.col("power_outage") == 1).alias("outage_pct"), *predicted,
         )
     if dataset == "pollution":
-        return df.agg(*[F.avg(c).alias(f"avg_{c.lower()}") for c in ["AQI", "PM2_5", "PM10", "NO2", "CO"]])
+        return df.agg(*[F.avg(c).alias(f"avg_{c.lower()}") for c in ["AQI", "PM2_5", "PM10", "NO2", "CO"]], *predicted)
     raise ValueError(f"no KPIs for {dataset}")
 
 

@@ -454,26 +454,27 @@ def d31_few(t: Tables) -> DataFrame:
 @query("d32_kpi_traffic", f"""
     SELECT avg(vehicle_count) AS avg_vehicles, avg(avg_speed) AS avg_speed, avg(signal_wait_time) AS avg_wait,
         avg(CAST(congestion_level = 'High' AS INT)) * 100 AS high_congestion_pct,
-        CAST(count_if(incident <> 'No Incident') AS BIGINT) AS incidents FROM {NAMED_TRAFFIC}""",
-    rounded="avg_vehicles avg_speed avg_wait high_congestion_pct")
+        CAST(count_if(incident <> 'No Incident') AS BIGINT) AS incidents, avg(vehicle_count * 1.1) AS avg_predicted
+    FROM {NAMED_TRAFFIC}""", rounded="avg_vehicles avg_speed avg_wait high_congestion_pct avg_predicted")
 def d32_traffic(t: Tables) -> DataFrame:
-    return kpi.kpis(named_traffic(t), "traffic")
+    return kpi.kpis(named_traffic(t).withColumn("predicted_vehicle_count", F.col("vehicle_count") * 1.1), "traffic")
 
 
 @query("d32_kpi_energy", """
     SELECT avg(energy_consumption) AS avg_consumption, avg(renewable_usage) AS avg_renewable,
         avg(temperature) AS avg_temperature, avg(humidity) AS avg_humidity,
-        avg(CAST(power_outage = 1 AS INT)) * 100 AS outage_pct FROM energy""",
-    rounded="avg_consumption avg_renewable avg_temperature avg_humidity outage_pct")
+        avg(CAST(power_outage = 1 AS INT)) * 100 AS outage_pct, avg(energy_consumption * 1.1) AS avg_predicted FROM energy""",
+    rounded="avg_consumption avg_renewable avg_temperature avg_humidity outage_pct avg_predicted")
 def d32_energy(t: Tables) -> DataFrame:
-    return kpi.kpis(t.energy, "energy")
+    return kpi.kpis(t.energy.withColumn("predicted_energy_consumption", F.col("energy_consumption") * 1.1), "energy")
 
 
 @query("d32_kpi_pollution", """
     SELECT avg("AQI") AS avg_aqi, avg("PM2_5") AS avg_pm2_5, avg("PM10") AS avg_pm10, avg("NO2") AS avg_no2,
-        avg("CO") AS avg_co FROM pollution""", rounded="avg_aqi avg_pm2_5 avg_pm10 avg_no2 avg_co")
+        avg("CO") AS avg_co, avg("AQI" * 1.1) AS avg_predicted FROM pollution""",
+    rounded="avg_aqi avg_pm2_5 avg_pm10 avg_no2 avg_co avg_predicted")
 def d32_pollution(t: Tables) -> DataFrame:
-    return kpi.kpis(t.pollution, "pollution")
+    return kpi.kpis(t.pollution.withColumn("predicted_AQI", F.col("AQI") * 1.1), "pollution")
 
 
 @query("d32_kpi_city", f"""

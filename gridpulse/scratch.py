@@ -23,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:  # a core setting cannot be changed in a running session

@@ -145,7 +145,7 @@ class CarriedLags:
         last = F.max_by(F.struct(value.cast("double").alias("_v1"), F.col("lag1").cast("double").alias("_v2")),
                         F.struct(*self.order))
         fresh = done.groupBy(self.key).agg(last.alias("s")).select(self.key, "s.*")
-        kept = previous.join(fresh, self.key, "left_anti")
+        kept = previous.join(fresh, previous[self.key].eqNullSafe(fresh[self.key]), "left_anti")
         kept.unionByName(fresh).write.mode("overwrite").parquet(f"{self.state}/batch_id={batch_id}")
 
 
