@@ -162,7 +162,7 @@ def i04_carried(t: Tables) -> DataFrame:
     out, cp = new_path(t.spark, "i04cout"), new_path(t.spark, "i04ccp")
     lags = jobs.CarriedLags("event_type", ORDER, "value", out, new_path(t.spark, "i04cstate"))
     feed(t, rows, "i04c", lambda s: jobs.start_carried_lags(s, lags, cp), 2)
-    return done(t, out).drop("batch_id")
+    return done(t, out).drop("batch_id", "late")
 
 
 @query("i04_zero_fill_lags", "SELECT event_id, value, 0::DOUBLE AS lag1, 0::DOUBLE AS lag2 FROM events")

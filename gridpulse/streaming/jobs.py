@@ -121,7 +121,8 @@ class CarriedLags:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        state_schema = f"`{self.key}` {batch.schema[self.key].dataType.simpleString()}, _v1 double, _v2 double"
+        order = ", ".join(f"`{c}`: {batch.schema[c].dataType.simpleString()}" for c in self.order)
+        state_schema = f"`{self.key}` {batch.schema[self.key].dataType.simpleString()}, _v1 double, _v2 double, _last struct<{order}>"
         previous = None
         for earlier in range(batch_id - 1, -1, -1):  # an empty batch leaves no folder
             if exists(spark, f"{self.state}/batch_id={earlier}"):
@@ -130,21 +131,25 @@ class CarriedLags:
         if previous is None:
             previous = spark.createDataFrame([], state_schema)
         value = F.col(self.column)
-        frame = OrderedFrame.of(batch, [self.key], self.order, **self.sizes).windows({
+        # A row older than the key's last one is kept and marked, gets no lags and leaves the state as it is.
+        placed = lookup_join(batch, previous, self.key, stored=True)
+        placed = placed.withColumn("late", F.coalesce(F.struct(*self.order) < F.col("_last"), F.lit(False))).drop("_last")
+        frame = OrderedFrame.of(placed, [self.key, "late"], self.order, **self.sizes).windows({
             "_l1": lambda w: F.lag(F.struct(value.alias("v")), 1).over(w),
             "_l2": lambda w: F.lag(F.struct(value.alias("v")), 2).over(w),
         }, 2, 0)
         # A lag struct is NULL only where the batch has no such row: then the carried value counts.
-        joined = lookup_join(frame.result(), previous, self.key, stored=True)
+        joined = frame.result()
         first, second = F.col("_l1").isNull(), F.col("_l2").isNull()
         lag1 = F.when(first, F.col("_v1")).otherwise(F.col("_l1.v"))
         lag2 = F.when(first, F.col("_v2")).when(second, F.col("_v1")).otherwise(F.col("_l2.v"))
-        rows = joined.withColumns({"lag1": lag1, "lag2": lag2}).drop("_l1", "_l2", "_v1", "_v2")
+        on_time = ~F.col("late")
+        rows = joined.withColumns({"lag1": F.when(on_time, lag1), "lag2": F.when(on_time, lag2)}).drop("_l1", "_l2", "_v1", "_v2")
         rows.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
         done = spark.read.schema(rows.schema).parquet(f"{self.out}/batch_id={batch_id}")
-        last = F.max_by(F.struct(value.cast("double").alias("_v1"), F.col("lag1").cast("double").alias("_v2")),
-                        F.struct(*self.order))
-        fresh = done.groupBy(self.key).agg(last.alias("s")).select(self.key, "s.*")
+        last = F.max_by(F.struct(value.cast("double").alias("_v1"), F.col("lag1").cast("double").alias("_v2"),
+                                 F.struct(*self.order).alias("_last")), F.struct(*self.order))
+        fresh = done.where("not late").groupBy(self.key).agg(last.alias("s")).select(self.key, "s.*")
         kept = previous.join(fresh, previous[self.key].eqNullSafe(fresh[self.key]), "left_anti")
         kept.unionByName(fresh).write.mode("overwrite").parquet(f"{self.state}/batch_id={batch_id}")
 

@@ -73,6 +73,18 @@ def test_carried_lags_replay_and_unseen_keys(spark):
         ("b", 5.0, None, None), ("c", 8.0, None, None)]
 
 
+def test_carried_lags_mark_older_rows_and_keep_a_missing_key(spark):
+    out, kept = new_path(spark, "lout"), new_path(spark, "lstate")
+    lags = jobs.CarriedLags("k", ["ts", "id"], "v", out, kept)
+    batches = [rows(("a", 10, 1.0), ("a", 11, 2.0), (None, 1, 3.0)), rows(("a", 5, 7.0), ("a", 12, 4.0), (None, 2, 6.0)), rows((None, 3, 9.0))]
+    for i, b in enumerate(batches):
+        lags(spark.createDataFrame(b, SCHEMA), i)
+    got = {(r["k"], r["v"]): (r["lag1"], r["lag2"], r["late"]) for r in spark.read.parquet(out).collect()}
+    assert got[("a", 7.0)] == (None, None, True) and got[("a", 4.0)] == (2.0, 1.0, False)
+    assert got[(None, 6.0)] == (3.0, None, False) and got[(None, 9.0)] == (6.0, 3.0, False)
+    assert spark.read.parquet(f"{kept}/batch_id=2").count() == 2
+
+
 def test_late_duplicates_within_the_watermark_are_dropped(spark):
     src, out, cp = (new_path(spark, x) for x in ("src", "out", "cp"))
     a = spark.createDataFrame(rows(("a", 1, 1.0), ("a", 1, 1.0), ("b", 2, 1.0)), SCHEMA)
