@@ -62,9 +62,11 @@ def _window_sums(values: np.ndarray, window: int) -> np.ndarray:
     return (sums[width:] - sums[:-width]) / width if len(values) else np.zeros(1)
 
 
-def train(texts: list[str], labels: list[int], window: int = 8, dim: int = 8, buckets: int = 1 << 18, epochs: int = 12,
-          rate: float = 0.5, seed: int = 7) -> Model:
-    """Adagrad on the loss of each document's highest window; the first epoch averages whole documents."""
+def train(texts: list[str], labels: list[int], window: int = 2, dim: int = 8, buckets: int = 1 << 18, epochs: int = 12,
+          rate: float = 0.5, seed: int = 7, batch_docs: int = 32, least_steps: int = 800,
+          damping: float = 1e-5, least_docs: int = 3) -> Model:
+    """Adagrad on the loss of each document's highest window; the first epoch averages whole documents. A small sample is gone through more
+    often than ``epochs`` times, until there were ``least_steps`` steps."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype(np.float32)
     out, bias = np.zeros((dim, 2)), np.zeros(2)
@@ -74,24 +76,39 @@ def train(texts: list[str], labels: list[int], window: int = 8, dim: int = 8, bu
     if len(y) == 0 or y.min() == y.max():
         return Model(vectors[:1], out, bias, window, float(y[0]) if len(y) else 0.0)
     words = Words()
-    docs = [words.numbers(WORD.findall(t.lower())) for t in texts]
-    owner, buckets_of = subwords(words.take(), buckets)
-    order = np.argsort(owner, kind="stable")
-    buckets_of, sizes = buckets_of[order], np.bincount(owner, minlength=len(words))
+    docs = [words.numbers(WORD.findall(t.lower())).astype(np.int32) for t in texts]
+    buckets_of, sizes, fresh = [], [], words.take()
+    for at in range(0, len(fresh), 20_000):
+        owner, found = subwords(fresh[at: at + 20_000], buckets)
+        buckets_of.append(found[np.argsort(owner, kind="stable")].astype(np.int32))
+        sizes.append(np.bincount(owner))
+    buckets_of, sizes = np.concatenate([*buckets_of, np.empty(0, np.int32)]), np.concatenate([*sizes, np.empty(0, np.int64)])
     ends = np.cumsum(sizes)
-    squared, out_sq, bias_sq = np.full(buckets, 1e-6), np.full((dim, 2), 1e-6), np.full(2, 1e-6)
-    weight = np.ones(2)
+    del fresh, words
+    # Subwords of very few documents would only learn those documents by heart: they keep the zero vector.
+    seen = np.zeros(buckets, np.int32)
+    for d in docs:
+        own = np.unique(d)
+        n = sizes[own]
+        starts = np.cumsum(n) - n
+        seen[np.unique(buckets_of[np.repeat(ends[own] - n - starts, n) + np.arange(n.sum())])] += 1
+    usual = seen >= least_docs
+    vectors[~usual] = 0
+    squared, out_sq, bias_sq = np.full(buckets, damping), np.full((dim, 2), 1e-6), np.full(2, 1e-6)
+    weight = np.array([1.0, np.sqrt((y == 0).sum() / (y == 1).sum())])
 
     def grams(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = sizes[numbers]
         starts = np.cumsum(n) - n
         return buckets_of[np.repeat(ends[numbers] - n - starts, n) + np.arange(n.sum())], n
 
+    batches = max(1, len(docs) // batch_docs)
+    epochs = max(epochs, -(-least_steps // batches))
     for epoch in range(epochs):
-        share = vectors[buckets_of] @ (out[:, 1] - out[:, 0]).astype(np.float32)
-        scalar = np.add.reduceat(share, ends - sizes) / sizes
+        share = (vectors @ (out[:, 1] - out[:, 0]).astype(np.float32))[buckets_of]
+        scalar = np.add.reduceat(share, ends - sizes) / sizes if len(sizes) else share
         step = rate * (1 - 0.8 * epoch / epochs)
-        for batch in np.array_split(rng.permutation(len(docs)), max(1, len(docs) // 64)):
+        for batch in np.array_split(rng.permutation(len(docs)), batches):
             taken = []
             for d in batch:
                 if len(docs[d]) <= window or epoch < 1:
@@ -121,7 +138,7 @@ def train(texts: list[str], labels: list[int], window: int = 8, dim: int = 8, bu
             rep = np.repeat(to_word, n, axis=0)
             grad = np.stack([np.bincount(gb, rep[:, k], len(gu)) for k in range(dim)], 1)
             squared[gu] += (grad ** 2).mean(1)
-            vectors[gu] -= (step * grad / np.sqrt(squared[gu])[:, None]).astype(np.float32)
+            vectors[gu] -= (step * grad / np.sqrt(squared[gu])[:, None] * usual[gu, None]).astype(np.float32)
             go, gbias = mean.T @ delta, delta.sum(0)
             out_sq += go ** 2
             bias_sq += gbias ** 2
@@ -152,7 +169,7 @@ class Scorer:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic",
-        most_clean: int = 4000, most_toxic: int = 1500, **parameters) -> Model:
+        most_clean: int = 3000, most_toxic: int = 1200, **parameters) -> Model:
     """Train on about ``most_clean`` and ``most_toxic`` of the documents that ``labels`` marks 0 or 1 (the bound on what the driver gathers)."""
     usable = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     sample = labelled_sample(usable, "y", "id", {0: most_clean, 1: most_toxic})  # bounded, so it can be broadcast
