@@ -39,7 +39,7 @@ class Encoder:
     until ``limit`` parts are held. ``term`` has a hash of each part's first piece. Pieces of letters are encoded many at a time.
     """
 
-    def __init__(self, path: str, blanks: bool, limit: int = 1_200_000) -> None:
+    def __init__(self, path: str, blanks: bool, limit: int = 400_000) -> None:
         self.tokenizer, self.blanks, self.limit = load(path), blanks, limit
         edge = [t[:1] == "\u0120" if blanks else t.endswith("</w>") for t, _ in sorted(
             self.tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])]
