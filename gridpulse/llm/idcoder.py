@@ -19,13 +19,15 @@ import zlib
 
 import numpy as np
 
-MAGIC, VERSION, LANES = b"GPID", 1, 32
+MAGIC, VERSION, LANES = b"GPID", 1, 64
 HEADER = struct.Struct("<4sB3xIII")
 _I = np.int64
 _TOTAL = 24  # bits of the coder's resolution
-_ORDER0 = 18  # bits of the order-0 frequencies
-_COARSE = 6  # bits of them that the decoder's first table leaves open
+_ORDER0 = 20  # bits of the order-0 frequencies
+_COARSE = 8  # bits of them that the decoder's first table leaves open
 _HASH = 16  # bits of the order-2 table
+# change of an entry by its confidence, after a miss and after a hit
+_CHANGE = np.array([c for s in range(8) for c in (-((s + 1) >> 1), int(s < 7))], np.int32)
 _EMPTY = np.int32(-8)  # guess -1, confidence 0
 _RENORM, _WORD = np.uint64(1 << 30), np.uint64(32)
 _REST = np.uint64((1 << 30) - 1)
@@ -104,15 +106,14 @@ class _Model:
         self.weight1[self.cell] = self.w1 + (((hit1 * np.int32(64000)) - self.w1) >> 5) * (~hit2 & (self.guess1 >= 0))
         fresh = (ids << 3).astype(np.int32)
         for table, at, entry, hit in ((self.order2, self.at2, self.entry2, hit2), (self.order1, self.at1, self.entry1, hit1)):
-            sure = entry & 7
-            missed = np.where(sure > 1, entry - ((sure + 1) >> 1), fresh)
-            table[at] = np.where(hit, entry + (sure < 7), missed)
+            # a hit adds one to the confidence, a miss halves it; a guess without confidence is replaced
+            table[at] = np.where(hit | ((entry & 6) > 0), entry + _CHANGE.take(((entry & 7) << 1) + hit), fresh)
         self.prev2, self.prev1 = self.prev1, ids
         self.seen.append(self.base1 + ids)
         self.steps += 1
         if self.steps == self.rebuild_at:
             self.rebuild()
-            self.rebuild_at += min(self.steps, 2048)
+            self.rebuild_at += min(3 * self.steps, 4096)
 
 
 def _lanes(sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:

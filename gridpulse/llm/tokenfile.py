@@ -22,6 +22,7 @@ from pyspark.taskcontext import TaskContext
 
 from gridpulse.llm import idcoder
 from gridpulse.llm.encoding import encoder
+from gridpulse.scratch import materialize
 
 RECORD = ("shard int, block int, first long, n_ids long, docs array<struct<doc_id: long, doc_no: long, start: long, length: long, pieces: int>>, "
           "payload binary")
@@ -129,7 +130,8 @@ def digests(spark: SparkSession, path: str, together: int = 48) -> DataFrame:
     blocks = _records(spark, path)
     schema = "doc_id long, shard int, doc_no long, pieces int, at long, n_tokens long, ids_crc32 long"
     # Blocks are dealt anew: the files' sizes say nothing about the time to decode them.
-    found = blocks.repartition("shard", F.floor(F.col("block") / together)).mapInArrow(run, schema)
+    # Read twice, whole documents and cut ones, so it is written once.
+    found = materialize(blocks.repartition("shard", F.floor(F.col("block") / together)).mapInArrow(run, schema), "digests")
     whole = found.where("pieces = 1").drop("pieces")
     cut = found.where("pieces > 1").groupBy("shard", "doc_no").applyInPandas(_joined, "doc_id long, shard int, doc_no long, at long, n_tokens long, ids_crc32 long")
     totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))  # a row for each shard
