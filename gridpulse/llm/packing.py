@@ -36,7 +36,7 @@ class Index:
         self.n = len(docs)
         lens = np.array([len(d) for d in docs], np.float64)
         of = np.repeat(np.arange(self.n), lens.astype(np.int64))
-        terms = np.concatenate(docs) if docs else np.empty(0, np.int64)
+        terms = np.concatenate([*docs, np.empty(0, np.int64)]).astype(np.int64)
         keys, tf = np.unique(terms * max(1, self.n) + of, return_counts=True)
         term, self.doc = keys // max(1, self.n), keys % max(1, self.n)
         starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.empty(0, np.int64)
