@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.functions import constants as K
@@ -145,3 +145,11 @@ def align_streams(traffic: DataFrame, energy: DataFrame, pollution: DataFrame) -
         .join(energy.select(*on, "energy_consumption"), on)
         .join(pollution.select(*on, "AQI"), on)
     )
+
+
+def align_means(tables: Sequence[tuple[DataFrame, str]], grain: dict[str, Column]) -> DataFrame:
+    """Means of several domains side by side at one time grain; each table is reduced to the grain before the join."""
+    names = list(grain)
+    means = [df.groupBy(*[c.alias(n) for n, c in grain.items()]).agg(F.avg(value).alias(value), F.count(value).alias(f"n_{value}"))
+             for df, value in tables]
+    return reduce(lambda a, b: a.join(b, names), means)

@@ -121,6 +121,19 @@ def c09(t: Tables) -> DataFrame:
         e.filter("weather <> 'Rain'").withColumn("AQI", F.col("humidity")))
 
 
+ALIGNED_SQL = " JOIN ".join(
+    f'(SELECT month(timestamp)::INTEGER AS month, day(timestamp)::INTEGER AS day, avg("{c}") AS "{c}", count("{c}") AS "n_{c}" FROM {v} GROUP BY ALL)'
+    for v, c in (("traffic", "vehicle_count"), ("energy", "energy_consumption"), ("pollution", "AQI")))
+
+
+@query("c09_align_tables", "SELECT * FROM " + ALIGNED_SQL.replace(") JOIN (", ") AS a JOIN (", 1).replace(
+    ") JOIN (", ") AS b USING (month, day) JOIN (", 1) + " AS c USING (month, day)", rounded="vehicle_count energy_consumption AQI")
+def c09_tables(t: Tables) -> DataFrame:
+    """The three tables whole; their years differ, so they meet by calendar day."""
+    grain = {"month": F.month("timestamp"), "day": F.dayofmonth("timestamp")}
+    return joins.align_means([(t.traffic, "vehicle_count"), (t.energy, "energy_consumption"), (t.pollution, "AQI")], grain)
+
+
 NATION_MEANS_SQL = """
     SELECT r_name, n_name, orders_mean, line_mean, balance_mean FROM nation JOIN region ON n_regionkey = r_regionkey
     JOIN (SELECT c_nationkey AS k, avg(o_totalprice) AS orders_mean FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1) USING (k)
