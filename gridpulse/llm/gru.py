@@ -71,6 +71,14 @@ def log_softmax(a: np.ndarray) -> np.ndarray:
     return a - np.log(np.exp(a).sum(1, keepdims=True))
 
 
+def picked(a: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log softmax of one column of each row; ``a`` is overwritten."""
+    a -= a.max(1, keepdims=True)
+    own = a[np.arange(len(a)), at]
+    np.exp(a, out=a)
+    return own - np.log(a.sum(1))
+
+
 def _by_class(classes: np.ndarray, heads: int):
     """(class, rows of it) for the head classes that occur."""
     order = np.argsort(classes, kind="stable")
@@ -81,9 +89,9 @@ def _by_class(classes: np.ndarray, heads: int):
 
 def log_probs(w: Weights, h: np.ndarray, classes: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Natural log probability of each row's class and, in head classes, of its word there."""
-    out = log_softmax(h @ w.to_class + w.class_bias)[np.arange(len(h)), classes]
+    out = picked(h @ w.to_class + w.class_bias, classes)
     for c, rows in _by_class(classes, len(w.to_word)):
-        out[rows] += log_softmax(h[rows] @ w.to_word[c] + w.word_bias[c])[np.arange(len(rows)), words[rows]]
+        out[rows] += picked(h[rows] @ w.to_word[c] + w.word_bias[c], words[rows])
     return out
 
 

@@ -156,7 +156,7 @@ def first_weights(v: Vocabulary, hidden: int) -> gru.Weights:
     return gru.start(len(v.head) + len(v.endings) + 2, class_counts, word_counts, hidden)
 
 
-def averaged(docs: DataFrame, w: gru.Weights, v: Vocabulary, stretch: int, rate: float, batch_docs: int = 128, most: int = 64) -> gru.Weights:
+def averaged(docs: DataFrame, w: gru.Weights, v: Vocabulary, stretch: int, rate: float, batch_docs: int = 128, most: int = 16) -> gru.Weights:
     """Each task trains a copy of ``w`` on its documents; the mean of the copies, weighted by documents, comes back through a tree of sums."""
     sent = docs.sparkSession.sparkContext.broadcast((w, v))  # bounded by the sizes of the model
 
@@ -175,15 +175,15 @@ def averaged(docs: DataFrame, w: gru.Weights, v: Vocabulary, stretch: int, rate:
         start, words = sent.value
         own, seen = train_on(start.like(start.flat()), chunks(batches), words, stretch, rate)
         if seen:
-            yield pa.RecordBatch.from_pydict({"n": [seen], "w": [(own.flat().astype(np.float64) * seen).tobytes()]})
+            yield pa.RecordBatch.from_pydict({"n": [seen], "w": [own.flat().tobytes()]})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0, 0.0
         for batch in batches:
             for k, flat in zip(batch.column("n").to_pylist(), batch.column("w")):
-                n, total = n + k, total + np.frombuffer(flat.as_py())
+                n, total = n + k, total + k * np.frombuffer(flat.as_py(), np.float32).astype(np.float64)
         if n:
-            yield pa.RecordBatch.from_pydict({"n": [n], "w": [total.tobytes()]})
+            yield pa.RecordBatch.from_pydict({"n": [n], "w": [(total / n).astype(np.float32).tobytes()]})
 
     copies = materialize(docs.select("doc_id", "text").mapInArrow(local, "n long, w binary"), "copies")
     while (k := copies.count()) > most:
@@ -191,7 +191,7 @@ def averaged(docs: DataFrame, w: gru.Weights, v: Vocabulary, stretch: int, rate:
     rows = copies.collect()  # at most ``most`` models
     if not rows:
         return w
-    return w.like(sum(np.frombuffer(r["w"]) for r in rows) / sum(r["n"] for r in rows))
+    return w.like(sum(r["n"] * np.frombuffer(r["w"], np.float32).astype(np.float64) for r in rows) / sum(r["n"] for r in rows))
 
 
 def fit(docs: DataFrame, counted: DataFrame, head_words: int = 1984, endings: int = 63, hidden: int = 24, stretch: int = 64, rounds: int = 2,
