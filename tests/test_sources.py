@@ -39,9 +39,10 @@ def test_nested_document_and_corrupt_document(spark, tmp_path):
     assert files.read_json_document(spark, str(bad), schema, multi_line=True).count() == 0
 
 
-def test_single_file_refuses_large_tables(spark):
-    with pytest.raises(ValueError):
-        files.write_single_csv(spark.range(11).toDF("n"), new_path(spark, "x") + ".csv", max_rows=10)
+def test_single_file_has_no_row_limit(spark):
+    path = new_path(spark, "x") + ".csv"
+    files.write_single_csv(spark.range(1_000_003).toDF("n"), path)
+    assert files.read_csv(spark, path, "n bigint").count() == 1_000_003
 
 
 def test_single_file_overwrites(spark):

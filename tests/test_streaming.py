@@ -129,6 +129,6 @@ def test_message_key_is_the_area(spark):
 
 
 def test_kafka_options():
-    options = kafka_options("broker:9092", "traffic")
+    options = kafka_options("broker:9092", "traffic", 1_000)
     assert options["maxOffsetsPerTrigger"] == "1000" and options["startingOffsets"] == "earliest"
     assert options["failOnDataLoss"] == "false"
