@@ -6,6 +6,7 @@ the state; every other word is the symbol of its class alone, and the caller giv
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -115,6 +116,14 @@ class Trainer:
                 loss, count = loss + total, count + on.sum()
         return loss / max(count, 1)
 
+    def walk(self, windows: Iterable[tuple[np.ndarray, ...]], lanes: int) -> int:
+        """One update for each window of ``windows_of``, the state of a lane carried while its walk goes on; returns the number of symbols."""
+        h, seen = np.zeros((lanes, self.w.state.shape[0]), np.float32), 0
+        for live, goes_on, inputs, classes, words, on in windows:
+            h[live] = self._window(inputs, classes, words, on, h[live] * goes_on[:, None])[0]
+            seen += int(on.sum())
+        return seen
+
     def _window(self, inputs, classes, words, on, h):
         w, steps = self.w, inputs.shape[1]
         kept, hs = [], []
@@ -159,7 +168,10 @@ class Trainer:
             gates = np.concatenate([dz, dr, dc * r], 1)
             grad[1] += before.T @ gates
             dh = dh * z + gates @ w.state.T
-        np.add.at(grad[0], inputs.ravel(), d_inputs.reshape(-1, 3 * size))
+        order = np.argsort(inputs, axis=None, kind="stable")
+        own = inputs.ravel()[order]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        grad[0][own[first]] = np.add.reduceat(d_inputs.reshape(-1, 3 * size)[order], first, axis=0)
         self.t += 1
         scale = self.rate * np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t)
         for a, g, m, v in zip(w.arrays(), grad, self.m, self.v):
@@ -170,6 +182,33 @@ class Trainer:
         return h, float(loss)
 
 
+def windows_of(walks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], lanes: int, window: int = 32) -> Iterator[tuple[np.ndarray, ...]]:
+    """Every symbol of every walk (inputs, classes, words) once: ``lanes`` walks side by side, and where one ends the next begins.
+
+    Yields the lanes that have a walk, whether it goes on from the window before, its padded inputs, classes and words, and which of them count.
+    """
+    held, at = [None] * lanes, [0] * lanes
+    while True:
+        for lane in range(lanes):
+            if held[lane] is None:
+                held[lane], at[lane] = next(walks, None), 0
+        live = [lane for lane in range(lanes) if held[lane] is not None]
+        if not live:
+            return
+        goes_on = np.array([at[lane] > 0 for lane in live])
+        inputs, classes, words = np.zeros((3, len(live), window), np.int64)
+        on = np.zeros((len(live), window), bool)
+        for row, lane in enumerate(live):
+            i, c, w = held[lane]
+            part = slice(at[lane], at[lane] + window)
+            n = len(i[part])
+            inputs[row, :n], classes[row, :n], words[row, :n], on[row, :n] = i[part], c[part], w[part], True
+            at[lane] += n
+            if at[lane] == len(i):
+                held[lane] = None
+        yield np.array(live), goes_on, inputs, classes, words, on
+
+
 def score_sequences(w: Weights, inputs: np.ndarray, classes: np.ndarray, words: np.ndarray, lens: np.ndarray, window: int = 32,
                     together: int = 1024) -> np.ndarray:
     """Natural log probability of each sequence. The arrays hold all sequences one after another; the state is carried over whole sequences."""

@@ -5,7 +5,9 @@
 2. The most frequent words are head words of the model. Every other word belongs to the class of its last two bytes (the most frequent such
    endings, and one for the rest) and has its count's share of that class.
 3. The model starts from the counts, is warmed up on the driver with a bounded sample, and is then trained where the documents are: every
-   training document gives a stretch of ``stretch`` words, each task trains its own copy, and the copies are averaged, ``rounds`` times.
+   word of every training document takes part once, in consecutive windows with the state carried over the document (over each ``longest``
+   words of a longer one, so that one document does not fill a lane for long). Each task trains its own copy, and the copies are
+   averaged, ``rounds`` times, each time on another part of the documents.
 4. Each document is scored whole, its state carried across windows.
 
 ``base_score`` is the add-one unigram score of the same words. Cases: a null or empty text is its end alone; a repeated row is scored, and counted, each time; a null id
@@ -149,6 +151,27 @@ def train_on(w: gru.Weights, texts: Iterator[list[tuple[int | None, str | None]]
     return trainer.w, seen
 
 
+def walks(texts: Iterator[list[str | None]], v: Vocabulary, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Inputs, classes and words of every document, whole; those of more than ``longest`` words in several pieces one after another."""
+    begin = len(v.head) + len(v.endings) + 1
+    for part in texts:
+        number = Words()
+        docs = [number.numbers(words_of(text)) for text in part]
+        symbol, cls, word, _ = v.symbols(number.take(), None)
+        for own in docs:
+            inputs = np.append(begin, symbol[own[:-1]])
+            for at in range(0, len(own), longest):
+                piece = slice(at, at + longest)
+                yield inputs[piece], cls[own[piece]], word[own[piece]]
+
+
+def train_whole(w: gru.Weights, texts: Iterator[list[str | None]], v: Vocabulary, rate: float, lanes: int, longest: int) -> tuple[gru.Weights, int]:
+    """The weights after one pass over all words of the texts, and how many they were."""
+    trainer = gru.Trainer(w, rate=rate)
+    seen = trainer.walk(gru.windows_of(walks(texts, v, longest), lanes, trainer.window), lanes)
+    return trainer.w, seen
+
+
 def first_weights(v: Vocabulary, hidden: int) -> gru.Weights:
     word_counts = np.zeros((v.head_classes, gru.CLASS_WORDS))
     word_counts.reshape(-1)[: len(v.head)] = v.head_counts
@@ -156,15 +179,16 @@ def first_weights(v: Vocabulary, hidden: int) -> gru.Weights:
     return gru.start(len(v.head) + len(v.endings) + 2, class_counts, word_counts, hidden)
 
 
-def averaged(docs: DataFrame, w: gru.Weights, v: Vocabulary, stretch: int, rate: float, batch_docs: int = 128, most: int = 16) -> gru.Weights:
-    """Each task trains a copy of ``w`` on its documents; the mean of the copies, weighted by documents, comes back through a tree of sums."""
+def averaged(docs: DataFrame, w: gru.Weights, v: Vocabulary, rate: float, batch_docs: int = 128, lanes: int = 128, longest: int = 4096,
+             most: int = 16) -> gru.Weights:
+    """Each task trains a copy of ``w`` on all words of its documents; the mean of the copies, weighted by words, comes back through a tree of sums."""
     sent = docs.sparkSession.sparkContext.broadcast((w, v))  # bounded by the sizes of the model
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         held: list = []
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                held.append((doc, text.as_py()))
+            for text in batch.column("text"):
+                held.append(text.as_py())
                 if len(held) == batch_docs:
                     yield held
                     held = []
@@ -173,7 +197,7 @@ def averaged(docs: DataFrame, w: gru.Weights, v: Vocabulary, stretch: int, rate:
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, words = sent.value
-        own, seen = train_on(start.like(start.flat()), chunks(batches), words, stretch, rate)
+        own, seen = train_whole(start.like(start.flat()), chunks(batches), words, rate, lanes, longest)
         if seen:
             yield pa.RecordBatch.from_pydict({"n": [seen], "w": [own.flat().tobytes()]})
 
@@ -185,7 +209,7 @@ def averaged(docs: DataFrame, w: gru.Weights, v: Vocabulary, stretch: int, rate:
         if n:
             yield pa.RecordBatch.from_pydict({"n": [n], "w": [(total / n).astype(np.float32).tobytes()]})
 
-    copies = materialize(docs.select("doc_id", "text").mapInArrow(local, "n long, w binary"), "copies")
+    copies = materialize(docs.select("text").mapInArrow(local, "n long, w binary"), "copies")
     while (k := copies.count()) > most:
         copies = materialize(copies.repartition(-(-k // most)).mapInArrow(add, "n long, w binary"), "copies")
     rows = copies.collect()  # at most ``most`` models
@@ -196,7 +220,7 @@ def averaged(docs: DataFrame, w: gru.Weights, v: Vocabulary, stretch: int, rate:
 
 def fit(docs: DataFrame, counted: DataFrame, head_words: int = 1984, endings: int = 63, hidden: int = 24, stretch: int = 64, rounds: int = 2,
         warm_docs: int = 1500) -> tuple[gru.Weights, Vocabulary]:
-    """``docs``: doc_id, text, learn. Every training document takes part in one of the rounds."""
+    """``docs``: doc_id, text, learn. Every training document takes part whole in one of the rounds; ``stretch`` is the warm-up's alone."""
     v = vocabulary(counted, head_words, endings)
     w = first_weights(v, hidden)
     train = docs.where("learn")
@@ -206,7 +230,7 @@ def fit(docs: DataFrame, counted: DataFrame, head_words: int = 1984, endings: in
     w, _ = train_on(w, (rows[i: i + 64] for _ in range(3) for i in range(0, len(rows), 64)), v, stretch, 4e-3)
     for k in range(rounds):
         part = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k)
-        w = averaged(part, w, v, stretch, 2e-3)
+        w = averaged(part, w, v, 2e-3)
     return w, v
 
 

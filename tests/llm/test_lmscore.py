@@ -112,3 +112,32 @@ def test_better_than_its_counts(spark):
     check_counts([(r["doc_id"], r["text"]) for r in docs.collect()], got)
     held = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_training_sees_every_word_of_long_documents(spark):
+    words = [f"w{i:03}" for i in range(500)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (None, "w000 w001"), (2, None)], "doc_id long, text string")
+    head = {w.encode(): i for i, w in enumerate(words)}
+    v = lmscore.Vocabulary(head, {}, np.ones(1), np.ones(1), 505, 501, np.ones(500))
+    w = lmscore.first_weights(v, 6)
+    after = lmscore.averaged(docs, w.like(w.flat()), v, rate=2e-3)
+    assert (after.table[:500] != w.table[:500]).any(1).all()
+
+
+def test_windows_cover_every_word_once_and_carry_the_state():
+    texts = ["a b " * 50, None, "", "c", "a " * 31, "b " * 64 + "c"]
+    v = lmscore.Vocabulary({b"a": 0, b"b": 1, b"c": 2}, {}, np.ones(1), np.ones(1), 9, 4, np.ones(3))
+    held, got = {}, []
+    for live, goes_on, inputs, classes, words, on in gru.windows_of(lmscore.walks(iter([texts[:4], texts[4:]]), v, 1000), 2, 32):
+        for lane, old, *row, n in zip(live, goes_on, inputs, classes, words, on.sum(1)):
+            if not old:
+                held[lane] = ([], [])
+                got.append(held[lane])
+            held[lane][0].extend(row[0][:n])
+            held[lane][1].extend(zip(row[1][:n], row[2][:n]))
+    want = []
+    for text in texts:
+        own = lmscore.words_of(text)
+        symbol, cls, word, _ = v.symbols(own, None)
+        want.append(([4, *symbol[:-1]], list(zip(cls, word))))
+    assert sorted(got) == sorted(want)
