@@ -36,7 +36,7 @@ class Encoder:
     """Ids of texts. ``blanks``: the vocabulary keeps the blank before a word (else it drops white space and case).
 
     Parts are what stands between blanks, pieces what the tokenizer itself cuts a part into before merging; both are numbered, and numbers stay the same
-    until ``limit`` parts are held. ``term`` has a hash of each part's first piece. Pieces of letters are encoded many at a time.
+    until ``limit`` parts are held. ``terms_of`` has a hash of every piece that is not blank. Pieces of letters are encoded many at a time.
     """
 
     def __init__(self, path: str, blanks: bool, limit: int = 400_000) -> None:
@@ -52,7 +52,8 @@ class Encoder:
         self.piece_ids, self.piece_starts, self.piece_lens = Grown(np.uint32), Grown(np.int64), Grown(np.int64)
         self.piece_begin, self.piece_end, self.piece_chars = Grown(np.int32), Grown(np.int32), Grown(np.int64)
         self.begin, self.end, self.chars = Grown(np.int32), Grown(np.int32), Grown(np.int64)
-        self.term, self.piece_term = Grown(np.int64), Grown(np.int64)
+        self.part_pieces, self.part_starts, self.part_counts = Grown(np.int32), Grown(np.int64), Grown(np.int32)
+        self.piece_term = Grown(np.int64)
 
     def _split(self, text: str) -> list[str] | None:
         if "\0" in text or _RARE.search(text):
@@ -106,8 +107,9 @@ class Encoder:
                 self.begin.extend(_gather(self.piece_begin.data, self.piece_starts.data[numbers], lens) + shift)
                 self.end.extend(_gather(self.piece_end.data, self.piece_starts.data[numbers], lens) + shift)
                 self.chars.extend(before[ends] - before[ends - counts])
-            first = self.piece_term.data[np.append(numbers, 0)[ends - counts]]
-            self.term.extend(np.where(counts > 0, first, 0))
+            self.part_starts.extend(self.part_pieces.size + ends - counts)
+            self.part_counts.extend(counts)
+            self.part_pieces.extend(numbers)
         return out
 
     def _encode(self, pieces: list[str]) -> None:
@@ -132,7 +134,10 @@ class Encoder:
             starts[i], lens[i] = self.piece_ids.size, len(ids)
             self._keep(ids, offsets)
         self.piece_chars.extend(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-        self.piece_term.extend((hash_words([p.strip().lower() for p in pieces]) >> np.uint64(24)).astype(np.int64))
+        words = [p.strip().lower() for p in pieces]
+        terms = (hash_words(words) >> np.uint64(24)).astype(np.int64)
+        terms[np.fromiter(map(len, words), np.int64, len(words)) == 0] = -1
+        self.piece_term.extend(terms)
         self.piece_starts.extend(starts)
         self.piece_lens.extend(lens)
 
@@ -149,6 +154,12 @@ class Encoder:
     def ids_of(self, parts: np.ndarray) -> np.ndarray:
         return _gather(self.ids.data, self.starts.data[parts], self.lens.data[parts])
 
+    def terms_of(self, parts: np.ndarray) -> np.ndarray:
+        """The hashes of all pieces of a text but blank ones, in order, however the text was split into parts."""
+        pieces = _gather(self.part_pieces.data, self.part_starts.data[parts], self.part_counts.data[parts].astype(np.int64))
+        terms = self.piece_term.data[pieces]
+        return terms[terms >= 0]
+
     def spans_of(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First character and end of each token in the text; only of vocabularies that keep blanks."""
         starts, lens, chars = self.starts.data[parts], self.lens.data[parts], self.chars.data[parts]

@@ -6,6 +6,8 @@ themselves; what is left over is packed. A seed's window takes its neighbours in
 neighbours the shard's next unused documents, so every window of a shard but the last is full. The last is stored in stretches of powers of two, so
 nothing is padded.
 
+The terms of a document are all pieces that the tokenizer cuts its text into before merging (words, numbers, marks), without white space and case.
+
 Cases: null and empty texts are their end id alone; texts longer than any window are cut, each id lies in exactly one piece; equal scores go to the
 document that comes first by id; repeated rows are packed each; a null id is kept; an empty table gives an empty result; other columns are
 ignored.
@@ -154,7 +156,7 @@ def pack(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str
                 for doc, text, parts in zip(ids[at: at + 256], held, found):
                     shard.ids.append(doc)
                     shard.tokens.append(np.append(tokenizer.ids_of(parts), np.uint32(end_id)))
-                    shard.terms.append(tokenizer.term.data[parts])
+                    shard.terms.append(tokenizer.terms_of(parts))
                     shard.chars += len(text or "")
                 if len(shard.ids) >= shard_docs or shard.chars >= shard_chars:
                     yield from finish()

@@ -69,3 +69,20 @@ def test_a_seed_takes_its_nearest_documents_first():
         assert sum(n for _, n in taken) == 50
         assert all(d % 3 == seed % 3 for d, _ in taken[:5])
     assert sum(n for _, taken in windows for _, n in taken) == 300
+
+
+@pytest.mark.parametrize("text", ["alpha beta gamma", "alpha\nbeta\ngamma", "alpha-beta/gamma", "alpha  beta  gamma", "  alpha\n    beta\n\tgamma",
+                                  "alpha\xa0beta gamma", "alpha beta \n gamma", "ALPHA\r\n beta, gamma."])
+def test_every_word_is_a_term_whatever_the_white_space(text):
+    e = packing.encoder(PATH, blanks=True)
+    terms = [e.terms_of(p) for p in e.parts_of([text, "alpha", "beta", "gamma"])]
+    assert all(len(t) == 1 for t in terms[1:])
+    assert {int(t[0]) for t in terms[1:]} <= set(terms[0].tolist())
+
+
+def test_documents_meet_in_words_after_line_breaks_and_in_indented_texts():
+    texts = ["first\nneedle\nx1", "second\nhay\nx2", "third  hay\n    stack", "other\n    needle  x4"]
+    e = packing.encoder(PATH, blanks=True)
+    index = packing.Index([e.terms_of(p) for p in e.parts_of(texts)])
+    assert index.neighbours(0, np.array([False, True, True, True]), 24)[0] == 3
+    assert index.neighbours(1, np.array([True, False, True, True]), 24)[0] == 2
