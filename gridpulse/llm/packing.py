@@ -1,7 +1,7 @@
 """Packing by lexical retrieval: each window is filled with the unused documents that a BM25 index ranks nearest to its seed.
 
 Documents are dealt over shards by a hash of their id; every shard has an inverted index of its own, of at most ``shard_docs`` documents or
-``shard_chars`` characters, and answers the queries of its own seeds. Of a document, stretches of a whole window become sequences by
+``shard_chars`` characters, and answers the queries of its own seeds, each with all terms of the seed. Of a document, stretches of a whole window become sequences by
 themselves; what is left over is packed. A seed's window takes its neighbours in the order of their scores, the last one cut to fit, and after the
 neighbours the shard's next unused documents, so every window of a shard but the last is full. The last is stored in stretches of powers of two, so
 nothing is padded.
@@ -50,11 +50,11 @@ class Index:
         order = np.argsort(self.doc, kind="stable")
         self.of_doc, self.ends = slot[order], np.cumsum(np.bincount(self.doc, minlength=self.n))
 
-    def neighbours(self, doc: int, unused: np.ndarray, query_terms: int) -> np.ndarray:
-        """Unused documents that share one of the document's rarest ``query_terms`` shared terms, best first."""
+    def neighbours(self, doc: int, unused: np.ndarray, query_terms: int | None = None) -> np.ndarray:
+        """Unused documents that share one of the document's terms (of its rarest ``query_terms`` shared ones, if given), best first."""
         own = self.of_doc[self.ends[doc - 1] if doc else 0: self.ends[doc]]
         own = own[self.df[own] > 1]
-        if len(own) > query_terms:
+        if query_terms is not None and len(own) > query_terms:
             own = own[np.argsort(self.df[own], kind="stable")[:query_terms]]
         if not len(own):
             return own
@@ -67,7 +67,7 @@ class Index:
         return found[np.argsort(-scores[found], kind="stable")]
 
 
-def fill(left: np.ndarray, index: Index, window: int, query_terms: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+def fill(left: np.ndarray, index: Index, window: int, query_terms: int | None = None) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """Windows as (seed, [(document, ids taken)]). ``left``: how many ids each document has to pack; changed in place."""
     unused, next_free = left > 0, 0
     for seed in range(len(left)):
@@ -102,7 +102,7 @@ class _Shard:
     def __init__(self) -> None:
         self.ids, self.tokens, self.terms, self.chars = [], [], [], 0
 
-    def pieces(self, sequence: int, window: int, query_terms: int) -> tuple[list[tuple], int]:
+    def pieces(self, sequence: int, window: int, query_terms: int | None) -> tuple[list[tuple], int]:
         out, done = [], np.zeros(len(self.ids), np.int64)
 
         def put(doc: int, length: int, offset: int, seed: int) -> None:
@@ -134,7 +134,7 @@ class _Shard:
 
 
 def pack(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", window: int = 1024, end_id: int = 0,
-         query_terms: int = 24, shard_docs: int = 4096, shard_chars: int = 16_000_000) -> DataFrame:
+         query_terms: int | None = None, shard_docs: int = 4096, shard_chars: int = 16_000_000) -> DataFrame:
     """One row for each piece: document, start in the document, length, crc32 of its ids, document's ids, sequence, offset, seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

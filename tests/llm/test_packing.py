@@ -86,3 +86,14 @@ def test_documents_meet_in_words_after_line_breaks_and_in_indented_texts():
     index = packing.Index([e.terms_of(p) for p in e.parts_of(texts)])
     assert index.neighbours(0, np.array([False, True, True, True]), 24)[0] == 3
     assert index.neighbours(1, np.array([True, False, True, True]), 24)[0] == 2
+
+
+def test_a_seed_is_scored_on_all_its_terms():
+    seed = np.arange(100)
+    rare = [np.array([i, 1000 + i]) for i in range(30)]  # the seed's rarest shared terms, of two documents each
+    common = [np.arange(40, 100)] * 3
+    index = packing.Index([seed, *rare, *common])
+    found = index.neighbours(0, np.arange(34) > 0)
+    assert set(found.tolist()) == set(range(1, 34))
+    windows = list(packing.fill(np.array([10, *[1] * 30, *[10] * 3]), index, 40))
+    assert sorted(d for d, _ in windows[0][1]) == [0, 31, 32, 33]
