@@ -29,19 +29,33 @@ def hash_share(*columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def labelled_sample(df: DataFrame, label: str, key: str, per_label: int | dict) -> DataFrame:
-    """About ``per_label`` rows of each label (all, where there are fewer), chosen by a hash of the key.
+def labelled_sample(df: DataFrame, label: str, keys: list[str], per_label: int | dict) -> DataFrame:
+    """About ``per_label`` rows of each label (all, where there are fewer), chosen by a hash of the key columns.
 
-    The exact counts give the share to keep, so the sample is the same for any partitioning.
+    The exact counts give the share to keep, so the sample is the same for any partitioning, unless rows with equal keys had to be thinned.
     Training gathers it on the driver; ``per_label`` bounds it.
     """
     counts = {r[label]: r["count"] for r in df.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
     if not counts:
         return df.limit(0)
     keep = F.lit(0.0)
+    most = {value: per_label if isinstance(per_label, int) else per_label[value] for value in counts}
     for value, n in counts.items():
-        keep = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, (per_label if isinstance(per_label, int) else per_label[value]) / n))).otherwise(keep)
-    return df.where(F.col(label).isNotNull() & (hash_share(key) < keep))
+        keep = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, most[value] / n))).otherwise(keep)
+    return thinned(df.where(F.col(label).isNotNull() & (hash_share(*keys) < keep)), label, most)
+
+
+def thinned(df: DataFrame, label: str, most: dict) -> DataFrame:
+    """``df``, or where one label has more than one and a half times its ``most`` rows, about ``most`` of them: rows with equal keys are kept or
+    dropped together by a hash of the key, so a key on very many rows would go beyond any bound."""
+    found = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    over = {value: n for value, n in found.items() if n > 1.5 * most[value] + 50}
+    if not over:
+        return df
+    keep = F.lit(1.0)
+    for value, n in over.items():
+        keep = F.when(F.col(label) == F.lit(value), F.lit(most[value] / n)).otherwise(keep)
+    return df.withColumn("row number", F.monotonically_increasing_id()).where(hash_share("row number") < keep).drop("row number")
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -160,7 +160,7 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     df, total = document_frequencies(usable, text_column, features)
     idf = np.log((1 + total) / (1 + df)).astype(np.float32) + np.float32(1)
     frame = usable.select(F.col(id_column).alias("id"), F.col(text_column).alias("t"), F.col(label_column).cast("string").alias("y"))
-    rows = labelled_sample(frame, "y", "id", per_language).collect()
+    rows = labelled_sample(frame, "y", ["id", "t"], per_language).collect()
     rows.sort(key=lambda r: (r["id"] is None, r["id"], r["t"], r["y"]))
     return train([r["t"] for r in rows], [r["y"] for r in rows], idf, **parameters)
 

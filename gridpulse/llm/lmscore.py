@@ -1,6 +1,6 @@
 """Language-model scores of whole documents: a gated recurrent model with class-factored output over the corpus's own word counts.
 
-1. Documents are dealt over blocks by a hash of their id. Each block counts its words; totals over all training documents come from one shuffle by
+1. Documents are dealt over blocks by a hash of their id and text. Each block counts its words; totals over all training documents come from one shuffle by
    word and go back to the blocks that have the word.
 2. The most frequent words are head words of the model. Every other word belongs to the class of its last two bytes (the most frequent such
    endings, and one for the rest) and has its count's share of that class.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.llm import gru
-from gridpulse.llm.common import Words, fold, hash_share
+from gridpulse.llm.common import Words, fold, hash_share, thinned
 from gridpulse.scratch import materialize
 
 END = b" "  # no word contains a blank
@@ -225,11 +225,12 @@ def fit(docs: DataFrame, counted: DataFrame, head_words: int = 1984, endings: in
     w = first_weights(v, hidden)
     train = docs.where("learn")
     n = train.count()
-    rows = train.where(hash_share("doc_id") < min(1.0, warm_docs / max(n, 1))).select("doc_id", "text").collect()
+    warm = train.where(hash_share("doc_id", "text") < min(1.0, warm_docs / max(n, 1))).select("doc_id", "text", F.lit(0).alias("all"))
+    rows = thinned(warm, "all", {0: warm_docs}).collect()
     rows = sorted([(r["doc_id"], r["text"] or "") for r in rows], key=lambda r: (r[0] is None, r))
     w, _ = train_on(w, (rows[i: i + 64] for _ in range(3) for i in range(0, len(rows), 64)), v, stretch, 4e-3)
     for k in range(rounds):
-        part = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k)
+        part = train.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == k)
         w = averaged(part, w, v, 2e-3)
     return w, v
 
@@ -246,7 +247,7 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, id_column: str = "doc_
                         (fold(id_column, folds) != held).alias("learn"))
     chars = frame.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(chars) // block_chars))
-    dealt = frame.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("long"))
+    dealt = frame.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long"))
     counted = materialize(block_counts(dealt), "counts")
     w, v = fit(frame, counted, **parameters)
     sent = docs.sparkSession.sparkContext.broadcast((w, v))  # bounded by the sizes of the model

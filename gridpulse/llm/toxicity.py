@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import WORD, Grown, Words, hash_words, labelled_sample
+from gridpulse.llm.common import WORD, Grown, Words, hash_words, labelled_sample, thinned
 
 
 @dataclass(frozen=True)
@@ -172,9 +172,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         most_clean: int = 3000, most_toxic: int = 1200, **parameters) -> Model:
     """Train on about ``most_clean`` and ``most_toxic`` of the documents that ``labels`` marks 0 or 1 (the bound on what the driver gathers)."""
     usable = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("y")).where("id is not null and y in (0, 1)")
-    sample = labelled_sample(usable, "y", "id", {0: most_clean, 1: most_toxic})  # bounded, so it can be broadcast
+    most = {0: most_clean, 1: most_toxic}
+    sample = labelled_sample(usable, "y", ["id"], most)  # bounded, so it can be broadcast
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("t"))
-    rows = texts.join(F.broadcast(sample), "id").collect()
+    rows = thinned(texts.join(F.broadcast(sample), "id"), "y", most).collect()  # an id may have many rows
     rows.sort(key=lambda r: (r["id"], r["t"], r["y"]))
     return train([r["t"] for r in rows], [r["y"] for r in rows], **parameters)
 
