@@ -1,8 +1,8 @@
-"""N-gram Jaccard self-join with a MinHash LSH forest and exact verification.
+"""N-gram Jaccard self-join with MinHash banding and exact verification.
 
 1. Every text becomes its set of five-word shingles (64-bit hashes) and a MinHash signature. Texts with the same set are one class.
-2. Each tree of the forest is a trie over its own slice of the signature. Matched prefixes are shortened level by level from ``longest`` until two sets of
-   the asked similarity meet in some tree with probability ``recall``; that depth is the key the tries are grouped by.
+2. Each tree is one band of ``depth`` values of the signature under a single key. The depth is fixed before any data is read: the longest at which two sets of
+   the asked similarity meet in some tree with probability ``recall``. This stands in place of an LSH forest (tries, prefixes shortened by the data).
 3. Classes that meet in any tree form candidate groups (connected through trie nodes by smallest labels: sums per node, never pairs).
 4. Within a group all classes are compared exactly: shared shingles are counted by posting lists. A group larger than ``block`` is cut into
    blocks, and each pair of blocks is a task of its own, so no task and no row count grows with the square of a group.
