@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import decontaminate, fingerprint, jaccard, langid, licenses, lmscore, packing, tokencounts, tokenfile, toxicity
+from gridpulse.llm import decontaminate, fingerprint, jaccard, langid, licenses, lmscore, packing, sharding, tokencounts, tokenfile, toxicity
 from gridpulse.llm.common import documents, fold
 from gridpulse.scratch import new_path
 
@@ -85,3 +85,8 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scan", licenses.sql())
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
+
+
+@query("op13_sharding", sharding.sql(40))
+def sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digests(sharding.shard(documents(spark, sf_dir), 40))
