@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import decontaminate, fingerprint, jaccard, langid, licenses, lmscore, packing, sharding, tokencounts, tokenfile, toxicity
+from gridpulse.llm import (
+    alignment, decontaminate, fingerprint, infill, jaccard, langid, licenses, lmscore, packing, sharding, tokencounts, tokenfile, toxicity,
+)
 from gridpulse.llm.common import documents, fold
 from gridpulse.scratch import new_path
 
@@ -87,6 +89,17 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+@query("op11_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.digests(documents(spark, sf_dir), *paths)
+
+
+@query("op12_infill", infill.sql())
+def infilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(documents(spark, sf_dir))
+
+
 @query("op13_sharding", sharding.sql(40))
 def sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digests(sharding.shard(documents(spark, sf_dir), 40))
