@@ -84,6 +84,8 @@ class Aligner:
             raise ValueError("pieces of this vocabulary cross blanks or line breaks")
         self.len_a = np.fromiter(map(len, self.bytes_a), np.int64, len(self.bytes_a))
         self.len_b = np.fromiter(map(len, self.bytes_b), np.int64, len(self.bytes_b))
+        wide = max(len(self.bytes_a), len(self.bytes_b))
+        self.written = np.array([f"{i}{sign}" for i in range(wide) for sign in ",|;\n"], object)
         self.limit, self.chars = limit, chars
         self._reset()
 
@@ -105,70 +107,79 @@ class Aligner:
             self._add(fresh)
         return out
 
-    def _encoded(self, parts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both sides for each part. Parts that begin and end cleanly are encoded many at a time and cut by their bytes."""
-        out: list = [None] * len(parts)
+    def _encoded(self, parts: list[str]) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
+        """An order of the parts, the ids of both sides in it, and how many of them each part has.
+
+        Parts that begin and end cleanly are encoded many at a time and cut by their bytes, the others one by one; a part that a side changes has none.
+        """
+        order: list[int] = []
+        ids: list[list] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
+        counts: list[list] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
         clean = [i for i, p in enumerate(parts) if _CLEAN.fullmatch(p)]
+        left = sorted(set(range(len(parts))) - set(clean))
         for at in range(0, len(clean), 400):
             some = clean[at: at + 400]
-            text = "".join([parts[i] for i in some])
-            sides = self._both(text)
-            ends = np.cumsum([len(parts[i].encode()) for i in some])
-            cuts = []
-            for ids, lens in zip(sides, (self.len_a, self.len_b)):
-                reached = np.cumsum(lens[ids])
-                where = np.searchsorted(reached, ends) + 1
-                cuts.append(where if len(reached) and reached[-1] == ends[-1] and np.array_equal(reached[where - 1], ends) else None)
-            if any(c is None for c in cuts):
-                continue  # a side changes one of them: one by one
-            for i, a, b in zip(some, np.split(sides[0], cuts[0][:-1]), np.split(sides[1], cuts[1][:-1])):
-                out[i] = (a, b)
-        return [found if found is not None else self._both(part) for part, found in zip(parts, out)]
-
-    def _both(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+            texts = [parts[i] for i in some]
+            sides = self._both("".join(texts))
+            if sides is None:
+                left += some
+                continue
+            ends = np.cumsum(np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts)))
+            for held, n, found, lens in zip(ids, counts, sides, (self.len_a, self.len_b)):
+                held.append(found)
+                n.append(np.diff(np.searchsorted(np.cumsum(lens[found]), ends), prepend=-1))
+            order += some
+        for i in left:
+            for held, n, found in zip(ids, counts, self._both(parts[i]) or (np.empty(0, np.int64),) * 2):
+                held.append(found)
+                n.append(np.array([len(found)]))
+        return order + left, *[[np.concatenate(ids[k]), np.concatenate(counts[k])] for k in (0, 1)]
+
+    def _both(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both sides; none where a side changes the text."""
         # The second side puts a blank before a text; a line break after that keeps it apart from the text's own first blank.
-        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode("\n" + text)
-        return np.array(a, np.int64), np.array(b[2:], np.int64)
+        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode("\n" + text)[2:]
+        raw = text.encode()
+        if b"".join([self.bytes_a[i] for i in a]) != raw or b"".join([self.bytes_b[i] for i in b]) != raw:
+            return None
+        return np.array(a, np.int64), np.array(b, np.int64)
 
     def _add(self, fresh: list[str]) -> None:
-        found = self._encoded(fresh)
-        raw = [p.encode() for p in fresh]
-        same = np.array([b"".join([self.bytes_a[i] for i in a.tolist()]) == r and b"".join([self.bytes_b[i] for i in b.tolist()]) == r
-                         for r, (a, b) in zip(raw, found)], np.bool_)
-        none = np.empty(0, np.int64)
-        found = [pair if s else (none, none) for pair, s in zip(found, same)]
-        a, b = (np.concatenate([none, *[pair[side] for pair in found]]) for side in (0, 1))
-        ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        last, label = np.unique(terminals(ends_a, ends_b), return_inverse=True)
+        order, (a, tokens_a), (b, tokens_b) = self._encoded(fresh)
+        place = np.argsort(order)
+        last, label = np.unique(terminals(np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])), return_inverse=True)
         of_a, of_b = label[: len(a)], label[len(a):]
         sizes_a, sizes_b = np.bincount(of_a, minlength=len(last)), np.bincount(of_b, minlength=len(last))
-        first_a, first_b = np.cumsum(sizes_a) - sizes_a, np.cumsum(sizes_b) - sizes_b
-        tokens_a = np.fromiter((len(x) for x, _ in found), np.int64, len(found))
-        tokens_b = np.fromiter((len(x) for _, x in found), np.int64, len(found))
         part_ends = np.cumsum(tokens_a)
         groups = np.searchsorted(last, part_ends) - np.searchsorted(last, part_ends - tokens_a)
-        part_of = np.repeat(np.arange(len(found)), groups)
-        links = np.bincount(part_of, sizes_a * sizes_b, len(found)).astype(np.int64)
+        part_of = np.repeat(np.arange(len(fresh)), groups)
+        links = np.bincount(part_of, sizes_a * sizes_b, len(fresh)).astype(np.int64)
         for held, values in zip(self.numbers, (tokens_a, tokens_b, groups, links)):
-            held.extend(values)
-        self.same.extend(same)
-        self._texts(a.tolist(), b.tolist(), sizes_a.tolist(), sizes_b.tolist(), groups.tolist())
-        self._pairs(a, b, sizes_a, sizes_b, first_a, first_b, part_of, len(found))
-
-    def _texts(self, a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int], groups: list[int]) -> None:
-        at_a = at_b = g = 0
-        for n in groups:
-            own = []
-            for _ in range(n):
-                to_a, to_b = at_a + sizes_a[g], at_b + sizes_b[g]
-                own.append(f"{','.join(map(str, a[at_a:to_a]))}|{','.join(map(str, b[at_b:to_b]))}")
-                at_a, at_b, g = to_a, to_b, g + 1
-            self.texts.append(";".join(own))
-
-    def _pairs(self, a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray,
-               part_of: np.ndarray, n_parts: int) -> None:
+            held.extend(values[place])
+        self.same.extend((tokens_a > 0)[place])
+        texts = self._texts(a, b, of_a, of_b, part_of, groups)
+        self.texts += [texts[i] for i in place.tolist()]
+        starts, lens = self._pairs(a, b, sizes_a, sizes_b, part_of, len(fresh))
+        self.starts.extend(starts[place])
+        self.lens.extend(lens[place])
+
+    def _texts(self, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, part_of: np.ndarray, groups: np.ndarray) -> list[str]:
+        """The groups of each part as text: every id is followed by the sign that separates it from the next."""
+        side, group = np.repeat([0, 1], [len(a), len(b)]), np.concatenate([of_a, of_b])
+        by = np.lexsort([side, group])  # stable: tokens stay in their order
+        side, group, ids = side[by], group[by], np.concatenate([a, b])[by]
+        new_side, new_group = np.r_[side[1:] != side[:-1], True], np.r_[group[1:] != group[:-1], True]
+        new_part = np.r_[part_of[group[1:]] != part_of[group[:-1]], True]
+        sign = np.where(new_part, 3, np.where(new_group, 2, np.where(new_side, 1, 0)))
+        whole = "".join(self.written[ids * 4 + sign].tolist()) if len(ids) else ""
+        found = iter(whole.split("\n"))
+        return [next(found) if n else "" for n in groups.tolist()]
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, part_of: np.ndarray,
+               n_parts: int) -> tuple[np.ndarray, np.ndarray]:
         """The distinct pairs of each part and their links."""
         wide = len(self.bytes_b)
+        first_a, first_b = np.cumsum(sizes_a) - sizes_a, np.cumsum(sizes_b) - sizes_b
         small = np.flatnonzero(sizes_a * sizes_b <= 64)
         reps = (sizes_a * sizes_b)[small]
         group = np.repeat(small, reps)
@@ -186,10 +197,10 @@ class Aligner:
         code, part, count = code[order], part[order], count[order]
         new = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (part[1:] != part[:-1])]) if len(code) else np.empty(0, np.int64)
         lens = np.bincount(part[new], minlength=n_parts)
-        self.starts.extend(self.pairs.size + np.cumsum(lens) - lens)
-        self.lens.extend(lens)
+        starts = self.pairs.size + np.cumsum(lens) - lens
         self.pairs.extend(code[new])
         self.links.extend(np.add.reduceat(count, new) if len(new) else count)
+        return starts, lens
 
 
 _HELD: dict[tuple[str, str], Aligner] = {}
