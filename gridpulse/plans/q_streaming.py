@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -34,26 +35,42 @@ def table_stream(t: Tables, name: str, max_files: int | None = None) -> DataFram
     return messages.read_files_as_stream(t.spark, f"{path[:-1]}[{path[-1]}]", t.table(name).schema, max_files=max_files)
 
 
-def feed(t: Tables, df: DataFrame, label: str, start: Callable[[DataFrame], StreamingQuery], parts: int = 1, by: str = "ts") -> None:
-    """Hand ``df`` to a stream in ``parts`` successive deliveries in the order of ``by``.
+def ends(df: DataFrame, by: str, parts: int) -> list:
+    """First and last value of ``by`` and the ends of ``parts`` deliveries of about equal size between them."""
+    probs = [i / parts for i in range(1, parts)]
+    low, high, inner = df.agg(F.min(by), F.max(by), F.percentile_approx(by, probs, 1000) if probs else F.lit(None)).first()
+    return [low, *(inner or []), high]
+
+
+def longest(cuts: list) -> dt.timedelta:
+    """No row of a delivery comes later than this after a row with a later time, however its files are dealt."""
+    return max((b - a for a, b in zip(cuts, cuts[1:]) if a is not None), default=dt.timedelta()) + dt.timedelta(seconds=1)
+
+
+def feed(t: Tables, df: DataFrame, label: str, start: Callable[[DataFrame], StreamingQuery], parts: int = 1, by: str = "ts",
+         max_files: int | None = None, cuts: list | None = None, end: bool = False) -> None:
+    """Hand ``df`` to a stream in ``parts`` successive deliveries in the order of ``by``, of ``max_files`` files a micro-batch.
 
     Each delivery is written in parallel and taken by one run of the query; the
-    checkpoint carries offsets and state from run to run.
+    checkpoint carries offsets and state from run to run. ``end`` delivers an end mark after them.
     """
     path = new_path(t.spark, label)
-    cuts: list = [None, None]
-    if parts > 1:
-        probs = [i / parts for i in range(1, parts)]
-        cuts[1:1] = df.agg(F.percentile_approx(by, probs, 1000)).first()[0]
-    for i in range(parts):
-        chunk, low, high = df, cuts[i], cuts[i + 1]
+    cuts = cuts or ends(df, by, parts)
+    inner = [None, *cuts[1:-1], None]
+    chunks = []
+    for low, high in zip(inner, inner[1:]):
+        chunk = df
         if low is not None:
             chunk = chunk.filter(F.col(by) > F.lit(low).cast(df.schema[by].dataType))
         if high is not None:
             chunk = chunk.filter(F.col(by) <= F.lit(high).cast(df.schema[by].dataType))
+        chunks.append(chunk)
+    if end:
+        chunks.append(state.end_mark(df, by))
+    for i, chunk in enumerate(chunks):
         chunk.write.parquet(f"{path}/p{i}")
-        stream = messages.read_files_as_stream(t.spark, f"{path}/*", df.schema)
-        jobs.finish(start(stream))
+        stream = messages.read_files_as_stream(t.spark, f"{path}/*", df.schema, max_files=max_files)
+        jobs.finish(start(stream), lossless=True)
 
 
 def done(t: Tables, folder: str, schema=None) -> DataFrame:
@@ -139,14 +156,15 @@ SERIES_SQL = """
         false AS late FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
 
 
-def series(t: Tables, label: str, parts: int, seed: float = 0.0) -> DataFrame:
+def series(t: Tables, label: str, parts: int, seed: float = 0.0, max_files: int | None = None) -> DataFrame:
     rows = zoned(t.events.select("event_id", "user_id", "ts", "value"))
     out, cp = new_path(t.spark, f"{label}out"), new_path(t.spark, f"{label}cp")
+    cuts = ends(rows, "ts", parts)
 
     def start(stream: DataFrame) -> StreamingQuery:
-        return jobs.start_files(state.with_series_state(stream, "user_id", ORDER, "value", 0.32, seed), out, cp)
+        return jobs.start_files(state.with_series_state(stream, "user_id", ORDER, "value", 0.32, seed, wait=longest(cuts)), out, cp)
 
-    feed(t, rows, label, start, parts)
+    feed(t, rows, label, start, parts, max_files=max_files, cuts=cuts, end=True)
     return plain(done(t, out))
 
 
@@ -242,11 +260,14 @@ def i07_sliding(t: Tables) -> DataFrame:
 @query("i08_stream_deduplication", "SELECT event_id, user_id, ts FROM dirty")
 def i08(t: Tables) -> DataFrame:
     out, cp = new_path(t.spark, "i08out"), new_path(t.spark, "i08cp")
+    rows = zoned(t.repeated.select("event_id", "user_id", "ts"))
+    cuts = ends(rows, "ts", 2)
 
     def start(stream: DataFrame) -> StreamingQuery:
-        return jobs.start_files(jobs.drop_stream_duplicates(stream, "ts", ["event_id", "ts"], "1 hour"), out, cp)
+        late = f"{int(longest(cuts).total_seconds())} seconds"
+        return jobs.start_files(jobs.drop_stream_duplicates(stream, "ts", ["event_id", "ts"], late), out, cp)
 
-    feed(t, zoned(t.repeated.select("event_id", "user_id", "ts")), "i08", start, 2)
+    feed(t, rows, "i08", start, 2, cuts=cuts)
     return plain(done(t, out))
 
 

@@ -46,13 +46,23 @@ def start_files(stream: DataFrame, folder: str, checkpoint: str, mode: str = "ap
     )
 
 
-def finish(query: StreamingQuery, timeout: float | None = None) -> None:
-    """Wait for an available-now query, which ends by itself; its own error is raised here. A caller may set a limit."""
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark and were left out, over the progress reports that the query holds."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def finish(query: StreamingQuery, timeout: float | None = None, lossless: bool = False) -> None:
+    """Wait for an available-now query, which ends by itself; its own error is raised here. A caller may set a limit.
+
+    ``lossless``: rows left out as too late are an error.
+    """
     if timeout is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"the streaming query did not end within {timeout} s")
+    if lossless and (n := dropped_rows(query)):
+        raise RuntimeError(f"{n} rows came behind the watermark; the allowed lateness must cover their delay")
 
 
 def run_for(queries: Sequence[StreamingQuery], seconds: float) -> None:
@@ -92,7 +102,7 @@ def start_refreshed_table(stream: DataFrame, path: str, checkpoint: str) -> Stre
 
 
 def drop_stream_duplicates(stream: DataFrame, ts: str, keys: Sequence[str], late: str) -> DataFrame:
-    """First row per key; the state of a key ends ``late`` after its time."""
+    """First row per key; the state of a key ends ``late`` after its time, and so long a row may come out of order (see ``finish``)."""
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
 
 

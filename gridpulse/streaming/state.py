@@ -1,26 +1,157 @@
-"""Keyed state per sensor: lags, smoothing and sequence numbers on a stream.
+"""Keyed state per sensor: event-time order, lags, smoothing and sequence numbers on a stream.
 
-Rows of a micro-batch are put in event-time order inside their key, so a batch
-is bounded by the source's admission control (offsets or files per trigger).
-A row older than the last one its key has seen arrives too late to be put in
-order: it is kept, marked ``late``, gets no lags, and leaves the state as it is.
+Rows of a key wait as sorted runs in list state until the stream is ``wait`` past them, then leave in order, so lags, numbers and smoothing do not
+hang on how the source cuts the rows into micro-batches: a row may come up to ``wait`` after rows with later times. A timer for each key wakes it
+when its earliest waiting row is due, also when no further rows of the key come.
+
+Spark drops rows behind the watermark. The watermark therefore stays ``keep`` behind (years), and the timers are set by the difference of the two
+earlier. A row that comes later than ``wait``, behind one of its key that has left already, is kept, marked ``late``, gets no lags and leaves the
+state as it is. Times must lie after 1970 plus ``keep``. ``end_mark`` ends a stream: everything that waits leaves.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: A row of this time (or later) is no reading but the end of its stream.
+END = dt.datetime(2200, 1, 1, tzinfo=dt.timezone.utc)
+_END_US = int(END.timestamp()) * 1_000_000
+KEEP = dt.timedelta(days=3650)
+
 STATE = "last_us bigint, seq bigint, lag1 double, lag2 double, smooth double"
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Timers and lists in state need this store; a query that is under way keeps the one that its checkpoint names."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+
+
+def end_mark(stream: DataFrame, ts: str) -> DataFrame:
+    """One row with no value but a time beyond all readings; delivered after the last one it ends the stream."""
+    columns = [(F.lit(END) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name) for f in stream.schema.fields]
+    return stream.sparkSession.range(1).select(*columns)
+
+
+def affine_scan(values: np.ndarray, weight: float, start: float) -> np.ndarray:
+    """``(1 - weight) * before + weight * value`` from ``start``, a missing value repeating the result before it.
+
+    A row maps the result before it to ``keep * before + own``; maps of neighbours are composed, over stretches of doubling length.
+    """
+    known = ~np.isnan(values)
+    keep, own, step = np.where(known, 1.0 - weight, 1.0), np.where(known, weight * np.where(known, values, 0.0), 0.0), 1
+    while step < len(values):
+        own[step:] = own[step:] + keep[step:] * own[:-step]
+        keep[step:] = keep[step:] * keep[:-step]
+        step *= 2
+    return own + keep * start
+
+
+def _packed(rows: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(payload: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(payload).read_pandas()
+
+
+def micros(times: pd.Series) -> np.ndarray:
+    return times.to_numpy().astype("datetime64[us]").astype("int64")
+
+
+def joined(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    parts = [f for f in frames if len(f)]
+    return parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
+
+
+class OrderBuffer(StatefulProcessor):
+    """Holds the rows of a key back until they are due; ``placed`` gives the columns of those that leave."""
+
+    def __init__(self, order: Sequence[str], column: str, weight: float, seed: float, wait: dt.timedelta, keep: dt.timedelta) -> None:
+        self.order, self.column, self.weight, self.seed = list(order), column, weight, seed
+        self.ahead = int((keep - wait).total_seconds() * 1000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.runs = handle.getListState("runs", "payload binary")
+        self.series = handle.getValueState("series", STATE)
+        self.due = handle.getValueState("due", "ms bigint")
+
+    def _wake(self, first_us: int) -> None:
+        ms = first_us // 1000 - self.ahead
+        known = self.due.get()
+        if known is None or ms < known[0]:
+            if known is not None:
+                self.handle.deleteTimer(known[0])
+            self.handle.registerTimer(ms)
+            self.due.update((ms,))
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        came = joined(rows)
+        times = micros(came[self.order[0]])
+        came, times = came[times < _END_US], times[times < _END_US]
+        before = self.series.get()
+        late = np.zeros(len(came), bool) if before is None else times < before[0]
+        if late.any():
+            yield self._columns(came[late])
+        if not late.all():
+            self.runs.appendValue((_packed(came[~late]),))
+            self._wake(int(times[~late].min()))
+
+    def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        until = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) + self.ahead
+        rows = joined(_unpacked(payload) for (payload,) in self.runs.get())
+        self.runs.clear()
+        self.due.clear()
+        if not len(rows):
+            return
+        times = micros(rows[self.order[0]])
+        go = times // 1000 <= until
+        if not go.all():
+            self.runs.appendValue((_packed(rows[~go]),))
+            self._wake(int(times[~go].min()))
+        if go.any():
+            ready = rows[go]
+            yield self.placed(ready.iloc[np.lexsort([ready[c].to_numpy() for c in reversed(self.order)])])
+
+    def placed(self, rows: pd.DataFrame) -> pd.DataFrame:
+        """Columns of ordered rows, continuing the key's series."""
+        _, seq, lag1, lag2, smooth = self.series.get() or (None, 0, None, None, self.seed)
+        values = rows[self.column].to_numpy(dtype="float64", na_value=np.nan)
+        known = np.concatenate([[np.nan if x is None else x for x in (lag2, lag1)], values])
+        smoothed = affine_scan(values, self.weight, smooth)
+        self.series.update((int(micros(rows[self.order[0]])[-1]), seq + len(rows), *[None if np.isnan(x) else float(x) for x in known[:-3:-1]],
+                            float(smoothed[-1])))
+        return self._columns(rows, np.arange(seq + 1, seq + 1 + len(rows)), known[1:-1], known[:-2], smoothed)
+
+    def _columns(self, rows: pd.DataFrame, seq: np.ndarray | None = None, *numbers: np.ndarray) -> pd.DataFrame:
+        none = np.full(len(rows), np.nan)
+        lag1, lag2, smooth = numbers or (none, none, none)
+        number = pd.array([pd.NA] * len(rows) if seq is None else seq, dtype="Int64")
+        return pd.DataFrame({**{c: rows[c].array for c in rows.columns}, "seq": number, "lag1": lag1, "lag2": lag2, "smooth": smooth,
+                             "late": np.full(len(rows), seq is None)})
+
+    def close(self) -> None:
+        pass
+
+
 def with_series_state(
     stream: DataFrame, key: str, order: Sequence[str], column: str, weight: float = 0.32, seed: float = 0.0,
+    wait: dt.timedelta = dt.timedelta(minutes=1), keep: dt.timedelta = KEEP,
 ) -> DataFrame:
     """Add seq, lag1, lag2, smooth and late to each row; ``order[0]`` is the event time."""
     schema = StructType([
@@ -28,42 +159,43 @@ def with_series_state(
         StructField("seq", LongType()), StructField("lag1", DoubleType()), StructField("lag2", DoubleType()),
         StructField("smooth", DoubleType()), StructField("late", BooleanType()),
     ])
-    order = list(order)
-
-    def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        parts = list(frames)
-        rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        rows = rows.iloc[np.lexsort([rows[c].to_numpy() for c in reversed(order)])]
-        last_us, seq, lag1, lag2, smooth = state.get if state.exists else (None, 0, None, None, seed)
-        micros = rows[order[0]].to_numpy().astype("datetime64[us]").astype("int64")
-        fresh = np.ones(len(rows), dtype=bool) if last_us is None else micros >= last_us
-        values = rows[column].to_numpy(dtype="float64", na_value=np.nan)[fresh]
-        known = np.concatenate([[np.nan if x is None else x for x in (lag2, lag1)], values])
-        smoothed = np.empty(len(values))
-        for i, x in enumerate(values.tolist()):
-            smooth = smooth if x != x else (1.0 - weight) * smooth + weight * x
-            smoothed[i] = smooth
-
-        def placed(x: np.ndarray) -> np.ndarray:
-            out = np.full(len(rows), np.nan)
-            out[fresh] = x
-            return out
-
-        number = pd.array(np.arange(seq + 1, seq + 1 + len(values)), dtype="Int64")
-        if not fresh.all():
-            number = pd.Series(number, index=np.flatnonzero(fresh)).reindex(range(len(rows))).array
-        if len(values):
-            state.update((
-                int(micros[fresh][-1]), seq + len(values),
-                None if np.isnan(known[-1]) else float(known[-1]),
-                None if np.isnan(known[-2]) else float(known[-2]), float(smooth),
-            ))
-        yield pd.DataFrame({
-            **{c: rows[c].array for c in rows.columns},
-            "seq": number, "lag1": placed(known[1:-1]), "lag2": placed(known[:-2]),
-            "smooth": placed(smoothed), "late": ~fresh,
-        })
-
-    return stream.groupBy(key).applyInPandasWithState(
-        step, schema, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    use_rocksdb(stream.sparkSession)
+    marked = stream.withWatermark(order[0], f"{int(keep.total_seconds())} seconds")
+    return marked.groupBy(key).transformWithStateInPandas(
+        OrderBuffer(order, column, weight, seed, wait, keep), schema, "Append", "EventTime")
+
+
+class Aligner(StatefulProcessor):
+    """The latest value of each source for one key and time; one row leaves as soon as all are there, its state ends ``hold`` after its time."""
+
+    def __init__(self, ts: str, sources: Sequence[str], hold: dt.timedelta, keep: dt.timedelta) -> None:
+        self.ts, self.sources = ts, list(sources)
+        self.ahead = int((keep - hold).total_seconds() * 1000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.values = handle.getValueState("values", ", ".join(f"v{i} double" for i in range(len(self.sources))) + ", came int")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        came = joined(rows)
+        before = self.values.get()
+        *values, mask = before or (*[None] * len(self.sources), 0)
+        full = (1 << len(self.sources)) - 1
+        if before is None:
+            self.handle.registerTimer(int(micros(came[self.ts])[0]) // 1000 - self.ahead)
+        was = mask
+        for source, value in zip(came["source"].tolist(), came["value"].tolist()):
+            i = self.sources.index(source)
+            if not mask >> i & 1:  # the first reading of a source counts
+                values[i], mask = (None if value is None or value != value else float(value)), mask | 1 << i
+        self.values.update((*values, mask))
+        if mask == full and was != full:
+            key_values = key if isinstance(key, tuple) else (key,)
+            yield pd.DataFrame([[*key_values, *values]])
+
+    def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.values.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass

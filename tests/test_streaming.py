@@ -1,7 +1,10 @@
 """Streams: one file or many, late rows, restart, replay of a batch."""
 
 import datetime as dt
+import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.scratch import new_path
@@ -18,14 +21,17 @@ def rows(*items):
 SCHEMA = "k string, ts timestamp, id int, v double"
 
 
-def series(spark, *parts):
+def series(spark, *parts, wait=1, end=True):
+    """Each part is one run of the query, so state and watermark go over from batch to batch."""
     src, out, cp = (new_path(spark, x) for x in ("src", "out", "cp"))
     frames = [spark.createDataFrame(rows(*p), SCHEMA) for p in parts]
+    if end:
+        frames.append(state.end_mark(frames[0], "ts"))
     for i, df in enumerate(frames):
         df.coalesce(1).write.parquet(f"{src}/p{i}")
-    stream = read_files_as_stream(spark, f"{src}/*", frames[0].schema)
-    result = state.with_series_state(stream, "k", ["ts", "id"], "v", 0.5, 0.0)
-    jobs.finish(jobs.start_files(result, out, cp))
+        stream = read_files_as_stream(spark, f"{src}/*", frames[0].schema)
+        result = state.with_series_state(stream, "k", ["ts", "id"], "v", 0.5, 0.0, wait=dt.timedelta(minutes=wait))
+        jobs.finish(jobs.start_files(result, out, cp), lossless=True)
     return spark.read.schema(result.schema).parquet(out).orderBy("k", "ts", "id").collect()
 
 
@@ -38,17 +44,85 @@ def test_lags_cross_micro_batches(spark):
     assert [r["smooth"] for r in a] == [0.5, 1.25, 2.125, 3.0625]
 
 
+def test_rows_wait_for_earlier_ones(spark):
+    got = series(spark, [("a", 10, 1.0)], [("a", 5, 7.0), ("a", 11, 2.0)], [("a", 12, 3.0)], wait=6)
+    assert [(r["v"], r["seq"], r["lag1"], r["late"]) for r in got] == [
+        (7.0, 1, None, False), (1.0, 2, 7.0, False), (2.0, 3, 1.0, False), (3.0, 4, 2.0, False)]
+
+
 def test_late_row_is_kept_and_marked(spark):
-    got = series(spark, [("a", 10, 1.0)], [("a", 5, 7.0), ("a", 11, 2.0)], [("a", 12, 3.0)])
+    got = series(spark, [("a", 10, 1.0)], [("b", 20, 9.0)], [("a", 5, 7.0), ("a", 11, 2.0)], [("a", 12, 3.0)])
     by_value = {r["v"]: r for r in got}
-    assert len(got) == 4
+    assert len(got) == 5
     assert by_value[7.0]["late"] and by_value[7.0]["lag1"] is None and by_value[7.0]["seq"] is None
     assert (by_value[2.0]["lag1"], by_value[3.0]["lag1"], by_value[3.0]["lag2"]) == (1.0, 2.0, 1.0)
+    assert not by_value[2.0]["late"]
+
+
+def test_idle_key_leaves_when_others_move_the_clock(spark):
+    got = series(spark, [("a", 1, 1.0)], [("b", 30, 2.0)], end=False)
+    assert [(r["k"], r["v"]) for r in got] == [("a", 1.0)]  # b waits until the stream is past it
 
 
 def test_equal_times_are_not_late(spark):
     got = series(spark, [("a", 1, 1.0)], [("a", 1, 2.0)])
-    assert [r["late"] for r in got] == [False, False]
+    assert [(r["late"], r["seq"]) for r in got] == [(False, 1), (False, 2)]
+
+
+def test_missing_values_and_a_missing_key(spark):
+    got = series(spark, [("a", 1, 1.0), (None, 1, 5.0)], [("a", 2, None), (None, 2, 6.0)], [("a", 3, 3.0)])
+    assert [(r["k"], r["v"], r["lag1"], r["lag2"], r["smooth"]) for r in got] == [
+        (None, 5.0, None, None, 2.5), (None, 6.0, 5.0, None, 4.25),
+        ("a", 1.0, None, None, 0.5), ("a", None, 1.0, None, 0.5), ("a", 3.0, None, 1.0, 1.75)]
+
+
+def test_order_does_not_hang_on_micro_batches(spark):
+    """Rows up to 30 minutes out of order, one key with nine tenths of them, over 24 files: 1, 5 or all files a trigger give the same."""
+    draw = random.Random(3)
+    items = sorted(((draw.random() * 600, "hot" if draw.random() < 0.9 else f"k{draw.randrange(5)}") for _ in range(1200)))
+    table = [(k, T0 + dt.timedelta(minutes=m), i, None if i % 17 == 0 else float(i % 13)) for i, (m, k) in enumerate(items)]
+    sent = sorted(table, key=lambda r: r[1] + dt.timedelta(minutes=29 * draw.random()))
+    src, schema = new_path(spark, "src"), spark.createDataFrame([], SCHEMA).schema
+    for i in range(24):
+        spark.createDataFrame(sent[50 * i: 50 * i + 50], schema).coalesce(1).write.parquet(f"{src}/p{i:02}")
+    state.end_mark(spark.createDataFrame([], schema), "ts").coalesce(1).write.parquet(f"{src}/p24")
+    want, last, smooth = [], {}, {}
+    for k, ts, i, v in table:
+        held = last.setdefault(k, [])
+        smooth[k] = smooth.get(k, 0.0) if v is None else 0.5 * smooth.get(k, 0.0) + 0.5 * v
+        lag = [None, None, *held][-2:]
+        want.append((i, k, len(held) + 1, lag[1], lag[0], round(smooth[k], 9), False))
+        held.append(v)
+    for files in (1, 5, None):
+        out, cp = new_path(spark, "out"), new_path(spark, "cp")
+        stream = read_files_as_stream(spark, f"{src}/*", schema, max_files=files)
+        result = state.with_series_state(stream, "k", ["ts", "id"], "v", 0.5, 0.0, wait=dt.timedelta(minutes=30))
+        jobs.finish(jobs.start_files(result, out, cp), lossless=True)
+        got = spark.read.schema(result.schema).parquet(out).orderBy("id").collect()
+        assert [(r["id"], r["k"], r["seq"], r["lag1"], r["lag2"], round(r["smooth"], 9), r["late"]) for r in got] == want
+
+
+def test_affine_scan_against_a_loop():
+    values = np.array([1.0, np.nan, 3.0, np.nan, np.nan, 5.0, -2.0])
+    state_, want = 7.0, []
+    for x in values:
+        state_ = state_ if np.isnan(x) else 0.7 * state_ + 0.3 * x
+        want.append(state_)
+    assert np.allclose(state.affine_scan(values, 0.3, 7.0), want)
+    assert len(state.affine_scan(np.array([]), 0.3, 7.0)) == 0
+
+
+def test_rows_left_out_as_too_late_are_an_error(spark):
+    src, out, cp = (new_path(spark, x) for x in ("src", "out", "cp"))
+    for i, minute in enumerate((500, 1)):
+        spark.createDataFrame(rows(("a", minute, 1.0)), SCHEMA).coalesce(1).write.parquet(f"{src}/p{i}")
+        stream = read_files_as_stream(spark, f"{src}/*", spark.createDataFrame([], SCHEMA).schema)
+        query = jobs.start_files(jobs.drop_stream_duplicates(stream, "ts", ["k", "ts"], "1 hour"), out, cp)
+        if i:
+            with pytest.raises(RuntimeError, match="1 rows"):
+                jobs.finish(query, lossless=True)
+        else:
+            jobs.finish(query, lossless=True)
 
 
 def test_replayed_batch_replaces_itself(spark):
