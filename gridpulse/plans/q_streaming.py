@@ -55,7 +55,7 @@ def feed(t: Tables, df: DataFrame, label: str, start: Callable[[DataFrame], Stre
     checkpoint carries offsets and state from run to run. ``end`` delivers an end mark after them.
     """
     path = new_path(t.spark, label)
-    cuts = cuts or ends(df, by, parts)
+    cuts = cuts or (ends(df, by, parts) if parts > 1 else [None, None])
     inner = [None, *cuts[1:-1], None]
     chunks = []
     for low, high in zip(inner, inner[1:]):

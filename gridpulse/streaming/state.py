@@ -29,7 +29,7 @@ END = dt.datetime(2200, 1, 1, tzinfo=dt.timezone.utc)
 _END_US = int(END.timestamp()) * 1_000_000
 KEEP = dt.timedelta(days=3650)
 
-STATE = "last_us bigint, seq bigint, lag1 double, lag2 double, smooth double"
+STATE = "last_us bigint, seq bigint, lag1 double, lag2 double, smooth double, due bigint"  # due: the timer that is set, if any
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -88,55 +88,60 @@ class OrderBuffer(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.runs = handle.getListState("runs", "payload binary")
-        self.series = handle.getValueState("series", STATE)
-        self.due = handle.getValueState("due", "ms bigint")
+        self.series = handle.getValueState("series", STATE)  # one value, as each access is a call to the store
 
-    def _wake(self, first_us: int) -> None:
+    def _wake(self, first_us: int, due: int | None) -> int:
+        """The timer to have: an earlier one takes the place of that set."""
         ms = first_us // 1000 - self.ahead
-        known = self.due.get()
-        if known is None or ms < known[0]:
-            if known is not None:
-                self.handle.deleteTimer(known[0])
-            self.handle.registerTimer(ms)
-            self.due.update((ms,))
+        if due is not None and due <= ms:
+            return due
+        if due is not None:
+            self.handle.deleteTimer(due)
+        self.handle.registerTimer(ms)
+        return ms
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         came = joined(rows)
         times = micros(came[self.order[0]])
         came, times = came[times < _END_US], times[times < _END_US]
-        before = self.series.get()
-        late = np.zeros(len(came), bool) if before is None else times < before[0]
+        held = self.series.get() or self.fresh()
+        late = np.zeros(len(came), bool) if held[0] is None else times < held[0]
         if late.any():
             yield self._columns(came[late])
         if not late.all():
             self.runs.appendValue((_packed(came[~late]),))
-            self._wake(int(times[~late].min()))
+            due = self._wake(int(times[~late].min()), held[-1])
+            if due != held[-1]:
+                self.series.update((*held[:-1], due))
 
     def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         until = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) + self.ahead
         rows = joined(_unpacked(payload) for (payload,) in self.runs.get())
+        held = self.series.get() or self.fresh()
         self.runs.clear()
-        self.due.clear()
-        if not len(rows):
-            return
-        times = micros(rows[self.order[0]])
-        go = times // 1000 <= until
+        times = micros(rows[self.order[0]]) if len(rows) else np.empty(0, np.int64)
+        go, due = times // 1000 <= until, None
         if not go.all():
             self.runs.appendValue((_packed(rows[~go]),))
-            self._wake(int(times[~go].min()))
+            due = self._wake(int(times[~go].min()), None)
         if go.any():
             ready = rows[go]
-            yield self.placed(ready.iloc[np.lexsort([ready[c].to_numpy() for c in reversed(self.order)])])
+            out, held = self.placed(ready.iloc[np.lexsort([ready[c].to_numpy() for c in reversed(self.order)])], held)
+            yield out
+        self.series.update((*held[:-1], due))
 
-    def placed(self, rows: pd.DataFrame) -> pd.DataFrame:
-        """Columns of ordered rows, continuing the key's series."""
-        _, seq, lag1, lag2, smooth = self.series.get() or (None, 0, None, None, self.seed)
+    def fresh(self) -> tuple:
+        return None, 0, None, None, self.seed, None
+
+    def placed(self, rows: pd.DataFrame, held: tuple) -> tuple[pd.DataFrame, tuple]:
+        """Columns of ordered rows, continuing the key's series, and the series after them."""
+        _, seq, lag1, lag2, smooth, due = held
         values = rows[self.column].to_numpy(dtype="float64", na_value=np.nan)
         known = np.concatenate([[np.nan if x is None else x for x in (lag2, lag1)], values])
         smoothed = affine_scan(values, self.weight, smooth)
-        self.series.update((int(micros(rows[self.order[0]])[-1]), seq + len(rows), *[None if np.isnan(x) else float(x) for x in known[:-3:-1]],
-                            float(smoothed[-1])))
-        return self._columns(rows, np.arange(seq + 1, seq + 1 + len(rows)), known[1:-1], known[:-2], smoothed)
+        after = (int(micros(rows[self.order[0]])[-1]), seq + len(rows), *[None if np.isnan(x) else float(x) for x in known[:-3:-1]],
+                 float(smoothed[-1]), due)
+        return self._columns(rows, np.arange(seq + 1, seq + 1 + len(rows)), known[1:-1], known[:-2], smoothed), after
 
     def _columns(self, rows: pd.DataFrame, seq: np.ndarray | None = None, *numbers: np.ndarray) -> pd.DataFrame:
         none = np.full(len(rows), np.nan)
