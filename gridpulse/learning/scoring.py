@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -10,11 +11,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridpulse.learning.fitted import CleaningModel
 from gridpulse.learning.prepare import add_features, clean
 from gridpulse.learning.training import Prepared, assemble
 from gridpulse.operators.cleaning import require_columns
 from gridpulse.operators.joins import with_frequency
 from gridpulse.schemas import DATASETS, Dataset
+from gridpulse.streaming.state import last_values, with_series_state
 
 
 @dataclass
@@ -82,6 +85,23 @@ def clean_and_score(df: DataFrame, art: Artefacts, order: Sequence[str] | None =
     return score(clean(df, art.spec), art, order)
 
 
+def score_stream(stream: DataFrame, art: Artefacts, cleaning: CleaningModel, history: DataFrame, order: Sequence[str],
+                 wait: dt.timedelta = dt.timedelta(minutes=1)) -> DataFrame:
+    """Streaming rows cleaned by fitted statistics, with real lags, and scored, in one query without jobs of its own.
+
+    ``history``: cleaned earlier readings. The last values of each area are its first state, so the first streaming rows have the lags that a
+    table of all rows would give them; ``order[0]`` must be ``timestamp``. Rows that come more than ``wait`` out of order are
+    marked ``late`` and scored with lags of 0.
+    """
+    spec, ts = art.spec, order[0]
+    cleaned = cleaning.transform(stream)
+    cleaned = cleaned.withColumn(ts, F.col(ts).cast("timestamp"))
+    first = last_values(history.withColumn(ts, F.col(ts).cast("timestamp")), "area", order, spec.target)
+    series = with_series_state(cleaned, "area", order, spec.target, wait=wait, first=first)
+    lags = {name: F.coalesce(F.col(f"lag{k}"), F.lit(0.0)) for name, k in spec.lags.items()}
+    return score(series.withColumns(lags).drop("seq", "lag1", "lag2", "smooth"), art)
+
+
 def batch_scorer(art: Artefacts, decode: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
     """Transform for ``streaming.jobs.start_batches``: decode, clean, score."""
     return lambda batch: clean_and_score(decode(batch), art)

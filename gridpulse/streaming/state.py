@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
+from gridpulse.operators.ordered import OrderedFrame
+
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: A row of this time (or later) is no reading but the end of its stream.
 END = dt.datetime(2200, 1, 1, tzinfo=dt.timezone.utc)
@@ -130,6 +132,12 @@ class OrderBuffer(StatefulProcessor):
             yield out
         self.series.update((*held[:-1], due))
 
+    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
+        """A row of ``last_values``: the series goes on where the history ends."""
+        last = initialState.iloc[0]
+        numbers = [None if pd.isna(last[c]) else float(last[c]) for c in ("lag1", "lag2")]
+        self.series.update((int(last["last_us"]), int(last["seq"]), *numbers, self.seed if pd.isna(last["smooth"]) else float(last["smooth"]), None))
+
     def fresh(self) -> tuple:
         return None, 0, None, None, self.seed, None
 
@@ -154,11 +162,21 @@ class OrderBuffer(StatefulProcessor):
         pass
 
 
+def last_values(history: DataFrame, key: str, order: Sequence[str], column: str, smooth: str | None = None, **sizes: int) -> DataFrame:
+    """Where each key's series stands after ``history``: time and number of its last row, its last two values, its ``smooth`` column if there is one."""
+    frame = OrderedFrame.of(history, [key], order, **sizes).windows({"_before": lambda w: F.lag(column, 1).over(w)}, 1, 0)
+    last = F.max_by(F.struct(
+        F.unix_micros(order[0]).alias("last_us"), F.col(column).cast("double").alias("lag1"), F.col("_before").cast("double").alias("lag2"),
+        (F.col(smooth) if smooth else F.lit(None)).cast("double").alias("smooth")), F.struct(*order))
+    found = frame.result().groupBy(key).agg(last.alias("last"), F.count("*").alias("seq"))
+    return found.select(key, "last.last_us", "seq", "last.lag1", "last.lag2", "last.smooth")
+
+
 def with_series_state(
     stream: DataFrame, key: str, order: Sequence[str], column: str, weight: float = 0.32, seed: float = 0.0,
-    wait: dt.timedelta = dt.timedelta(minutes=1), keep: dt.timedelta = KEEP,
+    wait: dt.timedelta = dt.timedelta(minutes=1), keep: dt.timedelta = KEEP, first: DataFrame | None = None,
 ) -> DataFrame:
-    """Add seq, lag1, lag2, smooth and late to each row; ``order[0]`` is the event time."""
+    """Add seq, lag1, lag2, smooth and late to each row; ``order[0]`` is the event time. ``first``: ``last_values`` of what came before the stream."""
     schema = StructType([
         *stream.schema.fields,
         StructField("seq", LongType()), StructField("lag1", DoubleType()), StructField("lag2", DoubleType()),
@@ -167,7 +185,8 @@ def with_series_state(
     use_rocksdb(stream.sparkSession)
     marked = stream.withWatermark(order[0], f"{int(keep.total_seconds())} seconds")
     return marked.groupBy(key).transformWithStateInPandas(
-        OrderBuffer(order, column, weight, seed, wait, keep), schema, "Append", "EventTime")
+        OrderBuffer(order, column, weight, seed, wait, keep), schema, "Append", "EventTime",
+        initialState=None if first is None else first.groupBy(key))
 
 
 class Aligner(StatefulProcessor):
