@@ -87,10 +87,14 @@ def test_centred_rolling_equals_pandas(spark, n):
     assert sum(centred_frame(n)) == n - 1
 
 
-def test_frame_longer_than_a_segment_is_refused(spark):
-    df = frame(spark, hot_rows(6))
-    with pytest.raises(ValueError):
-        rolling(df, "v", 24, ["t", "id"], **SIZES)
+@pytest.mark.parametrize("n, segment", [(24, 5), (25, 1), (60, 7), (500, 30)])
+def test_frame_longer_than_a_segment_equals_pandas(spark, n, segment):
+    pdf = hot_rows(6, 120)
+    want = pdf.sort_values(["t", "id"], ignore_index=True)["v"].rolling(n, min_periods=3, center=True)
+    got = rolling(frame(spark, pdf), "v", n, ["t", "id"], max_group_rows=0, segment_rows=segment).toPandas()
+    got = got.sort_values(["t", "id"], ignore_index=True)
+    np.testing.assert_allclose(got["roll_mean"], want.mean(), atol=1e-9)
+    np.testing.assert_allclose(got["roll_std"], want.std(), atol=1e-7)
 
 
 @pytest.mark.parametrize("segment", [130, 400])
