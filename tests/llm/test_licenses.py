@@ -36,8 +36,8 @@ def test_odd_rows(spark, odd, none):
 def test_oracle_on_odd_rows(spark, odd):
     import duckdb
 
-    more = odd.selectExpr("doc_id", "concat_ws('\n', text, 'c) 2020 x', '© 2021 y', 'ISC Licence') AS text")
+    more = odd.selectExpr("doc_id", "concat_ws('\n', text, '(c) 2020 x', '© 2021 y', 'Released under the MIT Licence') AS text")
     con = duckdb.connect()
     documents = more.toArrow()  # noqa: F841  read by name
     got, want = lic.scan(more).toArrow(), con.execute(lic.sql()).to_arrow_table()
-    assert got.num_rows == 12 and compare(got.to_pandas(), want.to_pandas()) is None
+    assert got.num_rows == 12 + 3 and compare(got.to_pandas(), want.to_pandas()) is None
