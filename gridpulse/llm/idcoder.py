@@ -45,9 +45,12 @@ class _Model:
         self.order2 = np.full(blocks << _HASH, _EMPTY)
         # weights of order 2 and order 1 (16 bits) by both confidences
         self.weight2, self.weight1 = np.full(blocks * 64, 1 << 12, np.int32), np.full(blocks * 64, 1 << 12, np.int32)
-        self.counts = np.ones(blocks * vocabulary, np.int32)
+        self.counts, self.came = np.zeros((blocks, vocabulary), np.int32), np.zeros((blocks, vocabulary), np.int32)  # until and since the last rebuild
+        self.cum = np.zeros(blocks * (vocabulary + 1), np.int32)
+        self.coarse = np.zeros(blocks * ((1 << (_ORDER0 - _COARSE)) + 1), _I)
+        self.fresh, self.since = np.ones(blocks, _I), np.full(blocks, 2, _I)  # ids since the last rebuild that had no count then, and all of them
         self.prev1, self.prev2 = np.zeros(blocks * LANES, _I), np.zeros(blocks * LANES, _I)
-        self.steps, self.rebuild_at = 0, 32
+        self.steps, self.rebuild_at = 0, 16
         self.seen: list[np.ndarray] = []
         self._bases()
         self.rebuild()
@@ -65,19 +68,30 @@ class _Model:
 
     def _count(self) -> None:
         if self.seen:
-            np.add(self.counts, np.bincount(np.concatenate(self.seen), minlength=len(self.counts)) * 32, out=self.counts, casting="unsafe")
+            np.add.at(self.came.reshape(-1), np.concatenate(self.seen), 1)
             self.seen = []
 
     def rebuild(self) -> None:
-        """Cumulative order-0 frequencies with at least one for each id."""
+        """Cumulative order-0 frequencies with at least one for each id.
+
+        Ids without a count share what such ids took of the ids since the rebuild before, so repeated ids are cheap early and spread ones stay so.
+        """
         self._count()
-        sums = np.cumsum(self.counts.reshape(self.blocks, -1), axis=1, dtype=_I)
-        cum = np.zeros((self.blocks, self.vocabulary + 1), np.int32)
-        cum[:, 1:] = sums * ((1 << _ORDER0) - self.vocabulary) // sums[:, -1:] + np.arange(1, self.vocabulary + 1)
+        room, one = (1 << _ORDER0) - self.vocabulary, np.arange(1, self.vocabulary + 1, dtype=_I)
         marks = np.arange(0, (1 << _ORDER0) + 1, 1 << _COARSE)
-        coarse = np.stack([np.searchsorted(row, marks, "right") - 1 for row in cum])
-        coarse[:, -1] = self.vocabulary - 1
-        self.cum, self.coarse = cum.reshape(-1), coarse.reshape(-1)
+        cum, coarse = self.cum.reshape(self.blocks, -1), self.coarse.reshape(self.blocks, -1)
+        for i, (counts, came) in enumerate(zip(self.counts, self.came)):
+            n = int(came.sum(dtype=_I))
+            if n:
+                self.since[i], self.fresh[i] = n + 2, n + 1 - int(came[counts > 0].sum(dtype=_I))
+                counts += came
+                came[:] = 0
+            sums, rest = np.cumsum(counts, dtype=_I), np.cumsum(counts == 0, dtype=_I)
+            total, left = int(sums[-1]), int(rest[-1])
+            share = room if not total else room * int(self.fresh[i]) // int(self.since[i]) if left else 0
+            cum[i, 1:] = sums * (room - share) // max(total, 1) + rest * share // max(left, 1) + one
+            coarse[i] = np.searchsorted(cum[i], marks, "right") - 1
+            coarse[i, -1] = self.vocabulary - 1
 
     def predict(self) -> None:
         """Guesses of both orders and the shares a and b of the coder's range that the mixture gives them."""
@@ -111,9 +125,11 @@ class _Model:
         self.prev2, self.prev1 = self.prev1, ids
         self.seen.append(self.base1 + ids)
         self.steps += 1
+        if len(self.seen) == 128:
+            self._count()
         if self.steps == self.rebuild_at:
             self.rebuild()
-            self.rebuild_at += min(3 * self.steps, 4096)
+            self.rebuild_at += min(2 * self.steps, 4096)
 
 
 def _lanes(sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
