@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.functions import constants as K
-from gridpulse.operators import joins
+from gridpulse.operators import joins, ranges
 from gridpulse.plans.q_aggregates import RISK_SQL, risk
 from gridpulse.plans.registry import query
 from gridpulse.plans.views import Tables
@@ -85,6 +85,25 @@ def c06(t: Tables) -> DataFrame:
     return joins.with_event_multiplier(t.energy.select("reading_id", "area", "timestamp"), events, "area", "timestamp")
 
 
+@query("c06_ranges_by_second", """
+    SELECT e.reading_id, e.area, e.timestamp, max(r.m) AS multiplier, count(r.m) AS n_ranges FROM energy e
+    LEFT JOIN (SELECT l_suppkey % 41 AS k, epoch(l_shipdate::TIMESTAMP)::BIGINT + l_orderkey % 86399 AS f,
+            epoch(l_shipdate::TIMESTAMP)::BIGINT + 86400 * l_quantity::BIGINT + l_partkey % 86399 AS l, 1 + l_discount AS m FROM lineitem) r
+        ON r.k = e.reading_id % 41 AND epoch(e.timestamp)::BIGINT BETWEEN r.f AND r.l
+    GROUP BY 1, 2, 3""", rounded="multiplier")
+def c06_seconds(t: Tables) -> DataFrame:
+    """Ranges that begin and end at any second, one for each line item, met by every reading of their key."""
+    def second(c: str):
+        return F.unix_timestamp(F.col(c).cast("timestamp"))
+
+    spans = t.lineitem.select((F.col("l_suppkey") % 41).alias("k"), (second("l_shipdate") + F.col("l_orderkey") % 86399).alias("low"),
+                              (second("l_shipdate") + 86400 * F.col("l_quantity").cast("long") + F.col("l_partkey") % 86399).alias("high"), (1 + F.col("l_discount")).alias("m"))
+    rows = t.energy.select("reading_id", "area", "timestamp", (F.col("reading_id") % 41).alias("k"))
+    found = ranges.join_ranges(rows, spans, ["k"], second("timestamp"), "low", "high", {
+        "multiplier": (F.max("m"), F.greatest), "n_ranges": (F.count("*"), ranges.total)})
+    return found.drop("k").fillna({"n_ranges": 0})
+
+
 EDGES = [(s, d) for s, ds in K.NEIGHBOURS.items() for d in ds]
 
 
@@ -126,8 +145,11 @@ ALIGNED_SQL = " JOIN ".join(
     for v, c in (("traffic", "vehicle_count"), ("energy", "energy_consumption"), ("pollution", "AQI")))
 
 
-@query("c09_align_tables", "SELECT * FROM " + ALIGNED_SQL.replace(") JOIN (", ") AS a JOIN (", 1).replace(
-    ") JOIN (", ") AS b USING (month, day) JOIN (", 1) + " AS c USING (month, day)", rounded="vehicle_count energy_consumption AQI")
+ALIGNED_TABLES_SQL = "SELECT * FROM " + ALIGNED_SQL.replace(") JOIN (", ") AS a JOIN (", 1).replace(
+    ") JOIN (", ") AS b USING (month, day) JOIN (", 1) + " AS c USING (month, day)"
+
+
+@query("c09_align_tables", ALIGNED_TABLES_SQL, rounded="vehicle_count energy_consumption AQI")
 def c09_tables(t: Tables) -> DataFrame:
     """The three tables whole; their years differ, so they meet by calendar day."""
     grain = {"month": F.month("timestamp"), "day": F.dayofmonth("timestamp")}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridpulse.operators import cleaning, ordered
+from gridpulse.plans.q_joins import ALIGNED_TABLES_SQL as ALIGNED_SQL
 from gridpulse.plans.registry import query
 from gridpulse.plans.views import Tables
 from gridpulse.scratch import new_path
@@ -292,3 +293,20 @@ def c09_streams(t: Tables) -> DataFrame:
     out = new_path(t.spark, "c09out")
     jobs.finish(jobs.start_files(joined, out, new_path(t.spark, "c09cp")))
     return plain(done(t, out, joined.schema))
+
+
+@query("c09_align_tables_stream", ALIGNED_SQL, rounded="vehicle_count energy_consumption AQI")
+def c09_tables_stream(t: Tables) -> DataFrame:
+    """The three tables whole as three streams of several files, aligned by calendar day by one state row for each day."""
+    day = F.make_timestamp(F.lit(2000), F.month("timestamp"), F.dayofmonth("timestamp"), F.lit(0), F.lit(0), F.lit(0), F.lit("UTC"))
+    streams = {}
+    for table, value in (("traffic", "vehicle_count"), ("energy", "energy_consumption"), ("pollution", "AQI")):
+        rows = getattr(t, table).select(F.month("timestamp").alias("month"), F.dayofmonth("timestamp").alias("day"), day.alias("slot"), value)
+        path = new_path(t.spark, f"c09-{table}")
+        rows.repartition(3).write.parquet(f"{path}/a")
+        state.end_mark(rows, "slot").write.parquet(f"{path}/b")
+        streams[value] = messages.read_files_as_stream(t.spark, f"{path}/*", rows.schema, max_files=2)
+    out = new_path(t.spark, "c09s-out")
+    aligned = state.align_on_stream(streams, ["month", "day"], "slot", hold=dt.timedelta(days=367))
+    jobs.finish(jobs.start_files(aligned, out, new_path(t.spark, "c09s-cp")), lossless=True)
+    return done(t, out, aligned.schema)

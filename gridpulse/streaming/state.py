@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -190,36 +191,65 @@ def with_series_state(
 
 
 class Aligner(StatefulProcessor):
-    """The latest value of each source for one key and time; one row leaves as soon as all are there, its state ends ``hold`` after its time."""
+    """Sum and number of the values that each source has sent for one key; one row leaves when the stream is past the key's time."""
 
-    def __init__(self, ts: str, sources: Sequence[str], hold: dt.timedelta, keep: dt.timedelta) -> None:
-        self.ts, self.sources = ts, list(sources)
+    def __init__(self, ts: str, keys: Sequence[str], sources: Sequence[str], complete: bool, hold: dt.timedelta, keep: dt.timedelta) -> None:
+        self.ts, self.keys, self.sources, self.complete = ts, list(keys), list(sources), complete
         self.ahead = int((keep - hold).total_seconds() * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.values = handle.getValueState("values", ", ".join(f"v{i} double" for i in range(len(self.sources))) + ", came int")
+        columns = ", ".join(f"sum{i} double, n{i} bigint, came{i} bigint" for i in range(len(self.sources)))
+        self.held = handle.getValueState("held", columns)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         came = joined(rows)
-        before = self.values.get()
-        *values, mask = before or (*[None] * len(self.sources), 0)
-        full = (1 << len(self.sources)) - 1
+        times = micros(came[self.ts])
+        came, times = came[times < _END_US], times[times < _END_US]
+        if not len(came):
+            return iter(())
+        before = self.held.get()
         if before is None:
-            self.handle.registerTimer(int(micros(came[self.ts])[0]) // 1000 - self.ahead)
-        was = mask
-        for source, value in zip(came["source"].tolist(), came["value"].tolist()):
-            i = self.sources.index(source)
-            if not mask >> i & 1:  # the first reading of a source counts
-                values[i], mask = (None if value is None or value != value else float(value)), mask | 1 << i
-        self.values.update((*values, mask))
-        if mask == full and was != full:
-            key_values = key if isinstance(key, tuple) else (key,)
-            yield pd.DataFrame([[*key_values, *values]])
+            self.handle.registerTimer(int(times.max()) // 1000 - self.ahead)
+        held = list(before or (0.0, 0, 0) * len(self.sources))
+        for source, values in came.groupby("source")["value"]:
+            i = 3 * self.sources.index(source)
+            held[i] += float(values.sum())
+            held[i + 1] += int(values.count())
+            held[i + 2] += len(values)
+        self.held.update(tuple(held))
+        return iter(())  # rows leave by the timer
 
     def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.values.clear()
-        return iter(())
+        held = self.held.get()
+        self.held.clear()
+        if held is None or (self.complete and not all(held[2::3])):
+            return
+        row = dict(zip(self.keys, key if isinstance(key, tuple) else (key,)))
+        for i, source in enumerate(self.sources):
+            n = held[3 * i + 1]
+            row[source], row[f"n_{source}"] = (held[3 * i] / n if n else np.nan), n
+        yield pd.DataFrame([row])
 
     def close(self) -> None:
         pass
+
+
+def align_on_stream(streams: dict[str, DataFrame], keys: Sequence[str], ts: str, hold: dt.timedelta, complete: bool = True,
+                    keep: dt.timedelta = KEEP) -> DataFrame:
+    """Means of several streams side by side, one row for each key once the stream is ``hold`` past the key's time ``ts``.
+
+    ``streams``: name of the value column -> rows with it, the keys and ``ts``, which is the same for all rows of a key. The streams are one with
+    a column that says where a row is from, so there is one state row for a key, whatever comes first; rows leave only when it is due, so neither
+    the order of files nor of sources matters within ``hold``. ``complete``: keys that a source has not sent are left out, else its mean
+    is null and its number 0. Missing values do not count. ``end_mark`` lets everything leave.
+    """
+    kept = [*keys, *[c for c in [ts] if c not in keys]]
+    parts = [df.select(*kept, F.lit(name).alias("source"), F.col(name).cast("double").alias("value")) for name, df in streams.items()]
+    one = reduce(DataFrame.unionByName, parts)
+    use_rocksdb(one.sparkSession)
+    fields = [one.schema[k] for k in keys]
+    for name in streams:
+        fields += [StructField(name, DoubleType()), StructField(f"n_{name}", LongType())]
+    return one.withWatermark(ts, f"{int(keep.total_seconds())} seconds").groupBy(*keys).transformWithStateInPandas(
+        Aligner(ts, keys, list(streams), complete, hold, keep), StructType(fields), "Append", "EventTime")

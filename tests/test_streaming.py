@@ -206,3 +206,39 @@ def test_kafka_options():
     options = kafka_options("broker:9092", "traffic", 1_000)
     assert options["maxOffsetsPerTrigger"] == "1000" and options["startingOffsets"] == "earliest"
     assert options["failOnDataLoss"] == "false"
+
+
+def test_three_streams_meet_in_any_order_of_files(spark):
+    """One state row for each area and time; a source that lacks a time, repeated readings, missing values, files in any order."""
+    draw = random.Random(5)
+    want, sent = {}, {"x": [], "y": [], "z": []}
+    for slot in range(30):
+        for area in ("a", "b", None):
+            for name, table in sent.items():
+                if (name, slot % 7) != ("z", 3):
+                    values = [None if draw.random() < 0.1 else float(draw.randrange(50)) for _ in range(draw.choice([1, 1, 2]))]
+                    table += [(area, T0 + dt.timedelta(minutes=slot), v) for v in values]
+                    want.setdefault((area, slot), {})[name] = values
+    def mean(v):
+        return sum(v) / len(v) if v else None
+
+    expected = {}
+    for key, held in want.items():
+        known = {n: [v for v in held.get(n, []) if v is not None] for n in sent}
+        expected[key] = tuple(x for n in sent for x in (mean(known[n]), len(known[n])))
+    for files, complete in ((1, True), (4, False), (None, True)):
+        streams = {}
+        for name, table in sent.items():
+            rows_ = draw.sample(table, len(table))
+            src, schema = new_path(spark, f"al{name}"), f"area string, ts timestamp, {name} double"
+            for i in range(3):
+                spark.createDataFrame(rows_[i::3], schema).coalesce(1).write.parquet(f"{src}/p{i}")
+            frame = spark.createDataFrame([], schema)
+            state.end_mark(frame, "ts").coalesce(1).write.parquet(f"{src}/p3")
+            streams[name] = read_files_as_stream(spark, f"{src}/*", frame.schema, max_files=files)
+        out = new_path(spark, "alout")
+        aligned = state.align_on_stream(streams, ["area", "ts"], "ts", dt.timedelta(hours=1), complete)
+        jobs.finish(jobs.start_files(aligned, out, new_path(spark, "alcp")), lossless=True)
+        got = {(r["area"], round((r["ts"].replace(tzinfo=None) - T0.replace(tzinfo=None)).total_seconds() / 60)): tuple(r)[2:]
+               for r in spark.read.schema(aligned.schema).parquet(out).collect()}
+        assert got == {k: v for k, v in expected.items() if not complete or k[1] % 7 != 3}
