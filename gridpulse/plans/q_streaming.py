@@ -140,7 +140,9 @@ def i01(t: Tables) -> DataFrame:
 def i02(t: Tables) -> DataFrame:
     out, cp = new_path(t.spark, "i02out"), new_path(t.spark, "i02cp")
     feed(t, sent_messages(t), "i02", lambda s: jobs.start_batches(s, decode_clean(t), out, cp, None))
-    return done(t, out).groupBy("user_id").agg(F.count("*").alias("n"), F.count("value").alias("n_values"))
+    schema = t.spark.createDataFrame([], "event_id bigint, user_id bigint, value double, ts timestamp").schema
+    rows = jobs.read_committed(t.spark, out, schema)
+    return rows.groupBy("user_id").agg(F.count("*").alias("n"), F.count("value").alias("n_values"))
 
 
 @query("i03_resume_after_restart", "SELECT event_id, ts, value FROM events")

@@ -25,6 +25,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(_fs(spark, path).exists(_path(spark, path)))
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder; none where it does not exist."""
+    fs, at = _fs(spark, path), _path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, which exists at once or not at all."""
+    _fs(spark, path).create(_path(spark, path), True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """CSV with header and empty text as NULL. A given schema saves the inference pass."""
     return spark.read.schema(schema).option("header", True).option("nullValue", "").csv(path)

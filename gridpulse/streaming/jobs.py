@@ -4,27 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from gridpulse.operators.ordered import OrderedFrame
 from gridpulse.scratch import lookup_join
-from gridpulse.sources.files import exists
+from gridpulse.sources.files import children, remove, touch
 
 Transform = Callable[[DataFrame], DataFrame]
 
 
+def committed(spark: SparkSession, folder: str, before: int | None = None) -> int:
+    """The highest batch id (below ``before``) that has been written whole; -1 if there is none.
+
+    Batches run one after another, so all ids up to it are whole as well, and only the last two marks are kept.
+    """
+    found = [int(n) for n in children(spark, f"{folder}/_committed") if n.isdigit()]
+    return max([n for n in found if before is None or n < before], default=-1)
+
+
+def commit(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Mark a batch as written whole. The mark is the last thing written; marks but the two newest go."""
+    touch(spark, f"{folder}/_committed/{batch_id}")
+    for n in sorted((int(n) for n in children(spark, f"{folder}/_committed") if n.isdigit()), reverse=True)[2:]:
+        remove(spark, f"{folder}/_committed/{n}")
+
+
+def write_committed(df: DataFrame, folder: str, batch_id: int) -> None:
+    """Write a batch under its id and mark it. A batch that is marked already is whole and stays; one that failed halfway is replaced."""
+    spark = df.sparkSession
+    if committed(spark, folder) >= batch_id:
+        return
+    df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+    commit(spark, folder, batch_id)
+
+
+def read_committed(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """The rows of all whole batches, without those of a batch that is being written or has failed. ``schema``: without the batch id."""
+    last = committed(spark, folder)
+    if last < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(StructType([*schema.fields, StructField("batch_id", IntegerType())])).parquet(folder).where(
+        F.col("batch_id") <= last).drop("batch_id")
+
+
 def batch_writer(transform: Transform, folder: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: transform each non-empty batch and write it under its batch id.
 
-    A replayed batch overwrites its own folder, so a retry leaves no duplicates.
+    A replayed batch is written once, so a retry leaves no duplicates; see ``read_committed`` for readers at the same time.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        transform(batch).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        if not batch.isEmpty():
+            write_committed(transform(batch), folder, batch_id)
 
     return write
 
@@ -133,13 +167,11 @@ class CarriedLags:
         spark = batch.sparkSession
         order = ", ".join(f"`{c}`: {batch.schema[c].dataType.simpleString()}" for c in self.order)
         state_schema = f"`{self.key}` {batch.schema[self.key].dataType.simpleString()}, _v1 double, _v2 double, _last struct<{order}>"
-        previous = None
-        for earlier in range(batch_id - 1, -1, -1):  # an empty batch leaves no folder
-            if exists(spark, f"{self.state}/batch_id={earlier}"):
-                previous = spark.read.schema(state_schema).parquet(f"{self.state}/batch_id={earlier}")
-                break
-        if previous is None:
-            previous = spark.createDataFrame([], state_schema)
+        if committed(spark, self.state) >= batch_id:
+            return  # a replay of a batch whose state is whole
+        earlier = committed(spark, self.state, batch_id)  # an empty batch leaves no state
+        previous = (spark.read.schema(state_schema).parquet(f"{self.state}/batch_id={earlier}") if earlier >= 0
+                    else spark.createDataFrame([], state_schema))
         value = F.col(self.column)
         # A row older than the key's last one is kept and marked, gets no lags and leaves the state as it is.
         placed = lookup_join(batch, previous, self.key, stored=True)
@@ -162,6 +194,11 @@ class CarriedLags:
         fresh = done.where("not late").groupBy(self.key).agg(last.alias("s")).select(self.key, "s.*")
         kept = previous.join(fresh, previous[self.key].eqNullSafe(fresh[self.key]), "left_anti")
         kept.unionByName(fresh).write.mode("overwrite").parquet(f"{self.state}/batch_id={batch_id}")
+        commit(spark, self.out, batch_id)
+        commit(spark, self.state, batch_id)
+        for name in children(spark, self.state):  # the state is whole in each folder; the last two are enough for a replay
+            if name.startswith("batch_id=") and int(name[9:]) not in (earlier, batch_id):
+                remove(spark, f"{self.state}/{name}")
 
 
 def start_carried_lags(stream: DataFrame, lags: CarriedLags, checkpoint: str) -> StreamingQuery:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.scratch import new_path
+from gridpulse.sources import files
 from gridpulse.sources.messages import decode, encode, kafka_options, read_files_as_stream
 from gridpulse.streaming import jobs, state
 
@@ -134,6 +135,38 @@ def test_replayed_batch_replaces_itself(spark):
     assert spark.read.parquet(folder).count() == 5
 
 
+def test_a_batch_that_fails_halfway_is_not_seen_and_is_replaced(spark):
+    folder, schema = new_path(spark, "sink"), spark.range(1).schema
+    assert jobs.read_committed(spark, folder, schema).count() == 0
+    write = jobs.batch_writer(lambda b: b, folder)
+    write(spark.range(5), 0)
+    spark.range(100, 103).write.parquet(f"{folder}/batch_id=1")  # written, but its mark is missing
+    assert jobs.read_committed(spark, folder, schema).count() == 5 and jobs.committed(spark, folder) == 0
+    fails = jobs.batch_writer(lambda b: b.select(F.assert_true(F.col("id") != 7).alias("x"), "id"), folder)
+    with pytest.raises(Exception, match="is not true"):
+        fails(spark.range(6, 10), 1)
+    assert jobs.read_committed(spark, folder, schema).count() == 5
+    write(spark.range(6, 10), 1)
+    write(spark.range(6, 10), 1)  # a replay
+    for i in range(2, 6):
+        write(spark.range(1), i)
+    got = jobs.read_committed(spark, folder, schema)
+    assert got.columns == ["id"] and got.count() == 5 + 4 + 4 and jobs.committed(spark, folder) == 5
+    assert len([f for f in files.children(spark, f"{folder}/_committed") if f.isdigit()]) == 2
+
+
+def test_carried_state_keeps_two_folders(spark):
+    out, kept = new_path(spark, "tout"), new_path(spark, "tstate")
+    lags = jobs.CarriedLags("k", ["ts", "id"], "v", out, kept)
+    for i in range(5):
+        lags(spark.createDataFrame([("a", T0 + dt.timedelta(minutes=i), i, float(i))], SCHEMA), i)
+    assert sorted(n for n in files.children(spark, kept) if n.startswith("batch")) == ["batch_id=3", "batch_id=4"]
+    lags(spark.createDataFrame([("a", T0 + dt.timedelta(minutes=4), 4, 4.0)], SCHEMA), 4)
+    got = spark.read.parquet(out).orderBy("ts").collect()
+    assert [(r["v"], r["lag1"], r["lag2"]) for r in got] == [
+        (0.0, None, None), (1.0, 0.0, None), (2.0, 1.0, 0.0), (3.0, 2.0, 1.0), (4.0, 3.0, 2.0)]
+
+
 def test_carried_lags_replay_and_unseen_keys(spark):
     out, kept = new_path(spark, "cout"), new_path(spark, "cstate")
     lags = jobs.CarriedLags("k", ["ts", "id"], "v", out, kept)
