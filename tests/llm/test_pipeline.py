@@ -70,3 +70,39 @@ def test_stages_take_odd_rows(spark, odd, none, monkeypatch):
     kept = pipe.drop_near_copies(spark, docs, SF)
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7, 8, 9]
     assert pipe.drop_toxic(spark, docs, SF).count() == 12
+    packed = pipe.pack(spark, docs, SF)
+    assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in docs.collect()} and pipe.pack(spark, none.select(*docs.columns), SF).count() == 0
+
+
+LONG = " ".join(f"word{i}" for i in range(60))
+OTHER = " ".join(f"other{i}" for i in range(60))
+
+
+def _docs(spark, rows):
+    return spark.createDataFrame([(*r, "en", "s", i) for i, r in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, `row of stage` long").repartition(3)
+
+
+def test_near_copies_are_decided_by_row(spark):
+    docs = _docs(spark, [(1, LONG), (1, OTHER), (2, LONG + " more"), (None, LONG), (None, OTHER), (None, "a text of its own here"),
+                         (None, "a text of its own here"), (7, None), (7, None), (8, "")])
+    kept = pipe.drop_near_copies(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(r["row of stage"] for r in kept.collect())[:2] == [0, 1]
+    got = sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect())
+    assert got == sorted([("1", LONG), ("1", OTHER), ("None", "a text of its own here"), ("7", "None"), ("7", "None"), ("8", "")])
+
+
+def test_contaminated_rows_are_decided_by_row(spark):
+    passage = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    docs = _docs(spark, [(1, f"before {passage} after"), (1, "a clean text"), (None, f"{passage}"), (None, "another clean text"), (3, None), (4, "")])
+    kept = pipe.drop_contaminated(spark, docs, SF)
+    assert kept.columns == docs.columns and sorted(r["row of stage"] for r in kept.collect()) == [1, 3, 4, 5]
+
+
+def test_columns_named_like_results_are_kept(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, **_: toxicity.Model(np.zeros((1, 8)), np.zeros((8, 2)), np.zeros(2), 8, 0.0))
+    docs = _docs(spark, [(1, LONG), (2, OTHER)]).selectExpr("*", "'x' AS `Toxic score`", "'y' AS `language found`", "3 AS `language score`")
+    for stage in (pipe.drop_toxic, pipe.drop_unknown_language):
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns and {(r["Toxic score"], r["language found"], r["language score"]) for r in got.collect()} == {("x", "y", 3)}
