@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from gridpulse.operators import cleaning, ordered
 from gridpulse.plans.q_joins import ALIGNED_TABLES_SQL as ALIGNED_SQL
@@ -15,7 +16,7 @@ from gridpulse.plans.registry import query
 from gridpulse.plans.views import Tables
 from gridpulse.scratch import new_path
 from gridpulse.sources import messages
-from gridpulse.streaming import jobs, state
+from gridpulse.streaming import jobs, state, summaries
 
 ORDER = ["ts", "event_id"]
 
@@ -312,3 +313,25 @@ def c09_tables_stream(t: Tables) -> DataFrame:
     aligned = state.align_on_stream(streams, ["month", "day"], "slot", hold=dt.timedelta(days=367))
     jobs.finish(jobs.start_files(aligned, out, new_path(t.spark, "c09s-cp")), lossless=True)
     return done(t, out, aligned.schema)
+
+
+@query("i07_stored_summaries", """
+    SELECT event_type, count(v) AS n, avg(v) AS mean, stddev_samp(v) AS std, avg(v) - stddev_samp(v) AS band_low, avg(v) + stddev_samp(v) AS band_high,
+        stddev_samp(v) / avg(v) AS cv, min(v) AS low, max(v) AS high, true AS quartiles_within_rank_error
+    FROM (SELECT event_type, CASE WHEN NOT isnan(value) THEN value END AS v FROM dirty) GROUP BY event_type""",
+    rounded="mean std band_low band_high cv", digits=5)
+def i07_summaries(t: Tables) -> DataFrame:
+    """Figures of the whole stream from stored summaries of its micro-batches, which are merged on the way."""
+    rows = t.dirty.select("ts", "event_type", "value")
+    table = summaries.Summaries(new_path(t.spark, "i07sum"), StructType([rows.schema["event_type"]]), ["value"], every=3)
+    cp = new_path(t.spark, "i07sum-cp")
+    feed(t, rows, "i07sum", lambda s: summaries.start_summaries(s, table, cp), 5, max_files=1)
+    found = summaries.figures(table.read(t.spark), ["event_type"])
+    # The sketch's quartiles must lie between the exact quantiles three percent around them.
+    around = [0.22, 0.28, 0.47, 0.53, 0.72, 0.78]
+    exact = rows.groupBy("event_type").agg(F.percentile(F.nanvl("value", F.lit(None)), around).alias("around"))
+    joined = found.join(exact, found["event_type"].eqNullSafe(exact["event_type"])).drop(exact["event_type"])
+    near = F.lit(True)
+    for i, q in enumerate(("q25", "q50", "q75")):
+        near = near & F.col(q).between(F.col("around")[2 * i], F.col("around")[2 * i + 1])
+    return joined.select("event_type", "n", "mean", "std", "band_low", "band_high", "cv", "low", "high", near.alias("quartiles_within_rank_error"))
