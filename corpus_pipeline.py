@@ -22,8 +22,11 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def _numbered(docs: DataFrame, name: str) -> DataFrame:
-    """The documents with a number for each row: ids may be missing or shared, and a decision is about a row. Written, so the numbers are fixed."""
-    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    """The documents with a number for each row: ids may be missing or shared, and a decision is about a row.
+
+    ``docs`` is a written table (see ``run``), so a row's place in it, and with it the number, is the same in every pass and after a lost executor.
+    """
+    return docs.withColumn(name, F.monotonically_increasing_id())
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
