@@ -19,10 +19,10 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from gridpulse.operators.ordered import OrderedFrame
 
@@ -72,6 +72,18 @@ def _unpacked(payload: bytes) -> pd.DataFrame:
     return pa.ipc.open_stream(payload).read_pandas()
 
 
+_KEY = "_state_key"
+
+
+def _as_text(key: str) -> Column:
+    """A key as text that is never null: a numeric key with nulls would reach Python as NaN, which is equal to no key."""
+    return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
+
+
+def _keyed(df: DataFrame, key: str) -> DataFrame:
+    return df.withColumn(_KEY, _as_text(key))
+
+
 def micros(times: pd.Series) -> np.ndarray:
     return times.to_numpy().astype("datetime64[us]").astype("int64")
 
@@ -104,7 +116,7 @@ class OrderBuffer(StatefulProcessor):
         return ms
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        came = joined(rows)
+        came = joined(rows).drop(columns=_KEY, errors="ignore")
         times = micros(came[self.order[0]])
         came, times = came[times < _END_US], times[times < _END_US]
         held = self.series.get() or self.fresh()
@@ -185,9 +197,9 @@ def with_series_state(
     ])
     use_rocksdb(stream.sparkSession)
     marked = stream.withWatermark(order[0], f"{int(keep.total_seconds())} seconds")
-    return marked.groupBy(key).transformWithStateInPandas(
+    return _keyed(marked, key).groupBy(_KEY).transformWithStateInPandas(
         OrderBuffer(order, column, weight, seed, wait, keep), schema, "Append", "EventTime",
-        initialState=None if first is None else first.groupBy(key))
+        initialState=None if first is None else _keyed(first, key).groupBy(_KEY))
 
 
 class Aligner(StatefulProcessor):
@@ -248,8 +260,13 @@ def align_on_stream(streams: dict[str, DataFrame], keys: Sequence[str], ts: str,
     parts = [df.select(*kept, F.lit(name).alias("source"), F.col(name).cast("double").alias("value")) for name, df in streams.items()]
     one = reduce(DataFrame.unionByName, parts)
     use_rocksdb(one.sparkSession)
-    fields = [one.schema[k] for k in keys]
+    names = [f"{_KEY}_{i}" for i in range(len(keys))]
+    marked = one.withWatermark(ts, f"{int(keep.total_seconds())} seconds").withColumns(
+        {n: _as_text(k) for n, k in zip(names, keys)})
+    fields = [StructField(n, StringType()) for n in names]
     for name in streams:
         fields += [StructField(name, DoubleType()), StructField(f"n_{name}", LongType())]
-    return one.withWatermark(ts, f"{int(keep.total_seconds())} seconds").groupBy(*keys).transformWithStateInPandas(
-        Aligner(ts, keys, list(streams), complete, hold, keep), StructType(fields), "Append", "EventTime")
+    found = marked.groupBy(*names).transformWithStateInPandas(
+        Aligner(ts, names, list(streams), complete, hold, keep), StructType(fields), "Append", "EventTime")
+    typed = [F.when(F.col(n) != "", F.substring(n, 2, 1 << 30)).cast(one.schema[k].dataType).alias(k) for n, k in zip(names, keys)]
+    return found.select(*typed, *[c for name in streams for c in (name, f"n_{name}")])
