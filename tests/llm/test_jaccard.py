@@ -46,6 +46,49 @@ def test_equals_brute_force(spark, block):
     assert got == brute(rows)
 
 
+def test_recall_just_above_the_similarity(spark):
+    """Pairs that share 0.8 to 0.83 of their shingles, the hardest to meet: at least 99 of 100 are found."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for pair in range(400):
+        text = [f"p{pair}w{i}" for i in rng.integers(0, 10 ** 6, 190)]
+        cut = int(rng.integers(17, 21))  # the first words of one text are others in the other: a run of cut shingles differs
+        rows += [(2 * pair, " ".join(text)), (2 * pair + 1, " ".join([f"q{pair}x{i}" for i in range(cut - 4)] + text[cut - 4:]))]
+    want = brute_pairs(rows)
+    got = {r["doc_id"]: r["n_texts"] for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) > 350 and sum(got[a] for a, _ in want) >= 0.99 * len(want)
+    assert all(got[a] == 0 for a in got if a % 2 == 0 and (a, a + 1) not in want)
+
+
+def brute_pairs(rows, similarity=0.8):
+    found = []
+    for (a, x), (b, y) in zip(rows[::2], rows[1::2]):
+        x, y = ({tuple(w[i: i + 5]) for i in range(len(w) - 4)} for w in (x.split(), y.split()))
+        if len(x & y) >= similarity * len(x | y):
+            found.append((a, b))
+    return found
+
+
+def test_chain_is_cut_into_blocks_that_meet(spark):
+    """Each text shares most of its words with the next one only; blocks of any size give the links of the pairs."""
+    words = [f"c{i}" for i in range(700)]
+    rows = [(i, " ".join(words[6 * i: 6 * i + 100])) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    for block in (4, 1024):
+        got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.join(docs, block=block).collect()}
+        assert got == want
+
+
+def test_long_posting_lists_and_heavy_texts(spark):
+    """Sixty copies, each with one word of its own, cut by the number of shingles in a block."""
+    words = [f"h{i}" for i in range(200)]
+    rows = [(i, " ".join(words[:i + 20] + [f"own{i}"] + words[i + 21:])) for i in range(60)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.join(
+        spark.createDataFrame(rows, "doc_id long, text string"), block_shingles=3000).collect()}
+    assert got == brute(rows)
+
+
 def test_links_of_sets_equal_brute_force():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 14, rng.integers(1, 12))).astype(np.uint64) for _ in range(40)]
