@@ -16,6 +16,7 @@ from gridpulse.plans.registry import query
 from gridpulse.plans.views import Tables
 from gridpulse.scratch import new_path
 from gridpulse.sources import messages
+from gridpulse.sources.rows import read_rows_as_stream
 from gridpulse.streaming import jobs, state, summaries
 
 ORDER = ["ts", "event_id"]
@@ -127,6 +128,29 @@ def a06(t: Tables) -> DataFrame:
     return done(t, out).agg(F.count("*").alias("n_rows"))
 
 
+@query("a03_rows_a_trigger", "SELECT event_id, user_id, ts, value FROM events")
+def a03_rows(t: Tables) -> DataFrame:
+    """The table as a stream that admits a fifth of its rows a micro-batch; the query stops once and goes on from its checkpoint."""
+    out, cp = new_path(t.spark, "a03rows"), new_path(t.spark, "a03rowscp")
+    limit = max(1, -(-t.events.count() // 5))
+    columns = ["event_id", "user_id", "ts", "value"]
+
+    def start() -> StreamingQuery:
+        stream = read_rows_as_stream(t.spark, t.path("events"), limit).select(columns)
+        return jobs.start_batches(stream, lambda b: b, out, cp, "0 seconds")
+
+    for part in range(2):
+        running = start()
+        try:
+            if part:
+                running.processAllAvailable()
+            else:
+                running.awaitTermination(2)
+        finally:
+            running.stop()
+    return jobs.read_committed(t.spark, out, t.events.select(columns).schema)
+
+
 @query("i01_replay_from_start", "SELECT event_id, value FROM events")
 def i01(t: Tables) -> DataFrame:
     stream = table_stream(t, "events", 1).select("event_id", "value")
