@@ -131,11 +131,12 @@ def _tasks_of(groups: DataFrame, classes: DataFrame, forest: DataFrame, depth: i
     load = F.greatest(F.col("members") / block, F.col("shingles") / block_shingles)
     held = groups.join(classes.select("cls", "n", "copies"), "cls")
     deep = held.groupBy("grp", "deep").agg(F.count("*").alias("members"), F.sum("n").alias("shingles")).withColumn("part", load)
-    whole = deep.groupBy("grp").agg(F.sum("members").alias("members"), F.sum("shingles").alias("shingles")).withColumn("load", load)
-    whole = materialize(whole.select("grp", "load"), "loads")
+    whole = (deep.groupBy("grp").agg(F.sum("members").alias("members"), F.sum("shingles").alias("shingles"),
+                                     F.sum(F.when(F.col("part") <= 0.5, F.col("part")).otherwise(0)).alias("shared")).withColumn("load", load))
+    whole = materialize(whole.select("grp", "load", "shared"), "loads")
     # A long prefix with many classes has blocks of its own, others share some.
     own = F.xxhash64("grp", "deep", F.pmod(F.xxhash64("cls"), F.ceil("part")))
-    rest = F.xxhash64("grp", F.pmod(F.xxhash64("deep"), F.ceil(2 * F.col("load"))))
+    rest = F.xxhash64("grp", F.pmod(F.xxhash64("deep"), F.greatest(F.ceil("shared"), F.lit(1))))
     large = materialize(held.join(deep.select("deep", "part"), "deep").join(whole.where("load > 1"), "grp")
                         .select("cls", "copies", "grp", F.when(F.col("part") > 0.5, own).otherwise(rest).alias("block")), "blocks")
     meet = (forest.select("cls", "tree", _prefix(depth).alias("node")).join(large.select("cls", "grp", "block"), "cls")
