@@ -1,8 +1,11 @@
 """Toxicity by subword-bag embeddings: averaged vectors of words and their character n-grams under a linear softmax.
 
-A text is toxic when some passage of it is. Words are averaged over windows of ``window`` words and a document takes its highest window, so
-a few words count as much in a very long text as in a short one. Embeddings and output layer are trained together in numpy on a
-bounded, hashed sample of labelled documents; scoring covers every word of every document.
+A text is toxic when some passage of it is. For each width in ``windows`` (a word alone, a passage) words are averaged over windows of that
+many, and a document takes its highest window, so a few words count as much in a very long text as in a short one. One linear softmax takes
+the averages of all widths, each with weights of its own: single words speak through the narrow one, phrases of words that are harmless
+elsewhere through the wide one. Embeddings and output layer are trained together in numpy on a bounded, hashed sample of labelled documents;
+scoring covers every word of every document. Subwords of few sampled documents are trained too, in steps that are the smaller the fewer they
+are (``rare``).
 
 Cases: a null or empty text, or one without words, has one empty window and gets the bias alone; null labels are not learned from; repeated
 rows score alike; without any label of one of the two classes every score is that of the other class (0 without labels). Columns other than
@@ -24,17 +27,17 @@ from gridpulse.llm.common import WORD, Grown, Words, hash_words, labelled_sample
 
 @dataclass(frozen=True)
 class Model:
-    """``vectors`` of the hashed subwords, ``out`` (dim x 2) and ``bias`` of the softmax."""
+    """``vectors`` of the hashed subwords, ``out`` (widths x dim x 2) and ``bias`` of the softmax."""
 
     vectors: np.ndarray
     out: np.ndarray
     bias: np.ndarray
-    window: int
+    windows: tuple[int, ...]
     constant: float | None = None
 
     def direction(self) -> np.ndarray:
-        """Each subword's own share of the difference of the two logits."""
-        return self.vectors @ (self.out[:, 1] - self.out[:, 0])
+        """Each subword's own share of the difference of the two logits, one row a width."""
+        return _direction(self.vectors, self.out)
 
 
 def subwords(words: list[str], buckets: int, low: int = 3, high: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -62,19 +65,23 @@ def _window_sums(values: np.ndarray, window: int) -> np.ndarray:
     return (sums[width:] - sums[:-width]) / width if len(values) else np.zeros(1)
 
 
-def train(texts: list[str], labels: list[int], window: int = 2, dim: int = 8, buckets: int = 1 << 18, epochs: int = 12,
+def _direction(vectors: np.ndarray, out: np.ndarray) -> np.ndarray:
+    return (out[:, :, 1] - out[:, :, 0]).astype(np.float32) @ vectors.T
+
+
+def train(texts: list[str], labels: list[int], windows: tuple[int, ...] = (1, 8), dim: int = 8, buckets: int = 1 << 18, epochs: int = 12,
           rate: float = 0.5, seed: int = 7, batch_docs: int = 32, least_steps: int = 800,
-          damping: float = 1e-5, least_docs: int = 3) -> Model:
+          damping: float = 1e-5, rare: float = 2.0) -> Model:
     """Adagrad on the loss of each document's highest window; the first epoch averages whole documents. A small sample is gone through more
     often than ``epochs`` times, until there were ``least_steps`` steps."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype(np.float32)
-    out, bias = np.zeros((dim, 2)), np.zeros(2)
-    out[:, 1] = rng.uniform(-0.5, 0.5, dim)
-    out[:, 0] = -out[:, 1]
+    out, bias = np.zeros((len(windows), dim, 2)), np.zeros(2)
+    out[:, :, 1] = rng.uniform(-0.5, 0.5, dim)
+    out[:, :, 0] = -out[:, :, 1]
     y = np.asarray(labels, np.int64)
     if len(y) == 0 or y.min() == y.max():
-        return Model(vectors[:1], out, bias, window, float(y[0]) if len(y) else 0.0)
+        return Model(vectors[:1], out, bias, windows, float(y[0]) if len(y) else 0.0)
     words = Words()
     docs = [words.numbers(WORD.findall(t.lower())).astype(np.int32) for t in texts]
     buckets_of, sizes, fresh = [], [], words.take()
@@ -85,16 +92,16 @@ def train(texts: list[str], labels: list[int], window: int = 2, dim: int = 8, bu
     buckets_of, sizes = np.concatenate([*buckets_of, np.empty(0, np.int32)]), np.concatenate([*sizes, np.empty(0, np.int64)])
     ends = np.cumsum(sizes)
     del fresh, words
-    # Subwords of very few documents would only learn those documents by heart: they keep the zero vector.
+    # Subwords of very few documents would learn those documents by heart at full steps; those of no document keep the zero vector.
     seen = np.zeros(buckets, np.int32)
     for d in docs:
         own = np.unique(d)
         n = sizes[own]
         starts = np.cumsum(n) - n
         seen[np.unique(buckets_of[np.repeat(ends[own] - n - starts, n) + np.arange(n.sum())])] += 1
-    usual = seen >= least_docs
-    vectors[~usual] = 0
-    squared, out_sq, bias_sq = np.full(buckets, damping), np.full((dim, 2), 1e-6), np.full(2, 1e-6)
+    trust = (seen / (seen + rare)).astype(np.float32)
+    vectors *= trust[:, None]
+    squared, out_sq, bias_sq = np.full(buckets, damping), np.full(out.shape, 1e-6), np.full(2, 1e-6)
     weight = np.array([1.0, np.sqrt((y == 0).sum() / (y == 1).sum())])
 
     def grams(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,17 +112,18 @@ def train(texts: list[str], labels: list[int], window: int = 2, dim: int = 8, bu
     batches = max(1, len(docs) // batch_docs)
     epochs = max(epochs, -(-least_steps // batches))
     for epoch in range(epochs):
-        share = (vectors @ (out[:, 1] - out[:, 0]).astype(np.float32))[buckets_of]
-        scalar = np.add.reduceat(share, ends - sizes) / sizes if len(sizes) else share
+        scalars = [np.add.reduceat(share, ends - sizes) / sizes if len(sizes) else share
+                   for share in (row[buckets_of] for row in _direction(vectors, out))]
         step = rate * (1 - 0.8 * epoch / epochs)
         for batch in np.array_split(rng.permutation(len(docs)), batches):
             taken = []
-            for d in batch:
-                if len(docs[d]) <= window or epoch < 1:
-                    taken.append(docs[d])
-                else:
-                    at = int(np.argmax(_window_sums(scalar[docs[d]], window)))
-                    taken.append(docs[d][at: at + window])
+            for scalar, window in zip(scalars, windows):
+                for d in batch:
+                    if len(docs[d]) <= window or epoch < 1:
+                        taken.append(docs[d])
+                    else:
+                        at = int(np.argmax(_window_sums(scalar[docs[d]], window)))
+                        taken.append(docs[d][at: at + window])
             lens = np.array([len(t) for t in taken])
             if not lens.sum():
                 continue
@@ -125,51 +133,54 @@ def train(texts: list[str], labels: list[int], window: int = 2, dim: int = 8, bu
             word_vec = np.add.reduceat(vectors[g], starts) / n[:, None]
             of = np.repeat(np.arange(len(taken)), lens)
             sums = np.stack([np.bincount(of, word_vec[back, k], len(taken)) for k in range(dim)], 1)
-            mean = sums / np.maximum(lens, 1)[:, None]
-            logits = mean @ out + bias
+            mean = (sums / np.maximum(lens, 1)[:, None]).reshape(len(windows), len(batch), dim)
+            logits = (mean @ out).sum(0) + bias
             p = np.exp(logits - logits.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             delta = p.copy()
-            delta[np.arange(len(taken)), y[batch]] -= 1
-            delta *= weight[y[batch]][:, None] / len(taken)
-            to_mean = (delta @ out.T) / np.maximum(lens, 1)[:, None]
+            delta[np.arange(len(batch)), y[batch]] -= 1
+            delta *= weight[y[batch]][:, None] / len(batch)
+            to_mean = (delta @ out.transpose(0, 2, 1)).reshape(-1, dim) / np.maximum(lens, 1)[:, None]
             to_word = np.stack([np.bincount(back, to_mean[of, k], len(uniq)) for k in range(dim)], 1) / n[:, None]
             gu, gb = np.unique(g, return_inverse=True)
             rep = np.repeat(to_word, n, axis=0)
             grad = np.stack([np.bincount(gb, rep[:, k], len(gu)) for k in range(dim)], 1)
             squared[gu] += (grad ** 2).mean(1)
-            vectors[gu] -= (step * grad / np.sqrt(squared[gu])[:, None] * usual[gu, None]).astype(np.float32)
-            go, gbias = mean.T @ delta, delta.sum(0)
+            vectors[gu] -= (step * grad / np.sqrt(squared[gu])[:, None] * trust[gu, None]).astype(np.float32)
+            go, gbias = mean.transpose(0, 2, 1) @ delta, delta.sum(0)
             out_sq += go ** 2
             bias_sq += gbias ** 2
             out -= 0.2 * step * go / np.sqrt(out_sq)
             bias -= 0.2 * step * gbias / np.sqrt(bias_sq)
-    return Model(vectors, out, bias, window)
+    return Model(vectors, out, bias, windows)
 
 
 class Scorer:
     """Scores texts with the subword shares of a model; each distinct word is looked up once until ``limit`` are held."""
 
-    def __init__(self, share: np.ndarray, bias: float, window: int, constant: float | None, limit: int = 300_000) -> None:
-        self.share, self.bias, self.window, self.constant, self.limit = share, bias, window, constant, limit
-        self.words, self.values = Words(), Grown(np.float64)
+    def __init__(self, share: np.ndarray, bias: float, windows: tuple[int, ...], constant: float | None, limit: int = 300_000) -> None:
+        self.share, self.bias, self.windows, self.constant, self.limit = share, bias, windows, constant, limit
+        self.words, self.values = Words(), [Grown(np.float64) for _ in windows]
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
         if len(self.words) > self.limit:
-            self.words, self.values = Words(), Grown(np.float64)
+            self.words, self.values = Words(), [Grown(np.float64) for _ in self.windows]
         docs = [self.words.numbers(WORD.findall(t.lower()) if t else []) for t in texts]
         if fresh := self.words.take():
             for at in range(0, len(fresh), 50_000):
-                owner, g = subwords(fresh[at: at + 50_000], len(self.share))
-                self.values.extend(np.bincount(owner, self.share[g]) / np.bincount(owner))
-        best = np.array([_window_sums(self.values.data[d], self.window).max() for d in docs]) + self.bias
+                owner, g = subwords(fresh[at: at + 50_000], self.share.shape[1])
+                n = np.bincount(owner)
+                for values, share in zip(self.values, self.share):
+                    values.extend(np.bincount(owner, share[g]) / n)
+        best = self.bias + sum(np.array([_window_sums(values.data[d], window).max() for d in docs])
+                               for values, window in zip(self.values, self.windows))
         return 1 / (1 + np.exp(-np.clip(best, -50, 50)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic",
-        most_clean: int = 3000, most_toxic: int = 1200, **parameters) -> Model:
+        most_clean: int = 4000, most_toxic: int = 1500, **parameters) -> Model:
     """Train on about ``most_clean`` and ``most_toxic`` of the documents that ``labels`` marks 0 or 1 (the bound on what the driver gathers)."""
     usable = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     most = {0: most_clean, 1: most_toxic}
@@ -184,11 +195,11 @@ def score(docs: DataFrame, model: Model, text_column: str = "text", into: str =
     """All columns of ``docs`` and ``into``, the probability of label 1."""
     share, bias = model.direction().astype(np.float32), float(model.bias[1] - model.bias[0])
     held = docs.sparkSession.sparkContext.broadcast(share)  # its size is the bucket count, whatever the data
-    window, constant = model.window, model.constant
+    windows, constant = model.windows, model.constant
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.drop(into).schema)}, `{into}` double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(held.value, bias, window, constant)
+        scorer = Scorer(held.value, bias, windows, constant)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)

@@ -23,7 +23,7 @@ def model():
 
 
 def test_finds_few_words_in_long_texts_and_unseen_spellings(model):
-    scorer = tox.Scorer(model.direction(), float(model.bias[1] - model.bias[0]), model.window, None)
+    scorer = tox.Scorer(model.direction(), float(model.bias[1] - model.bias[0]), model.windows, None)
     texts, labels = corpus()
     assert ((scorer(texts) >= 0.5) == np.array(labels, bool)).mean() > 0.97
     long = "house garden river stone " * 5000
@@ -36,12 +36,61 @@ def test_scores_equal_a_plain_average_of_vectors(model):
     for w in words:
         _, buckets = tox.subwords([w], len(model.vectors))
         vectors.append(model.vectors[buckets].mean(0))
-    logits = np.mean(vectors, 0) @ model.out + model.bias
+    logits = (np.mean(vectors, 0) @ model.out).sum(0) + model.bias
     p = np.exp(logits) / np.exp(logits).sum()
-    got = tox.Scorer(model.direction(), float(model.bias[1] - model.bias[0]), 3, None)([" ".join(words)])
+    got = tox.Scorer(model.direction(), float(model.bias[1] - model.bias[0]), (3, 3), None)([" ".join(words)])
     assert got[0] == pytest.approx(p[1], abs=1e-5)
 
 
+NAMES = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(150)]
+
+
+def scored(model, texts):
+    return tox.Scorer(model.direction(), float(model.bias[1] - model.bias[0]), model.windows, None)(texts) >= 0.5
+
+
+def phrases(n, seed):
+    """Toxic by three ordinary words together; clean texts hold two of the three together."""
+    rng = np.random.default_rng(seed)
+    phrase, texts, labels = ["lemon", "horse", "cloud"], [], []
+    for i in range(n):
+        words = rng.choice(NAMES, 60).tolist()
+        at = int(rng.integers(50))
+        words[at: at + 3] = rng.permutation(phrase) if i % 3 == 0 else [*rng.permutation(phrase)[:2], "stone"]
+        texts.append(" ".join(words))
+        labels.append(i % 3 == 0)
+    return texts, np.array(labels)
+
+
+def test_phrase_of_ordinary_words():
+    texts, labels = phrases(600, 1)
+    fitted = tox.train(texts, labels.astype(int).tolist(), buckets=1 << 16)
+    texts, labels = phrases(300, 2)
+    found = scored(fitted, texts)
+    assert found[labels].mean() > 0.8 and found[~labels].mean() < 0.1
+    texts, labels = phrases(600, 1)
+    narrow = tox.train(texts, labels.astype(int).tolist(), windows=(1,), buckets=1 << 16)
+    texts, labels = phrases(300, 2)
+    assert (scored(narrow, texts) == labels).mean() < (found == labels).mean()
+
+
+def test_rare_toxic_spellings():
+    """Each of ten spellings without common n-grams stands in two sampled documents only."""
+    odd = ["zqxjkvw", "bbytrmq", "ughhfpd", "kkloqce", "yvsnnax", "pfwzzib", "mmrgeoj", "ttdcluy", "xxiavhk", "jjobwes"]
+    rng = np.random.default_rng(5)
+    texts, labels = [], []
+    for i in range(360):
+        words = rng.choice(NAMES, 40).tolist()
+        if i % 3 == 0:
+            words[int(rng.integers(40))] = odd[i // 6] if i < 60 else "grumbler"
+        texts.append(" ".join(words))
+        labels.append(int(i % 3 == 0))
+    fitted = tox.train(texts, labels, buckets=1 << 16)
+    fresh = [" ".join([*rng.choice(NAMES, 30), word, *rng.choice(NAMES, 30)]) for word in odd]
+    assert scored(fitted, fresh).mean() >= 0.8
+    assert scored(fitted, [" ".join(rng.choice(NAMES, 60)) for _ in range(100)]).mean() < 0.1
+
+
 def test_subwords_are_the_word_and_its_grams():
     owner, buckets = tox.subwords(["ab", "abcd"], 1 << 20)
     assert np.bincount(owner).tolist() == [1 + 2, 1 + 4 + 3 + 2]  # <ab>: two of 3; <abcd>: four of 3, three of 4, two of 5
