@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,13 +204,21 @@ def chronological_split(
 def last_rows(df: DataFrame, ts: str, tie: Sequence[str], n: int) -> DataFrame:
     """The ``n`` latest rows. A per-day count first finds the day from which on there
     are enough rows, so that the sort only sees those (and the scan prunes the rest)."""
-    days = df.groupBy(F.to_date(ts).alias("d")).agg(F.count("*").alias("c"))
-    run = days.orderBy(F.desc("d")).limit(n)  # n days hold at least n rows
-    seen = 0
-    cut = None
-    for row in run.toLocalIterator():
-        seen, cut = seen + row["c"], row["d"]
-        if seen >= n or cut is None:
-            break
-    recent = df if cut is None else df.filter(F.col(ts) >= F.lit(cut).cast(df.schema[ts].dataType))
+    days = df.groupBy(F.to_date(ts).alias("day")).agg(F.count("*").alias("rows"))
+    return latest_since(df, ts, tie, n, day_of_latest(days, n))
+
+
+def day_of_latest(days: DataFrame, n: int) -> date | None:
+    """The day from which on a table with ``rows`` per ``day`` has ``n`` rows; None where only rows without a day make up ``n``.
+
+    One row a calendar day is summed up in one task; one value comes to the driver.
+    """
+    run = F.sum("rows").over(Window.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, 0))
+    known = days.filter(F.col("day").isNotNull()).select("day", run.alias("upto"))
+    return known.filter(F.col("upto") >= n).agg(F.max("day")).first()[0]
+
+
+def latest_since(df: DataFrame, ts: str, tie: Sequence[str], n: int, day: date | None) -> DataFrame:
+    """The ``n`` latest rows, looked for from ``day`` on."""
+    recent = df if day is None else df.filter(F.col(ts) >= F.lit(day).cast(df.schema[ts].dataType))
     return recent.orderBy(F.desc(ts), *[F.desc(t) for t in tie]).limit(n)

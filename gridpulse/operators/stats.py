@@ -18,12 +18,12 @@ def group_mean(df: DataFrame, keys: Sequence[str], values: Sequence[str], prefix
 
 
 def mean_std(df: DataFrame, key: str, value: str) -> DataFrame:
-    return df.groupBy(key).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
+    return df.groupBy(key).agg(F.avg(nan_to_null(value)).alias("mean"), F.stddev_samp(nan_to_null(value)).alias("std"))
 
 
 def mean_ci(df: DataFrame, key: str, value: str, z: float = 1.96) -> DataFrame:
     """Group mean with a normal-approximation confidence interval."""
-    g = df.groupBy(key).agg(
+    g = df.select(key, nan_to_null(value).alias(value)).groupBy(key).agg(
         F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("_s")
     )
     half = z * F.col("_s") / F.sqrt(F.col("n").cast("double"))
@@ -32,7 +32,7 @@ def mean_ci(df: DataFrame, key: str, value: str, z: float = 1.96) -> DataFrame:
 
 def pivot_mean(df: DataFrame, index: str, column: str, values: Sequence[object], measure: str) -> DataFrame:
     """Table of means. The pivot values are given, so Spark needs no extra job to find them."""
-    return df.groupBy(index).pivot(column, list(values)).agg(F.avg(measure))
+    return df.groupBy(index).pivot(column, list(values)).agg(F.avg(nan_to_null(measure)))
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None, exclude: Sequence[str] = ()) -> DataFrame:
@@ -50,7 +50,7 @@ def shares(df: DataFrame, conditions: dict[str, Column], keys: Sequence[str] = (
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson matrix in long form; each unordered pair is computed once."""
     pairs = list(combinations(columns, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[F.corr(nan_to_null(a), nan_to_null(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
         for x, y in ((a, b), (b, a)):
@@ -114,8 +114,9 @@ def density_curve(
     lo, hi = ends.getField("lo"), ends.getField("hi")
     width = (hi - lo) / bins
     place = F.coalesce(F.least(F.floor(F.try_divide(F.col(column) - lo, width)), F.lit(bins - 1).cast("bigint")), F.lit(0).cast("bigint"))
+    off = F.col(column) - (lo + hi) / 2.0  # a large common offset would cancel in the variance
     binned = df.filter(F.col(column).isNotNull()).groupBy(*keys, place.alias("_b")).agg(
-        F.count("*").alias("_n"), F.sum(column).alias("_s"), F.sum(F.col(column) * F.col(column)).alias("_ss")
+        F.count("*").alias("_n"), F.sum(off).alias("_s"), F.sum(off * off).alias("_ss")
     ).withColumn("_x", lo + (F.col("_b") + 0.5) * width)
     total = binned.groupBy(*keys).agg(
         F.sum("_n").cast("double").alias("_t"), F.sum("_s").alias("_m1"), F.sum("_ss").alias("_m2")
@@ -137,16 +138,16 @@ def density_curve(
 
 
 def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
+    df = df.select(nan_to_null(x).alias("x"), nan_to_null(y).alias("y"))
+    return df.agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"))
 
 
 def quadratic_trend(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least-squares parabola ``c2*x^2 + c1*x + c0``: power sums of centred x, then the
     closed 3x3 solution."""
-    mean = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).agg(F.avg(x)).scalar()
-    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        (F.col(x) - mean).alias("u"), F.col(y).cast("double").alias("v"), mean.alias("m")
-    )
+    known = df.select(nan_to_null(x).alias("x"), nan_to_null(y).alias("y")).filter("x is not null and y is not null")
+    mean = known.agg(F.avg("x")).scalar()
+    rows = known.select((F.col("x") - mean).alias("u"), F.col("y").cast("double").alias("v"), mean.alias("m"))
     u, v = F.col("u"), F.col("v")
     s = rows.agg(
         F.count("*").cast("double").alias("n"), F.first("m").alias("m"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions import bands, calendar
 from gridpulse.functions.constants import AQI_BANDS, SEVERITY_ORDER
-from gridpulse.operators import cleaning, joins, kpi, quantiles, reshape, stats
+from gridpulse.operators import cleaning, joins, kpi, quantiles, stats
 from gridpulse.plans.registry import query
 from gridpulse.plans.views import AREAS, Tables
 
@@ -443,7 +443,7 @@ def d31(t: Tables) -> DataFrame:
 @query("d31_recent_change_all_metrics", " UNION ALL ".join(
     delta_sql("energy", c, 200) for c in ENERGY))
 def d31_all(t: Tables) -> DataFrame:
-    return reshape.merge_batches([kpi.recent_change(t.energy, c, "timestamp", ["reading_id"], 200) for c in ENERGY])
+    return kpi.recent_changes(t.energy, ENERGY, "timestamp", ["reading_id"], 200)
 
 
 @query("d31_too_few_rows", delta_sql("pollution", "AQI", 1_000_000))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.operators import reshape, stats
@@ -148,3 +148,18 @@ def a17_bytes(t: Tables) -> DataFrame:
 @query("a18_freshness")
 def a18(t: Tables) -> DataFrame:
     return files.freshness({n: t.table(n) for n in ("orders", "events", "lineitem")})
+
+
+@query("a18_freshness_of_written", """
+    SELECT * FROM (VALUES ('events', 2, false, 3), ('lineitem', 3, true, 2), ('orders', 1, false, 1)) v(dataset, place, newest, n_files)""")
+def a18_written(t: Tables) -> DataFrame:
+    """Whole tables written one after the other, by one, two and three files: their times must come in that order, and the newest be the last."""
+    copies = {}
+    for name, parts in (("orders", 1), ("events", 3), ("lineitem", 2)):
+        path = new_path(t.spark, f"a18_{name}")
+        files.write_parquet(t.table(name).repartition(parts), path)
+        copies[name] = t.spark.read.parquet(path)
+    times = files.file_times(copies)
+    newest = files.freshness(copies).scalar()
+    place = F.row_number().over(Window.orderBy("latest"))  # three rows
+    return times.select("dataset", place.alias("place"), (F.col("latest") == newest).alias("newest"), F.col("n_files").cast("int").alias("n_files"))

@@ -165,8 +165,16 @@ def inventory(tables: dict[str, DataFrame]) -> DataFrame:
 
 def freshness(tables: dict[str, DataFrame]) -> DataFrame:
     """Latest modification time over all files of all tables."""
-    times = [df.agg(F.max("_metadata.file_modification_time").alias("t")) for df in tables.values()]
-    out = times[0]
-    for t in times[1:]:
-        out = out.unionByName(t)
-    return out.agg(F.max("t").alias("latest"))
+    return file_times(tables).agg(F.max("latest").alias("latest"))
+
+
+def file_times(tables: dict[str, DataFrame]) -> DataFrame:
+    """First and latest modification time of each table's files, and their number; a table without rows has none."""
+    rows = []
+    for name, df in tables.items():
+        files = df.groupBy(F.col("_metadata.file_path").alias("p")).agg(F.max("_metadata.file_modification_time").alias("t"))
+        rows.append(files.agg(F.lit(name).alias("dataset"), F.min("t").alias("first"), F.max("t").alias("latest"), F.count("*").alias("n_files")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out

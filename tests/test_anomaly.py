@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from gridpulse.operators import anomaly, kpi
+from gridpulse.operators import anomaly, kpi, stats
 
 
 def brute(values: list[float | None], k=2.0, window=24, limit=2.5):
@@ -81,3 +81,49 @@ def test_city_score_stays_between_0_and_100(spark):
     row = kpi.city_score(traffic, energy, pollution).first()
     assert row["traffic_score"] == 0.0 and row["energy_score"] == 0.0 and row["pollution_score"] == 0.0
     assert 0.0 <= row["city_score"] <= 100.0 and row["grade"] == "Poor"
+
+
+def test_nan_counts_as_missing_in_headline_numbers(spark):
+    nan = float("nan")
+    rows = spark.createDataFrame([(1, 1.0, 2.0), (2, nan, 5.0), (3, 3.0, 6.0), (4, None, nan)], "t int, v double, w double")
+    rows = rows.withColumn("ts", F.timestamp_seconds(F.col("t") * 86400)).withColumn("k", F.lit("a"))
+    got = {r["metric"]: r["delta_pct"] for r in kpi.recent_changes(rows, ["v", "w"], "ts", ["t"], 2).collect()}
+    assert got == {"v": 200.0, "w": round((6.0 - 3.5) / 3.5 * 100, 1)}
+    assert stats.mean_std(rows, "k", "v").first()["mean"] == 2.0
+    ci = stats.mean_ci(rows, "k", "v").first()
+    assert (ci["n"], ci["mean"]) == (2, 2.0)
+    assert stats.pivot_mean(rows, "k", "k", ["a"], "v").first()[1] == 2.0
+    pairs = {(r["x"], r["y"]): r["corr"] for r in stats.correlations(rows, ["v", "w"]).collect()}
+    assert pairs["v", "w"] == 1.0
+    assert stats.linear_trend(rows, "v", "w").first()["slope"] == 2.0
+    pollution = rows.withColumnRenamed("v", "AQI")
+    assert kpi._domains(
+        rows.select(F.col("v").alias("vehicle_count"), F.lit("High").alias("congestion_level"), F.lit("No Incident").alias("incident")),
+        rows.select(F.col("v").alias("energy_consumption"), F.lit(0).alias("power_outage"), F.lit(1.0).alias("renewable_usage")),
+        pollution).select("p.mean").first()[0] == 2.0
+
+
+def test_many_metrics_read_the_table_twice_and_city_kpis_each_table_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).select(
+        F.col("id").alias("t"), F.timestamp_seconds(F.col("id") * 40000).alias("ts"), F.rand(1).alias("a"), F.rand(2).alias("b")).write.parquet(path)
+
+    def scans(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return sum("Relation" in line for line in plan.splitlines())
+
+    changes = kpi.recent_changes(spark.read.parquet(path), ["a", "b"], "ts", ["t"], 10)
+    assert changes.count() == 2 and scans(changes) <= 2  # the sums per day, and the last days of the table
+    table = spark.read.parquet(path)
+    city = kpi.city_kpis(
+        table.select(F.col("a").alias("vehicle_count"), F.col("b").alias("avg_speed"), F.lit("Low").alias("congestion_level"), F.lit("x").alias("incident")),
+        table.select(F.col("a").alias("energy_consumption"), F.lit(0).alias("power_outage"), F.col("b").alias("renewable_usage")),
+        table.select(F.col("a").alias("AQI")))
+    assert city.count() == 1 and scans(city) <= 3
+
+
+def test_density_with_a_large_offset(spark):
+    near = spark.range(200).select((F.col("id") % 18 / 10.0).alias("v"))  # no value on an inner bin edge
+    far = near.select((F.col("v") + 1e9).alias("v"))
+    a, b = (stats.density_curve(d, "v").orderBy("point").toPandas()["density"].to_numpy() for d in (near, far))
+    assert abs(a - b).max() < 1e-4
