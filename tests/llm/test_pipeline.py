@@ -62,7 +62,7 @@ def test_all_remaining_documents_are_packed(stages):
 
 
 def test_stages_take_odd_rows(spark, odd, none, monkeypatch):
-    monkeypatch.setattr(toxicity, "train", lambda texts, labels, **_: toxicity.Model(np.zeros((1, 8)), np.zeros((8, 2)), np.zeros(2), 8, 0.0))
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, **_: toxicity.Model(np.zeros((1, 8)), np.zeros((1, 8, 2)), np.zeros(2), (8,), 0.0))
     docs = odd.select("doc_id", "text", "lang", "source", "score", "block")
     for frame in (docs, none.select(*docs.columns)):
         for _, stage in pipe.STAGES[:-1]:
@@ -101,7 +101,7 @@ def test_contaminated_rows_are_decided_by_row(spark):
 
 
 def test_columns_named_like_results_are_kept(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "train", lambda texts, labels, **_: toxicity.Model(np.zeros((1, 8)), np.zeros((8, 2)), np.zeros(2), 8, 0.0))
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, **_: toxicity.Model(np.zeros((1, 8)), np.zeros((1, 8, 2)), np.zeros(2), (8,), 0.0))
     docs = _docs(spark, [(1, LONG), (2, OTHER)]).selectExpr("*", "'x' AS `Toxic score`", "'y' AS `language found`", "3 AS `language score`")
     for stage in (pipe.drop_toxic, pipe.drop_unknown_language):
         got = stage(spark, docs, SF)
