@@ -1,6 +1,11 @@
 """Training and scoring: no leakage, unseen categories, rows kept, same twice."""
 
+import threading
+
 import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from gridpulse.learning import prepare, scoring, training
@@ -91,3 +96,42 @@ def test_wire_schemas_are_nullable_and_complete(name):
     assert all(f.nullable for f in spec.wire.fields)
     renamed = {spec.rename.get(f.name, f.name) for f in spec.wire.fields} | {"hour", "day", "dayofweek", "month", "year"}
     assert {spec.target, *spec.categorical, *spec.required, *spec.capped} <= renamed
+
+
+class Counted(LinearRegression):
+    """Waits in its fit until ``barrier`` is full, if there is one, and counts its fits."""
+
+    barrier, fits = None, 0
+
+    def _fit(self, dataset):
+        type(self).fits += 1
+        if self.barrier is not None:
+            self.barrier.wait(timeout=60)
+        return super()._fit(dataset)
+
+
+def test_models_are_fitted_beside_each_other(data, monkeypatch):
+    monkeypatch.setattr(Counted, "barrier", threading.Barrier(2))
+    chosen = {n: Counted(labelCol=SPEC.target, maxIter=5) for n in ("a", "b")}
+    table, fitted, best = training.train_and_evaluate(data, SPEC.target, chosen)
+    assert list(fitted) == ["a", "b"] and best == "a" and table.count() == 2
+
+
+def test_an_error_of_a_fit_is_raised(spark):
+    def fail():
+        raise ValueError("no such fit")
+
+    with pytest.raises(ValueError, match="no such fit"):
+        training.at_once(spark, [lambda: 1, fail])
+    assert training.at_once(spark, [lambda n=n: n for n in range(20)]) == list(range(20))
+
+
+def test_folds_are_those_of_the_cross_validator_and_nothing_is_fitted_twice(data, monkeypatch):
+    monkeypatch.setattr(Counted, "fits", 0)
+    est = Counted(labelCol=SPEC.target, maxIter=5)
+    _, fitted, _ = training.train_and_evaluate(data, SPEC.target, {"m": est})
+    got = training.cross_validation(data, SPEC.target, fitted, {"m": est}, folds=3).first()
+    assert Counted.fits == 4
+    evaluator = RegressionEvaluator(labelCol=SPEC.target, metricName="r2")
+    cv = CrossValidator(estimator=est, estimatorParamMaps=[{}], evaluator=evaluator, numFolds=3, seed=42).fit(data.train)
+    assert got["cv_r2"] == pytest.approx(cv.avgMetrics[0], abs=1e-9)
