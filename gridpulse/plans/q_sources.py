@@ -157,7 +157,7 @@ def a18_written(t: Tables) -> DataFrame:
     copies = {}
     for name, parts in (("orders", 1), ("events", 3), ("lineitem", 2)):
         path = new_path(t.spark, f"a18_{name}")
-        files.write_parquet(t.table(name).repartition(parts), path)
+        files.write_parquet(files.in_parts(t.table(name), parts), path)
         copies[name] = t.spark.read.parquet(path)
     times = files.file_times(copies)
     newest = files.freshness(copies).scalar()

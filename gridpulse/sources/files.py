@@ -86,6 +86,13 @@ def read_json_document(
     return reader.json(path)
 
 
+def in_parts(df: DataFrame, parts: int) -> DataFrame:
+    """``df`` in ``parts`` partitions with rows. Where the scan has that many they are joined as they are, so that a task reads stored
+    bytes and no shuffled rows; a smaller table (or one with empty scan partitions) is dealt out."""
+    filled = df.groupBy(F.spark_partition_id()).count().count()
+    return df.coalesce(parts) if parts <= filled == df.rdd.getNumPartitions() else df.repartition(parts)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite a Parquet folder, dropping columns whose name repeats."""
     if len({c.lower() for c in df.columns}) < len(df.columns):

@@ -93,3 +93,17 @@ def test_lookup_larger_than_the_limit_is_not_broadcast(spark):
     plans = [x._jdf.queryExecution().optimizedPlan().toString() for x in (small, large)]
     assert "strategy=broadcast" in plans[0] and "strategy=broadcast" not in plans[1]
     assert small.exceptAll(large).count() == 0
+
+
+def test_scan_partitions_are_joined_without_a_shuffle(spark):
+    large, small = new_path(spark, "t"), new_path(spark, "t")
+    spark.range(1000).repartition(8).write.parquet(large)
+    spark.range(1000).coalesce(1).write.parquet(small)
+    for path, parts, shuffled in ((large, 2, False), (small, 3, True)):
+        out = new_path(spark, "t")
+        dealt = files.in_parts(spark.read.parquet(path), parts)
+        assert ("Exchange" in dealt._jdf.queryExecution().executedPlan().toString()) == shuffled
+        files.write_parquet(dealt, out)
+        written = spark.read.parquet(out)
+        assert files.file_times({"t": written}).first()["n_files"] == parts
+        assert sorted(r["id"] for r in written.collect()) == list(range(1000))
