@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.operators import anomaly, cleaning, joins, kpi, ordered, quantiles, reshape, stats
+from gridpulse.plans import registry
 from gridpulse.plans.views import Tables
 
 
@@ -82,3 +83,9 @@ def test_top_groups_take_ordered(t):
 def test_scalars_do_not_shuffle_the_rows(t):
     text = plan(anomaly.z_scores(t.events.select("event_id", "value"), "value"))
     assert text.count("Exchange") == text.count("Exchange SinglePartition")  # only inside the sub-query
+
+
+def test_methods_too_long_for_the_jvm_are_not_generated(spark, sf):
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    registry.run("d01_row_count", spark, sf)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
