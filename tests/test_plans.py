@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.operators import anomaly, cleaning, joins, kpi, ordered, quantiles, reshape, stats
-from gridpulse.plans import registry
+from gridpulse.plans import catalog, registry
 from gridpulse.plans.views import Tables
 
 
@@ -86,6 +86,7 @@ def test_scalars_do_not_shuffle_the_rows(t):
 
 
 def test_methods_too_long_for_the_jvm_are_not_generated(spark, sf):
+    catalog.load()
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     registry.run("d01_row_count", spark, sf)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
