@@ -50,3 +50,34 @@ def test_no_ranges_and_no_rows(spark):
 def test_a_range_of_years_is_some_tens_of_rows(spark):
     span = spark.createDataFrame([("a", 1_100_000_007, 1_700_000_003, 1.0)], "k string, low long, high long, m double")
     assert ranges.range_blocks(span, ["k"], "low", "high", {"m": F.max("m")}).count() < 60
+
+
+@pytest.mark.parametrize("segments, combine", [(1, ranges.total), (4, lambda *parts: ranges.total(*parts)), (1024, ranges.total)])
+def test_segments_of_any_size_against_all_pairs(spark, monkeypatch, segments, combine):
+    monkeypatch.setattr(ranges, "SEGMENTS", segments)
+    draw = random.Random(segments)
+    rows = [(i, draw.choice(["a", "b", None]), draw.choice([None, *range(0, 5000, 7)])) for i in range(200)]
+    spans = [(draw.choice(["a", "b", None]), a, a + draw.choice([0, 1, 3, 40, 900, 2500, -1]), draw.choice([None, 1.0, 2.5, 7.0]))
+             for a in [draw.randrange(4000) for _ in range(150)]] + [("a", 0, 1 << 40, 0.5), ("b", 12, None, 9.0)]
+    got = ranges.join_ranges(spark.createDataFrame(rows, "id int, k string, at long"), spark.createDataFrame(spans, "k string, low long, high long, m double"),
+                             ["k"], F.col("at"), "low", "high", {"best": (F.max("m"), F.greatest), "n": (F.count("*"), combine)})
+    assert [(r["id"], r["best"], r["n"]) for r in got.orderBy("id").collect()] == _plain(rows, spans)
+
+
+def test_long_ranges_are_not_cut_into_tens_of_rows_each(spark, monkeypatch):
+    """What is stored of 20,000 ranges of a week to weeks over two months, by the second, hangs on the segments."""
+    stored = []
+
+    def counted(df, label):
+        table = ranges_materialize(df, label)
+        stored.append(table.count())
+        return table
+
+    ranges_materialize = ranges.materialize
+    monkeypatch.setattr(ranges, "materialize", counted)
+    spans = spark.range(20_000).select(F.lit("a").alias("k"), (F.col("id") * 7919 % 5_000_000).alias("low"), F.lit(1.0).alias("m"),
+                                       (F.col("id") * 7919 % 5_000_000 + 600_000 + F.col("id") * 104_729 % 1_000_000).alias("high"))
+    df = spark.createDataFrame([("a", 2_500_000)], "k string, at long")
+    got = ranges.join_ranges(df, spans, ["k"], F.col("at"), "low", "high", {"n": (F.count("*"), ranges.total)})
+    assert got.first()["n"] == spans.where("2500000 between low and high").count()
+    assert sum(stored) < 20_000  # 181,365 as blocks of the whole ranges
