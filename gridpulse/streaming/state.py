@@ -1,8 +1,9 @@
 """Keyed state per sensor: event-time order, lags, smoothing and sequence numbers on a stream.
 
-Rows of a key wait as sorted runs in list state until the stream is ``wait`` past them, then leave in order, so lags, numbers and smoothing do not
-hang on how the source cuts the rows into micro-batches: a row may come up to ``wait`` after rows with later times. A timer for each key wakes it
-when its earliest waiting row is due, also when no further rows of the key come.
+Rows wait in list state until the stream is ``wait`` past them, then leave in order by key, so lags, numbers and smoothing do not
+hang on how the source cuts the rows into micro-batches: a row may come up to ``wait`` after rows with later times. Keys share state rows, dealt by
+hash into a fixed number of buckets, because each state row costs calls to the store whatever it holds; all keys of a bucket are placed together. A
+timer for each bucket wakes it when its earliest waiting row is due, also when no further rows come.
 
 Spark drops rows behind the watermark. The watermark therefore stays ``keep`` behind (years), and the timers are set by the difference of the two
 earlier. A row that comes later than ``wait``, behind one of its key that has left already, is kept, marked ``late``, gets no lags and leaves the
@@ -32,7 +33,10 @@ END = dt.datetime(2200, 1, 1, tzinfo=dt.timezone.utc)
 _END_US = int(END.timestamp()) * 1_000_000
 KEEP = dt.timedelta(days=3650)
 
-STATE = "last_us bigint, seq bigint, lag1 double, lag2 double, smooth double, due bigint"  # due: the timer that is set, if any
+STATE = "series binary, due bigint"  # a packed table of SERIES by key; due: the timer that is set, if any
+SERIES = {"last_us": "int64", "seq": "int64", "lag1": "float64", "lag2": "float64", "smooth": "float64"}
+#: Buckets of keys. A bucket's waiting rows are in one task's memory at a time; a query keeps the number that its checkpoint began with.
+BUCKETS = 1024
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -46,16 +50,19 @@ def end_mark(stream: DataFrame, ts: str) -> DataFrame:
     return stream.sparkSession.range(1).select(*columns)
 
 
-def affine_scan(values: np.ndarray, weight: float, start: float) -> np.ndarray:
+def affine_scan(values: np.ndarray, weight: float, start: float | np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
     """``(1 - weight) * before + weight * value`` from ``start``, a missing value repeating the result before it.
 
-    A row maps the result before it to ``keep * before + own``; maps of neighbours are composed, over stretches of doubling length.
+    A row maps the result before it to ``keep * before + own``; maps of neighbours are composed, over stretches of doubling length. ``places``:
+    each row's place in its series from 0 on, where several series, with a start for each row, follow one another.
     """
     known = ~np.isnan(values)
     keep, own, step = np.where(known, 1.0 - weight, 1.0), np.where(known, weight * np.where(known, values, 0.0), 0.0), 1
-    while step < len(values):
-        own[step:] = own[step:] + keep[step:] * own[:-step]
-        keep[step:] = keep[step:] * keep[:-step]
+    places = np.arange(len(values)) if places is None else places
+    while step <= places.max(initial=0):
+        later = np.flatnonzero(places >= step)
+        own[later] = own[later] + keep[later] * own[later - step]
+        keep[later] = keep[later] * keep[later - step]
         step *= 2
     return own + keep * start
 
@@ -72,7 +79,7 @@ def _unpacked(payload: bytes) -> pd.DataFrame:
     return pa.ipc.open_stream(payload).read_pandas()
 
 
-_KEY = "_state_key"
+_KEY, _BUCKET = "_state_key", "_state_bucket"
 
 
 def _as_text(key: str) -> Column:
@@ -80,8 +87,8 @@ def _as_text(key: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
 
 
-def _keyed(df: DataFrame, key: str) -> DataFrame:
-    return df.withColumn(_KEY, _as_text(key))
+def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    return df.withColumn(_KEY, _as_text(key)).withColumn(_BUCKET, F.pmod(F.xxhash64(_KEY), F.lit(buckets)).cast("int"))
 
 
 def micros(times: pd.Series) -> np.ndarray:
@@ -94,9 +101,12 @@ def joined(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 
 class OrderBuffer(StatefulProcessor):
-    """Holds the rows of a key back until they are due; ``placed`` gives the columns of those that leave."""
+    """Holds the rows of a bucket of keys back until they are due; ``placed`` gives the columns of those that leave."""
 
-    def __init__(self, order: Sequence[str], column: str, weight: float, seed: float, wait: dt.timedelta, keep: dt.timedelta) -> None:
+    def __init__(self, columns: Sequence[str], order: Sequence[str], column: str, weight: float, seed: float, wait: dt.timedelta, keep: dt.timedelta,
+                 first: Sequence[str] = ()) -> None:
+        # Columns that are computed come to Python without their names.
+        self.columns, self.first = [*columns, _KEY, _BUCKET], [*first, _KEY, _BUCKET]
         self.order, self.column, self.weight, self.seed = list(order), column, weight, seed
         self.ahead = int((keep - wait).total_seconds() * 1000)
 
@@ -105,6 +115,16 @@ class OrderBuffer(StatefulProcessor):
         self.runs = handle.getListState("runs", "payload binary")
         self.series = handle.getValueState("series", STATE)  # one value, as each access is a call to the store
 
+    def _held(self) -> tuple[pd.DataFrame, int | None]:
+        """Where the series of the bucket's keys stand, by key, and the timer that is set."""
+        payload, due = self.series.get() or (None, None)
+        if payload is None:
+            return pd.DataFrame({c: np.empty(0, kind) for c, kind in SERIES.items()}, index=pd.Index([], dtype=object)), due
+        return _unpacked(payload).set_index(_KEY).astype(SERIES), due
+
+    def _hold(self, held: pd.DataFrame, due: int | None) -> None:
+        self.series.update((_packed(held.rename_axis(_KEY).reset_index()) if len(held) else None, due))
+
     def _wake(self, first_us: int, due: int | None) -> int:
         """The timer to have: an earlier one takes the place of that set."""
         ms = first_us // 1000 - self.ahead
@@ -116,23 +136,26 @@ class OrderBuffer(StatefulProcessor):
         return ms
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        came = joined(rows).drop(columns=_KEY, errors="ignore")
+        came = joined(f.set_axis(self.columns, axis=1) for f in rows).drop(columns=_BUCKET)
         times = micros(came[self.order[0]])
         came, times = came[times < _END_US], times[times < _END_US]
-        held = self.series.get() or self.fresh()
-        late = np.zeros(len(came), bool) if held[0] is None else times < held[0]
+        if not len(came):
+            return
+        held, due = self._held()
+        at = held.index.get_indexer(came[_KEY].to_numpy(dtype=object))
+        late = times < np.append(held["last_us"].to_numpy(), np.iinfo(np.int64).min)[at]  # -1 where the key has no series yet
         if late.any():
             yield self._columns(came[late])
         if not late.all():
             self.runs.appendValue((_packed(came[~late]),))
-            due = self._wake(int(times[~late].min()), held[-1])
-            if due != held[-1]:
-                self.series.update((*held[:-1], due))
+            wake = self._wake(int(times[~late].min()), due)
+            if wake != due:
+                self._hold(held, wake)
 
     def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         until = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) + self.ahead
         rows = joined(_unpacked(payload) for (payload,) in self.runs.get())
-        held = self.series.get() or self.fresh()
+        held, _ = self._held()
         self.runs.clear()
         times = micros(rows[self.order[0]]) if len(rows) else np.empty(0, np.int64)
         go, due = times // 1000 <= until, None
@@ -141,34 +164,40 @@ class OrderBuffer(StatefulProcessor):
             due = self._wake(int(times[~go].min()), None)
         if go.any():
             ready = rows[go]
-            out, held = self.placed(ready.iloc[np.lexsort([ready[c].to_numpy() for c in reversed(self.order)])], held)
+            keys = pd.factorize(ready[_KEY].to_numpy(dtype=object))[0]
+            out, held = self.placed(ready.iloc[np.lexsort([*[ready[c].to_numpy() for c in reversed(self.order)], keys])], held)
             yield out
-        self.series.update((*held[:-1], due))
+        self._hold(held, due)
 
     def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
-        """A row of ``last_values``: the series goes on where the history ends."""
-        last = initialState.iloc[0]
-        numbers = [None if pd.isna(last[c]) else float(last[c]) for c in ("lag1", "lag2")]
-        self.series.update((int(last["last_us"]), int(last["seq"]), *numbers, self.seed if pd.isna(last["smooth"]) else float(last["smooth"]), None))
-
-    def fresh(self) -> tuple:
-        return None, 0, None, None, self.seed, None
-
-    def placed(self, rows: pd.DataFrame, held: tuple) -> tuple[pd.DataFrame, tuple]:
-        """Columns of ordered rows, continuing the key's series, and the series after them."""
-        _, seq, lag1, lag2, smooth, due = held
+        """Rows of ``last_values``: the series go on where the history ends."""
+        held, due = self._held()
+        first = initialState.set_axis(self.first, axis=1).drop_duplicates(_KEY).set_index(_KEY)[list(SERIES)]
+        first = first.assign(smooth=first["smooth"].astype("float64").fillna(self.seed)).astype(SERIES)
+        self._hold(pd.concat([held.drop(first.index, errors="ignore"), first]), due)
+
+    def placed(self, rows: pd.DataFrame, held: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """Columns of rows ordered by key, continuing the keys' series, and the series after them."""
+        keys = rows[_KEY].to_numpy(dtype=object)
+        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        sizes = np.diff(np.append(begins, len(rows)))
+        ends, places = begins + sizes - 1, np.arange(len(rows)) - np.repeat(begins, sizes)
+        before = held.reindex(keys[begins])
+        seq, lag1, lag2, smooth = (np.repeat(before[c].fillna(none).to_numpy(), sizes) for c, none in (
+            ("seq", 0), ("lag1", np.nan), ("lag2", np.nan), ("smooth", self.seed)))
         values = rows[self.column].to_numpy(dtype="float64", na_value=np.nan)
-        known = np.concatenate([[np.nan if x is None else x for x in (lag2, lag1)], values])
-        smoothed = affine_scan(values, self.weight, smooth)
-        after = (int(micros(rows[self.order[0]])[-1]), seq + len(rows), *[None if np.isnan(x) else float(x) for x in known[:-3:-1]],
-                 float(smoothed[-1]), due)
-        return self._columns(rows, np.arange(seq + 1, seq + 1 + len(rows)), known[1:-1], known[:-2], smoothed), after
+        one, two = (np.append(np.full(k, np.nan), values)[:len(rows)] for k in (1, 2))
+        lag1, lag2 = np.where(places > 0, one, lag1), np.where(places > 1, two, np.where(places > 0, lag1, lag2))
+        seq, smooth = seq.astype("int64") + places + 1, affine_scan(values, self.weight, smooth, places)
+        after = pd.DataFrame({"last_us": micros(rows[self.order[0]])[ends], "seq": seq[ends], "lag1": values[ends], "lag2": lag1[ends],
+                              "smooth": smooth[ends]}, index=keys[begins])
+        return self._columns(rows, seq, lag1, lag2, smooth), pd.concat([held.drop(after.index, errors="ignore"), after])
 
     def _columns(self, rows: pd.DataFrame, seq: np.ndarray | None = None, *numbers: np.ndarray) -> pd.DataFrame:
         none = np.full(len(rows), np.nan)
         lag1, lag2, smooth = numbers or (none, none, none)
         number = pd.array([pd.NA] * len(rows) if seq is None else seq, dtype="Int64")
-        return pd.DataFrame({**{c: rows[c].array for c in rows.columns}, "seq": number, "lag1": lag1, "lag2": lag2, "smooth": smooth,
+        return pd.DataFrame({**{c: rows[c].array for c in rows.columns if c != _KEY}, "seq": number, "lag1": lag1, "lag2": lag2, "smooth": smooth,
                              "late": np.full(len(rows), seq is None)})
 
     def close(self) -> None:
@@ -187,9 +216,12 @@ def last_values(history: DataFrame, key: str, order: Sequence[str], column: str,
 
 def with_series_state(
     stream: DataFrame, key: str, order: Sequence[str], column: str, weight: float = 0.32, seed: float = 0.0,
-    wait: dt.timedelta = dt.timedelta(minutes=1), keep: dt.timedelta = KEEP, first: DataFrame | None = None,
+    wait: dt.timedelta = dt.timedelta(minutes=1), keep: dt.timedelta = KEEP, first: DataFrame | None = None, buckets: int | None = None,
 ) -> DataFrame:
-    """Add seq, lag1, lag2, smooth and late to each row; ``order[0]`` is the event time. ``first``: ``last_values`` of what came before the stream."""
+    """Add seq, lag1, lag2, smooth and late to each row; ``order[0]`` is the event time. ``first``: ``last_values`` of what came before the stream.
+
+    ``buckets``: state rows that the keys share (``BUCKETS`` if not given); a checkpoint goes on with the number that it began with only.
+    """
     schema = StructType([
         *stream.schema.fields,
         StructField("seq", LongType()), StructField("lag1", DoubleType()), StructField("lag2", DoubleType()),
@@ -197,9 +229,10 @@ def with_series_state(
     ])
     use_rocksdb(stream.sparkSession)
     marked = stream.withWatermark(order[0], f"{int(keep.total_seconds())} seconds")
-    return _keyed(marked, key).groupBy(_KEY).transformWithStateInPandas(
-        OrderBuffer(order, column, weight, seed, wait, keep), schema, "Append", "EventTime",
-        initialState=None if first is None else _keyed(first, key).groupBy(_KEY))
+    buckets = buckets or BUCKETS
+    return _bucketed(marked, key, buckets).groupBy(_BUCKET).transformWithStateInPandas(
+        OrderBuffer(stream.columns, order, column, weight, seed, wait, keep, () if first is None else first.columns), schema, "Append", "EventTime",
+        initialState=None if first is None else _bucketed(first, key, buckets).groupBy(_BUCKET))
 
 
 class Aligner(StatefulProcessor):

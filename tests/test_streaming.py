@@ -275,3 +275,29 @@ def test_three_streams_meet_in_any_order_of_files(spark):
         got = {(r["area"], round((r["ts"].replace(tzinfo=None) - T0.replace(tzinfo=None)).total_seconds() / 60)): tuple(r)[2:]
                for r in spark.read.schema(aligned.schema).parquet(out).collect()}
         assert got == {k: v for k, v in expected.items() if not complete or k[1] % 7 != 3}
+
+
+def test_many_keys_share_few_state_rows(spark):
+    """300 keys over three deliveries, rows out of order, a value without end: as many state rows as there are buckets, and no key meets another."""
+    draw, src, out, cp = random.Random(9), *(new_path(spark, x) for x in ("src", "out", "cp"))
+    table = [(None if k == 7 else f"k{k}", T0 + dt.timedelta(minutes=10 * part + draw.random() * 9), 10 * k + part, float("inf") if k == 11 else draw.choice([None, 1.0, 2.0]))
+             for part in range(3) for k in range(300) for _ in range(draw.choice([1, 2]))]
+    table = [(k, ts, i, v) for i, (k, ts, _, v) in enumerate(table)]
+    schema, want, before = spark.createDataFrame([], SCHEMA).schema, {}, {}
+    for k, ts, i, v in sorted(table, key=lambda r: r[1]):
+        held = before.setdefault(k, [])
+        smooth = held[-1][1] if held else 0.0
+        smooth = smooth if v is None else 0.5 * smooth + 0.5 * v
+        want[i] = (k, len(held) + 1, held[-1][0] if held else None, held[-2][0] if len(held) > 1 else None, round(smooth, 9), False)
+        held.append((v, smooth))
+    cut = [T0 + dt.timedelta(minutes=10 * i) for i in range(4)]
+    frames = [spark.createDataFrame([r for r in table if a <= r[1] < b], schema) for a, b in zip(cut, cut[1:])]
+    for i, df in enumerate([*frames, state.end_mark(frames[0], "ts")]):
+        df.coalesce(1).write.parquet(f"{src}/p{i}")
+        stream = read_files_as_stream(spark, f"{src}/*", schema)
+        result = state.with_series_state(stream, "k", ["ts", "id"], "v", 0.5, 0.0, wait=dt.timedelta(minutes=10), buckets=4)
+        query = jobs.start_files(result, out, cp)
+        jobs.finish(query, lossless=True)
+        assert query.recentProgress[0]["stateOperators"][0]["numRowsTotal"] < 40
+    got = spark.read.schema(result.schema).parquet(out).collect()
+    assert {r["id"]: (r["k"], r["seq"], r["lag1"], r["lag2"], round(r["smooth"], 9), r["late"]) for r in got} == want and len(got) == len(table)
