@@ -34,6 +34,9 @@ T = TypeVar("T")
 #: Fits that run beside each other. One fit is hundreds of short jobs, one after the other, which leave most of the cluster idle.
 FITS_AT_ONCE = 6
 
+#: Rows of one task of a fit, which it keeps as objects of some 300 bytes and goes through once for each level of each tree.
+FIT_ROWS = 500_000
+
 
 def at_once(spark: SparkSession, tasks: Sequence[Callable[[], T]]) -> list[T]:
     """Results of ``tasks`` in their order, a few of them running at a time; the error of one is raised here."""
@@ -46,6 +49,18 @@ def at_once(spark: SparkSession, tasks: Sequence[Callable[[], T]]) -> list[T]:
                 f.cancel()
 
 
+def spread(rows: DataFrame, task_rows: int | None = None) -> DataFrame:
+    """``rows`` dealt evenly over tasks of at most ``task_rows`` rows, a whole number of rounds of the cores; tables that fit one task stay as they are.
+
+    Stored rows of few columns are so small that one task's stretch of a file holds millions of them, and a fit keeps them as objects.
+    """
+    n, task_rows = rows.count(), task_rows or FIT_ROWS
+    if n <= task_rows:
+        return rows
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(-(-n // (task_rows * cores)) * cores)
+
+
 def models(target: str) -> dict[str, Estimator]:
     """The four regressors. Depths, counts, rates and seed."""
     c = {"labelCol": target, "featuresCol": "features"}

@@ -116,11 +116,11 @@ for _id, _model, _exact in (("j06_tree_group_means", "Decision Tree", {}),
         SELECT l_linenumber, avg(l_quantity + 10 * l_linenumber) AS prediction, 1.0::DOUBLE AS importance
         FROM lineitem GROUP BY l_linenumber""", rounded="prediction importance", digits=5)
     def _means(t: Tables, model: str = _model, exact: dict = _exact) -> DataFrame:
-        rows = VectorAssembler(inputCols=["l_linenumber"], outputCol="features").transform(
-            t.lineitem.select("l_linenumber", (F.col("l_quantity") + 10 * F.col("l_linenumber")).alias("y")))
+        rows = t.lineitem.select("l_linenumber", (F.col("l_quantity") + 10 * F.col("l_linenumber")).alias("y"))
+        vectors = VectorAssembler(inputCols=["l_linenumber"], outputCol="features")
         estimator = training.models("y")[model]
-        fitted = estimator.copy({estimator.getParam(k): v for k, v in exact.items()}).fit(rows)
-        found = fitted.transform(rows).groupBy("l_linenumber").agg(F.avg("prediction").alias("prediction"))
+        fitted = estimator.copy({estimator.getParam(k): v for k, v in exact.items()}).fit(vectors.transform(training.spread(rows)))
+        found = fitted.transform(vectors.transform(rows)).groupBy("l_linenumber").agg(F.avg("prediction").alias("prediction"))
         return found.withColumn("importance", F.lit(float(fitted.featureImportances[0])))
 
 

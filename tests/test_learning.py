@@ -9,10 +9,12 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from gridpulse.learning import prepare, scoring, training
+from gridpulse.plans import catalog, registry
 from gridpulse.plans.views import Tables
 from gridpulse.schemas import DATASETS
 from gridpulse.scratch import materialize, new_path
 
+catalog.load()
 ORDER = ["timestamp", "reading_id"]
 SPEC = DATASETS["energy"]
 
@@ -135,3 +137,24 @@ def test_folds_are_those_of_the_cross_validator_and_nothing_is_fitted_twice(data
     evaluator = RegressionEvaluator(labelCol=SPEC.target, metricName="r2")
     cv = CrossValidator(estimator=est, estimatorParamMaps=[{}], evaluator=evaluator, numFolds=3, seed=42).fit(data.train)
     assert got["cv_r2"] == pytest.approx(cv.avgMetrics[0], abs=1e-9)
+
+
+def test_tasks_of_a_fit_are_bounded(spark, sf, monkeypatch):
+    rows = spark.range(3_000, numPartitions=1).selectExpr("cast(id % 7 as int) AS l_linenumber", "cast(id % 50 as double) AS l_quantity")
+    seen = []
+
+    def spread(df):
+        out = given(df)
+        seen.append([r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()])
+        return out
+
+    given = training.spread
+    assert given(rows).rdd.getNumPartitions() == 1  # small enough for one task: left alone
+    monkeypatch.setattr(training, "FIT_ROWS", 100)
+    monkeypatch.setattr(training, "spread", spread)
+    tables = Tables(spark, sf)
+    monkeypatch.setattr(tables, "lineitem", rows, raising=False)
+    found = registry.QUERIES["j08_boosting_group_means"].build(tables).collect()
+    assert len(seen) == 1 and max(seen[0]) <= 150 and sum(seen[0]) == 3_000  # dealt in turn by each of the tasks that read
+    means = {r[0]: r[1] for r in rows.groupBy("l_linenumber").agg(F.avg(F.col("l_quantity") + 10 * F.col("l_linenumber"))).collect()}
+    assert {r["l_linenumber"]: r["prediction"] for r in found} == pytest.approx(means)
