@@ -72,12 +72,11 @@ def start_batches(
     return writer.start()
 
 
-def start_files(stream: DataFrame, folder: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Append to Parquet, handle what is there and end."""
-    return (
-        stream.writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint)
-        .outputMode(mode).trigger(availableNow=True).start()
-    )
+def start_files(stream: DataFrame, folder: str, checkpoint: str, mode: str = "append", interval: str | None = None) -> StreamingQuery:
+    """Append to Parquet, handle what is there and end; with an ``interval`` go on until stopped (see ``drain``)."""
+    writer = stream.writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint).outputMode(mode)
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def dropped_rows(query: StreamingQuery) -> int:
@@ -99,6 +98,16 @@ def finish(query: StreamingQuery, timeout: float | None = None, lossless: bool =
         raise RuntimeError(f"{n} rows came behind the watermark; the allowed lateness must cover their delay")
 
 
+def drain(query: StreamingQuery, lossless: bool = False) -> None:
+    """Let a query that goes on handle all that its sources hold, in as many micro-batches as they make of it, then stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    if lossless and (n := dropped_rows(query)):
+        raise RuntimeError(f"{n} rows came behind the watermark; the allowed lateness must cover their delay")
+
+
 def run_for(queries: Sequence[StreamingQuery], seconds: float) -> None:
     """Let queries run for a while, then stop them all, also when one of them fails."""
     try:

@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridpulse.plans import q_streaming
+from gridpulse.plans.views import Tables
 from gridpulse.scratch import new_path
 from gridpulse.sources import files
 from gridpulse.sources.messages import decode, encode, kafka_options, read_files_as_stream
@@ -301,3 +303,28 @@ def test_many_keys_share_few_state_rows(spark):
         assert query.recentProgress[0]["stateOperators"][0]["numRowsTotal"] < 40
     got = spark.read.schema(result.schema).parquet(out).collect()
     assert {r["id"]: (r["k"], r["seq"], r["lag1"], r["lag2"], round(r["smooth"], 9), r["late"]) for r in got} == want and len(got) == len(table)
+
+
+def test_joined_streams_keep_a_step_not_the_tables(spark, sf, monkeypatch):
+    energy = Tables(spark, sf).energy
+    n = energy.count()
+    odd = energy.withColumn("timestamp", F.when(F.col("reading_id") % 50 != 0, F.col("timestamp")))  # missing times match nothing
+    rows = odd.unionByName(odd.filter("reading_id % 7 = 0"))
+    kept = []
+
+    def drain(query, lossless=False):
+        given(query, lossless)
+        kept.append([p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]])
+
+    given = jobs.drain
+    monkeypatch.setattr(jobs, "drain", drain)
+    monkeypatch.setattr(q_streaming, "STEP_ROWS", -(-n // 3))
+    tables = Tables(spark, sf)
+    monkeypatch.setattr(tables, "energy", rows, raising=False)
+    found = q_streaming.c09_streams(tables)
+    keys = ["area", "timestamp"]
+    want = rows.select(*keys, F.col("temperature").alias("vehicle_count")).join(
+        rows.filter("load_type <> 'Industrial'").select(*keys, "energy_consumption"), keys).join(
+        rows.filter("weather <> 'Rain'").select(*keys, F.col("humidity").alias("AQI")), keys).select(found.columns)
+    assert found.count() == want.count() > 0 and found.exceptAll(want).isEmpty()
+    assert len(kept[0]) >= 4 and max(kept[0]) < 0.75 * 2 * n  # of the first join; both of its streams whole are 1.9 n
