@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -36,11 +37,12 @@ class Encoder:
     """Ids of texts. ``blanks``: the vocabulary keeps the blank before a word (else it drops white space and case).
 
     Parts are what stands between blanks, pieces what the tokenizer itself cuts a part into before merging; both are numbered, and numbers stay the same
-    until ``limit`` parts are held. ``terms_of`` has a hash of every piece that is not blank. Pieces of letters are encoded many at a time.
+    until ``limit`` parts are held. ``terms_of`` has a hash of every piece that is not blank. Pieces of letters are encoded many at a time. Without
+    ``spans`` the characters of tokens are not kept, and the tokenizer does not look for them.
     """
 
-    def __init__(self, path: str, blanks: bool, limit: int = 400_000) -> None:
-        self.tokenizer, self.blanks, self.limit = load(path), blanks, limit
+    def __init__(self, path: str, blanks: bool, limit: int = 400_000, spans: bool = True) -> None:
+        self.tokenizer, self.blanks, self.limit, self.spans = load(path), blanks, limit, blanks and spans
         edge = [t[:1] == "\u0120" if blanks else t.endswith("</w>") for t, _ in sorted(
             self.tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])]
         self.edge = np.array(edge)  # tokens that begin (with blanks) or end (without) a word
@@ -86,10 +88,14 @@ class Encoder:
             parts = self._split(text) if text else []
             out.append(self.parts.numbers(["\0" + text] if parts is None else parts))
         if fresh := self.parts.take():
-            numbers, counts = [], []
+            numbers, counts, pieces, blanks = [], [], self.pieces, self.blanks
             for part in fresh:
+                if blanks and part.isascii() and part.isalpha():  # one piece, by the public pattern
+                    numbers.append(pieces[" " + part])
+                    counts.append(1)
+                    continue
                 cut = self._cut(part)
-                numbers += [self.pieces[p] for p in cut]
+                numbers += [pieces[p] for p in cut]
                 counts.append(len(cut))
             self._encode(self.pieces.take())
             numbers, counts = np.array(numbers, np.int64), np.array(counts, np.int64)
@@ -100,7 +106,7 @@ class Encoder:
             self.starts.extend(self.ids.size + np.cumsum(own) - own)
             self.lens.extend(own)
             self.ids.extend(_gather(self.piece_ids.data, self.piece_starts.data[numbers], lens))
-            if self.blanks:  # the pieces of a part cover its characters one after another
+            if self.spans:  # the pieces of a part cover its characters one after another
                 chars = self.piece_chars.data[numbers]
                 before = np.concatenate([[0], np.cumsum(chars)])
                 shift = np.repeat(before[:-1] - np.repeat(before[ends - counts], counts), lens)
@@ -116,21 +122,20 @@ class Encoder:
         starts, lens = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
         plain = [i for i, p in enumerate(pieces) if (p[:1] == " " and p[1:].isalpha() if self.blanks else p.isalpha())]
         left = set(range(len(pieces))) - set(plain)
-        for at in range(0, len(plain), 200):
-            some = plain[at: at + 200]
-            ids, offsets = self._encoded(("" if self.blanks else " ").join([pieces[i] for i in some]))
+        groups = [plain[at: at + 200] for at in range(0, len(plain), 200)]
+        for some, (ids, offsets) in zip(groups, self._encoded([("" if self.blanks else " ").join([pieces[i] for i in g]) for g in groups])):
             edges = np.flatnonzero(self.edge[ids])
             if len(edges) == len(some):
                 begin = edges if self.blanks else np.concatenate([[0], edges[:-1] + 1])
                 starts[some] = self.piece_ids.size + begin
                 lens[some] = np.diff(np.append(begin, len(ids)))
-                if self.blanks:
+                if self.spans:
                     offsets = offsets - np.repeat(offsets[begin, 0], lens[some])[:, None]
                 self._keep(ids, offsets)
             else:
                 left.update(some)
-        for i in sorted(left):
-            ids, offsets = self._encoded(pieces[i])
+        rest = sorted(left)
+        for i, (ids, offsets) in zip(rest, self._encoded([pieces[i] for i in rest])):
             starts[i], lens[i] = self.piece_ids.size, len(ids)
             self._keep(ids, offsets)
         self.piece_chars.extend(np.fromiter(map(len, pieces), np.int64, len(pieces)))
@@ -141,13 +146,19 @@ class Encoder:
         self.piece_starts.extend(starts)
         self.piece_lens.extend(lens)
 
-    def _encoded(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        found = self.tokenizer.encode(text, add_special_tokens=False)
-        return np.array(found.ids, np.uint32), np.array(found.offsets if self.blanks else [], np.int64).reshape(-1, 2)
+    def _encoded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        for at in range(0, len(texts), 64):
+            some = texts[at: at + 64]
+            if self.spans:
+                for found in self.tokenizer.encode_batch(some, add_special_tokens=False):
+                    yield np.array(found.ids, np.uint32), np.array(found.offsets, np.int64).reshape(-1, 2)
+            else:
+                for found in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
+                    yield np.array(found.ids, np.uint32), None
 
-    def _keep(self, ids: np.ndarray, offsets: np.ndarray) -> None:
+    def _keep(self, ids: np.ndarray, offsets: np.ndarray | None) -> None:
         self.piece_ids.extend(ids)
-        if self.blanks:
+        if self.spans:
             self.piece_begin.extend(offsets[:, 0])
             self.piece_end.extend(offsets[:, 1])
 
@@ -161,7 +172,7 @@ class Encoder:
         return terms[terms >= 0]
 
     def spans_of(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First character and end of each token in the text; only of vocabularies that keep blanks."""
+        """First character and end of each token in the text; only with ``spans``, of vocabularies that keep blanks."""
         starts, lens, chars = self.starts.data[parts], self.lens.data[parts], self.chars.data[parts]
         shift = np.repeat(np.cumsum(chars) - chars, lens)
         return _gather(self.begin.data, starts, lens) + shift, _gather(self.end.data, starts, lens) + shift
@@ -174,11 +185,11 @@ def _gather(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndar
     return values[np.repeat(starts - (ends - lens), lens) + np.arange(total)]
 
 
-_HELD: dict[tuple[str, bool], Encoder] = {}
+_HELD: dict[tuple[str, bool, bool], Encoder] = {}
 
 
-def encoder(path: str, blanks: bool) -> Encoder:
+def encoder(path: str, blanks: bool, spans: bool = False) -> Encoder:
     """One encoder for each worker process and vocabulary: later tasks find the words of earlier ones."""
-    if (path, blanks) not in _HELD:
-        _HELD[path, blanks] = Encoder(path, blanks)
-    return _HELD[path, blanks]
+    if (path, blanks, spans) not in _HELD:
+        _HELD[path, blanks, spans] = Encoder(path, blanks, spans=spans)
+    return _HELD[path, blanks, spans]

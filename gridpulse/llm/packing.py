@@ -43,6 +43,7 @@ class Index:
         term, self.doc = keys // max(1, self.n), keys % max(1, self.n)
         starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.empty(0, np.int64)
         self.starts, self.df = starts, np.diff(np.append(starts, len(term)))
+        self.held = self.df  # postings that are still there
         idf = np.log(1 + (self.n - self.df + 0.5) / (self.df + 0.5))
         norm = k1 * (1 - b + b * lens / max(lens.mean(), 1.0)) if self.n else lens
         self.weight = np.repeat(idf, self.df) * tf * (k1 + 1) / (tf + norm[self.doc])
@@ -50,26 +51,38 @@ class Index:
         order = np.argsort(self.doc, kind="stable")
         self.of_doc, self.ends = slot[order], np.cumsum(np.bincount(self.doc, minlength=self.n))
 
-    def neighbours(self, doc: int, unused: np.ndarray, query_terms: int | None = None) -> np.ndarray:
-        """Unused documents that share one of the document's terms (of its rarest ``query_terms`` shared ones, if given), best first."""
+    def drop(self, unused: np.ndarray) -> None:
+        """Let go of the postings of used documents; frequencies, and with them all scores, stay what they were."""
+        keep = unused[self.doc]
+        slot = np.repeat(np.arange(len(self.starts)), self.held)[keep]
+        self.doc, self.weight = self.doc[keep], self.weight[keep]
+        self.held = np.bincount(slot, minlength=len(self.starts))
+        self.starts = np.cumsum(self.held) - self.held
+
+    def neighbours(self, doc: int, unused: np.ndarray, query_terms: int | None = None, most: int | None = None) -> np.ndarray:
+        """Unused documents that share one of the document's terms (of its rarest ``query_terms`` shared ones, if given), best first; the
+        ``most`` best and what equals the last of them, if given."""
         own = self.of_doc[self.ends[doc - 1] if doc else 0: self.ends[doc]]
         own = own[self.df[own] > 1]
         if query_terms is not None and len(own) > query_terms:
             own = own[np.argsort(self.df[own], kind="stable")[:query_terms]]
         if not len(own):
             return own
-        begin, n = self.starts[own], self.df[own]
+        begin, n = self.starts[own], self.held[own]
         ends = np.cumsum(n)
         at = np.repeat(begin - (ends - n), n) + np.arange(ends[-1])
         scores = np.bincount(self.doc[at], self.weight[at], self.n)
         scores[~unused] = 0
         found = np.flatnonzero(scores)
+        if most is not None and len(found) > most:
+            found = found[scores[found] >= -np.partition(-scores[found], most - 1)[most - 1]]
         return found[np.argsort(-scores[found], kind="stable")]
 
 
 def fill(left: np.ndarray, index: Index, window: int, query_terms: int | None = None) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """Windows as (seed, [(document, ids taken)]). ``left``: how many ids each document has to pack; changed in place."""
     unused, next_free = left > 0, 0
+    in_index = int(unused.sum())
     for seed in range(len(left)):
         while unused[seed]:
             taken, space = [], window
@@ -83,11 +96,17 @@ def fill(left: np.ndarray, index: Index, window: int, query_terms: int | None =
                 unused[doc] = left[doc] > 0
 
             take(seed)
-            if space:
-                for doc in index.neighbours(seed, unused, query_terms):
+            while space:
+                found = index.neighbours(seed, unused, query_terms, 64)
+                if not len(found):
+                    break
+                for doc in found:
                     take(int(doc))
                     if not space:
                         break
+            if (n := int(unused.sum())) < 0.85 * in_index:
+                index.drop(unused)
+                in_index = n
             while space and next_free < len(left):
                 if unused[next_free]:
                     take(next_free)

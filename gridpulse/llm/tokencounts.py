@@ -84,7 +84,7 @@ def count(docs: DataFrame, path: str, sections: Callable[[str], list[Section]] =
     """One row for each section of each document. ``path``: a byte-level vocabulary that keeps white space."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = encoder(path, blanks=True)
+        tokenizer = encoder(path, blanks=True, spans=True)
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             for at in range(0, len(ids), 256):

@@ -34,3 +34,14 @@ def test_odd_texts(encoders):
 def test_any_text(encoders, texts):
     for e in encoders:
         same(e, texts)
+
+
+def test_without_spans_the_ids_are_the_same():
+    texts = ["Plain words, l'été isn't over", " naïve  x9 abcéf ǅ 12", "a\n b", "", None, "end."] + [f"w{i} wordy{chr(97 + i % 26) * (i % 7)}" for i in range(300)]
+    for name, blanks in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        full, short = (Encoder(public_tokenizers.path(name), blanks, spans=s) for s in (True, False))
+        for text, a, b in zip(texts, full.parts_of(texts), short.parts_of(texts)):
+            want = full.tokenizer.encode(text or "", add_special_tokens=False).ids
+            assert full.ids_of(a).tolist() == short.ids_of(b).tolist() == want
+            assert full.terms_of(a).tolist() == short.terms_of(b).tolist()
+        assert short.piece_begin.size == 0 and (full.piece_begin.size > 0) == blanks

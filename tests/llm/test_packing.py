@@ -97,3 +97,19 @@ def test_a_seed_is_scored_on_all_its_terms():
     assert set(found.tolist()) == set(range(1, 34))
     windows = list(packing.fill(np.array([10, *[1] * 30, *[10] * 3]), index, 40))
     assert sorted(d for d, _ in windows[0][1]) == [0, 31, 32, 33]
+
+
+def test_used_documents_leave_the_index_and_change_no_order():
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 30, rng.integers(0, 12)) for _ in range(300)]
+    whole, index = packing.Index(docs), packing.Index(docs)
+    unused = rng.random(300) < 0.4
+    index.drop(unused)
+    assert len(index.doc) < 0.5 * len(whole.doc)
+    for doc in range(300):
+        want = whole.neighbours(doc, unused).tolist()
+        assert index.neighbours(doc, unused).tolist() == want
+        few = index.neighbours(doc, unused, most=5).tolist()
+        assert few == want[: len(few)] and len(few) >= min(5, len(want))
+    windows = list(packing.fill(np.full(300, 3), index := packing.Index(docs), 10))
+    assert sum(n for _, taken in windows for _, n in taken) == 900 and len(index.doc) < 0.3 * len(whole.doc)
