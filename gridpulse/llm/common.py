@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,15 @@ def fold(id_column: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def give_back() -> None:
+    """Return freed memory to the system: the driver trains on bounded samples, and its allocator would keep what that took at its most."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim:
+        trim(0)
+
+
 def hash_share(*columns: str) -> Column:
     """A fixed pseudo-random number in [0, 1) for each row, from its key columns."""
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import labelled_sample
+from gridpulse.llm.common import give_back, labelled_sample
 
 UNKNOWN = "und"
 
@@ -73,15 +73,16 @@ def train(texts: list[str], labels: list[str], idf: np.ndarray, alpha: float = 0
           l2: float = 0.5, epochs: int = 4, seed: int = 5) -> Model:
     """FTRL-proximal, one document a step; every fifth document is kept for the temperature."""
     features, letters = len(idf), letter_flags()
-    data = [(g, y) for t, y in zip(texts, labels) if (g := grams(t, letters, features)) is not None]
-    names = tuple(sorted({y for _, y in data}))
+    rows = []  # the n-grams of one text at a time: those of all are some ten times the texts
+    for t, y in zip(texts, labels):
+        if (g := grams(t, letters, features)) is not None:
+            x = tf_idf(g, idf)
+            at = np.flatnonzero(x)
+            rows.append((at.astype(np.int32), x[at], y))
+    names = tuple(sorted({y for _, _, y in rows}))
     if not names:
         return Model((), np.zeros((features, 0)), np.zeros(0), idf, 1.0)
-    sparse = []
-    for g, y in data:
-        x = tf_idf(g, idf)
-        at = np.flatnonzero(x)
-        sparse.append((at.astype(np.int32), x[at], names.index(y)))
+    sparse = [(at, x, names.index(y)) for at, x, y in rows]
     held = [s for i, s in enumerate(sparse) if i % 5 == 4]
     used = [s for i, s in enumerate(sparse) if i % 5 != 4]
     k = len(names)
@@ -162,7 +163,12 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     frame = usable.select(F.col(id_column).alias("id"), F.col(text_column).alias("t"), F.col(label_column).cast("string").alias("y"))
     rows = labelled_sample(frame, "y", ["id", "t"], per_language).collect()
     rows.sort(key=lambda r: (r["id"] is None, r["id"], r["t"], r["y"]))
-    return train([r["t"] for r in rows], [r["y"] for r in rows], idf, **parameters)
+    texts, labels = [r["t"] for r in rows], [r["y"] for r in rows]
+    del rows
+    model = train(texts, labels, idf, **parameters)
+    del texts
+    give_back()
+    return model
 
 
 def predict(docs: DataFrame, model: Model, text_column: str = "text", into: str = "lang_pred", score: str = "score") -> DataFrame:

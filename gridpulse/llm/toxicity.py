@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import WORD, Grown, Words, hash_words, labelled_sample, thinned
+from gridpulse.llm.common import WORD, Grown, Words, give_back, hash_words, labelled_sample, thinned
 
 
 @dataclass(frozen=True)
@@ -188,7 +188,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("t"))
     rows = thinned(texts.join(F.broadcast(sample), "id"), "y", most).collect()  # an id may have many rows
     rows.sort(key=lambda r: (r["id"], r["t"], r["y"]))
-    return train([r["t"] for r in rows], [r["y"] for r in rows], **parameters)
+    texts, labels = [r["t"] for r in rows], [r["y"] for r in rows]
+    del rows
+    model = train(texts, labels, **parameters)
+    del texts
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, text_column: str = "text", into: str = "score") -> DataFrame:

@@ -1,6 +1,11 @@
+import re
+import tracemalloc
+from pathlib import Path
+
 import numpy as np
 
 from gridpulse.llm import langid
+from gridpulse.llm.common import give_back
 
 
 def test_grams_by_hand():
@@ -50,3 +55,24 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
     got = QUERIES["op5_language_id"](spark, sf).where("held_out").join(truth, "doc_id").toPandas()
     assert (got.lang_pred == got.lang).mean() > 0.97 and got.score.between(0, 1).all()
+
+
+def test_training_holds_the_grams_of_one_text_at_a_time():
+    texts = ["une phrase assez longue " * 1500, "a rather long sentence " * 1500] * 30
+    tracemalloc.start()
+    model = langid.train(texts, ["fr", "en"] * 30, np.ones(1 << 10, np.float32), epochs=1)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.languages == ("en", "fr")
+    assert most < 12e6  # those of all texts are 25 MB
+
+
+def test_freed_memory_goes_back_to_the_system():
+    def held():
+        return int(re.search(r"VmRSS:\s*(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+    chunks = [np.ones(2000) for _ in range(20_000)]  # 16 KB each: from the allocator's heap
+    last, before = np.ones(2000), held()
+    del chunks
+    give_back()
+    assert before - held() > 250 and last.all()
