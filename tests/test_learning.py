@@ -158,3 +158,21 @@ def test_tasks_of_a_fit_are_bounded(spark, sf, monkeypatch):
     assert len(seen) == 1 and max(seen[0]) <= 150 and sum(seen[0]) == 3_000  # dealt in turn by each of the tasks that read
     means = {r[0]: r[1] for r in rows.groupBy("l_linenumber").agg(F.avg(F.col("l_quantity") + 10 * F.col("l_linenumber"))).collect()}
     assert {r["l_linenumber"]: r["prediction"] for r in found} == pytest.approx(means)
+
+
+def test_vectors_are_those_of_the_pipelines_without_their_steps(data, cleaned, art):
+    rows = prepare.add_features(cleaned, SPEC, ORDER).withColumn("area_enc", F.lit(0.25))
+    odd = rows.withColumns({
+        "zone": F.when(F.col("hour") == 3, "Nowhere").when(F.col("hour") != 4, F.col("zone")),
+        "humidity": F.when(F.col("hour") == 5, -0.0).when(F.col("hour") == 6, float("nan")).when(F.col("hour") != 7, F.col("humidity")),
+        "power_outage": F.when(F.col("hour") != 8, F.col("power_outage")),
+    })
+    steps = training.assemble(data.scaler.transform(data.encoder.transform(odd)), SPEC)
+    direct = training.with_vector(odd, SPEC, data.encoder, data.scaler, data.numeric)
+
+    def found(df):
+        return {r["reading_id"]: [repr(x) for x in r["features"].toArray().tolist()] for r in df.select("reading_id", "features").collect()}
+
+    assert found(direct) == found(steps)
+    plan = scoring.score(cleaned, art)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(") <= 2  # the vector and the prediction, not one or more for each text column

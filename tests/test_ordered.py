@@ -107,3 +107,19 @@ def test_smoothing_equals_the_recursion(spark, segment):
         for row in group.itertuples():
             previous = 0.68 * previous + 0.32 * row.v
             assert got[row.id] == pytest.approx(previous, rel=1e-12, abs=1e-12)
+
+
+def test_lags_are_one_window_and_gaps_cross_segments(spark):
+    values = [None if i % 3 == 0 or 10 <= i % 40 < 24 else float(i) for i in range(200)]
+    rows = [("ab"[i // 120], i, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "area string, ts int, v double")
+    names = {"lag1": 1, "lag3": 3}
+    plain = lag_features(df, "area", ["ts"], "v", names)
+    assert plain._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    want = {}
+    for area, i, _ in rows:
+        back = [[v for a, j, v in rows if a == area and j <= i - k and v is not None] for k in names.values()]
+        want[i] = tuple(x[-1] if x else 0.0 for x in back)
+    for sizes in ({}, {"max_group_rows": 0, "segment_rows": 7}, {"max_group_rows": 0, "segment_rows": 2}):
+        got = lag_features(df, "area", ["ts"], "v", names, **sizes).collect()
+        assert {r["ts"]: (r["lag1"], r["lag3"]) for r in got} == want and len(got) == 200
