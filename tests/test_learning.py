@@ -1,10 +1,11 @@
 """Training and scoring: no leakage, unseen categories, rows kept, same twice."""
 
 import threading
+import time
 
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
@@ -176,3 +177,51 @@ def test_vectors_are_those_of_the_pipelines_without_their_steps(data, cleaned, a
     assert found(direct) == found(steps)
     plan = scoring.score(cleaned, art)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("UDF(") <= 2  # the vector and the prediction, not one or more for each text column
+
+
+class Kept(DecisionTreeRegressor):
+    """Notes how many fits run beside each other and the rows of each task."""
+
+    running, most, tasks = 0, 0, []
+
+    def _fit(self, dataset):
+        cls = type(self)
+        cls.running += 1
+        cls.most = max(cls.most, cls.running)
+        cls.tasks.append([r[0] for r in dataset.groupBy(F.spark_partition_id()).count().select("count").collect()])
+        time.sleep(1)
+        try:
+            return super()._fit(dataset)
+        finally:
+            cls.running -= 1
+
+
+@pytest.mark.parametrize("room, most", [(1, 1), (10**12, 2)])
+def test_fits_that_keep_rows_wait_for_room(data, monkeypatch, room, most):
+    monkeypatch.setattr(Kept, "most", 0)
+    monkeypatch.setattr(training, "storage_bytes", lambda spark: room)
+    table, fitted, _ = training.train_and_evaluate(data, SPEC.target, {n: Kept(labelCol=SPEC.target, maxDepth=2) for n in ("a", "b")})
+    assert Kept.most == most and list(fitted) == ["a", "b"] and table.count() == 2
+
+
+def test_room_is_given_back_after_an_error(spark, monkeypatch):
+    monkeypatch.setattr(training, "storage_bytes", lambda spark: 1)
+    for _ in range(2):
+        with pytest.raises(ValueError, match="no fit"), training.room_for(spark, 10):
+            raise ValueError("no fit")
+    assert training.kept_bytes(LinearRegression(), 10, 3) == 0
+    assert training.kept_bytes(RandomForestRegressor(numTrees=50), 10, 3) > training.kept_bytes(DecisionTreeRegressor(), 10, 3) > 0
+
+
+def test_storage_is_counted(spark):
+    assert 10**8 < training.storage_bytes(spark) < 10**10
+
+
+def test_rows_that_a_fit_keeps_lie_in_tasks_of_bounded_size(data, monkeypatch):
+    monkeypatch.setattr(Kept, "tasks", [])
+    rows = data.train.coalesce(1)
+    n = rows.count()
+    training.fit(Kept(labelCol=SPEC.target, maxDepth=2), rows, n, 30)
+    monkeypatch.setattr(training, "FIT_ROWS", n // 4)
+    training.fit(Kept(labelCol=SPEC.target, maxDepth=2), rows, n, 30)
+    assert Kept.tasks[0] == [n] and max(Kept.tasks[1]) <= n // 4 and sum(Kept.tasks[1]) == n
